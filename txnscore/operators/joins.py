@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side, in rows, that we hand to ``broadcast``. Aggregated lookup tables (class weights,
+# category labels, per-partition offsets) are far below this; anything above it is shuffled.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Bounded check: reads at most ``max_rows + 1`` rows, whatever the size of ``df``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is proven small, else ``df`` unchanged (shuffle join; AQE
+    may still convert it at run time from measured sizes)."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
