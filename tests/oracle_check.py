@@ -57,7 +57,7 @@ def compare(spark_df, sql: str, con) -> list[str]:
     """Return a list of problems (empty when equal)."""
     problems = []
     st = spark_df.toArrow()
-    dt = con.execute(sql).to_arrow_table()
+    dt = con.sql(sql).to_arrow_table()
     if sorted(st.column_names) != sorted(dt.column_names):
         return [f"columns differ: spark={st.column_names} sql={dt.column_names}"]
     for n in st.column_names:

@@ -149,3 +149,77 @@ SQL["profile_columns"] = with_views("""SELECT column_name, role, n_non_null FROM
     UNION ALL SELECT 'card', 'assemble', count(card) FROM prepared
     UNION ALL SELECT 'D4', 'assemble', count(D4) FROM prepared
     UNION ALL SELECT 'is_fraud', 'label', count(is_fraud) FROM prepared)""", "prepared")
+
+# --- reporting ------------------------------------------------------------------------------------
+_MINUTES = """m AS (SELECT CAST(floor(epoch_us(ts) / 60000000.0) AS BIGINT) AS b, count(*) AS n,
+    count(*) FILTER (WHERE predicted_fraud) AS n_fraud FROM scored GROUP BY 1)"""
+SQL["rate_5m"] = with_views(f""", {_MINUTES},
+  w AS (SELECT b - i AS s, n, n_fraud FROM m CROSS JOIN range(0, 5) r(i))
+  SELECT make_timestamp(s * 60 * 1000000) AS window_start, make_timestamp((s * 60 + 300) * 1000000) AS window_end,
+    CAST(sum(n) AS BIGINT) AS n, CAST(sum(n_fraud) AS BIGINT) AS n_fraud,
+    round(sum(n) / 300.0, 6) AS rate, round(sum(n_fraud) / 300.0, 6) AS fraud_rate FROM w GROUP BY s""", "scored")
+SQL["rate_1m"] = with_views(f""", {_MINUTES}
+  SELECT make_timestamp(b * 60 * 1000000) AS window_start, make_timestamp((b + 1) * 60 * 1000000) AS window_end,
+    n, n_fraud, round(n / 60.0, 6) AS rate, round(n_fraud / 60.0, 6) AS fraud_rate FROM m""", "scored")
+SQL["rate_summary"] = with_views(f""", {_MINUTES}
+  SELECT max(b) - min(b) + 1 AS n_points, round(sum(n) / (max(b) - min(b) + 1) / 60.0, 6) AS mean_rate,
+    round(max(n) / 60.0, 6) AS max_rate FROM m""", "scored")
+SQL["running_totals"] = with_views(""", d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n,
+    count(*) FILTER (WHERE predicted_fraud) AS n_fraud FROM scored GROUP BY 1)
+  SELECT day, n, n_fraud, CAST(sum(n) OVER (ORDER BY day) AS BIGINT) AS total_processed,
+    CAST(sum(n_fraud) OVER (ORDER BY day) AS BIGINT) AS total_fraud FROM d""", "scored")
+SQL["last_not_null"] = with_views(""", r AS (SELECT event_type, ts, value,
+    row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM ev WHERE value IS NOT NULL)
+  SELECT r.event_type, mx.last_ts, r.value AS last_value FROM r
+  JOIN (SELECT event_type, max(ts) AS last_ts FROM ev WHERE value IS NOT NULL GROUP BY 1) mx USING (event_type)
+  WHERE rn = 1""", "ev")
+SQL["counter_increase"] = with_views(""", d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM ev GROUP BY 1, 2),
+  c AS (SELECT event_type, day, CAST(sum(n) OVER (PARTITION BY event_type,
+      floor(date_diff('day', DATE '1970-01-01', day) / 7) ORDER BY day) AS BIGINT) AS counter FROM d),
+  l AS (SELECT *, lag(counter) OVER (PARTITION BY event_type ORDER BY day) AS prev FROM c)
+  SELECT event_type, day, counter,
+    CAST(CASE WHEN prev IS NULL OR counter < prev THEN counter ELSE counter - prev END AS BIGINT) AS increase,
+    round(CASE WHEN prev IS NULL OR counter < prev THEN counter ELSE counter - prev END / 86400.0, 6) AS rate
+  FROM l""", "ev")
+SQL["gauge_from_deltas"] = """WITH ls AS (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1),
+  deltas AS (SELECT o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS day, 1 AS delta FROM orders
+    UNION ALL SELECT o_orderpriority, CAST(last_ship AS DATE), -1 FROM orders JOIN ls ON o_orderkey = l_orderkey),
+  per AS (SELECT priority, day, CAST(sum(delta) AS BIGINT) AS delta FROM deltas GROUP BY 1, 2)
+  SELECT priority, day, delta, CAST(sum(delta) OVER (PARTITION BY priority ORDER BY day) AS BIGINT) AS gauge FROM per"""
+SQL["approval_rate_series"] = with_views(""", d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n,
+    count(*) FILTER (WHERE predicted_fraud) AS n_fraud FROM scored GROUP BY 1)
+  SELECT day, n, n_fraud, round(100.0 * (n - n_fraud) / CAST(nullif(n, 0) AS DOUBLE), 6) AS approval_pct FROM d""",
+                                         "scored")
+SQL["threshold_bands"] = with_views(""", d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM ev GROUP BY 1)
+  SELECT day, n, CASE WHEN n >= 500 THEN 'red' WHEN n >= 100 THEN 'yellow' ELSE 'green' END AS band FROM d""", "ev")
+SQL["trailing_range"] = with_views("""SELECT event_id, ts, event_type, value FROM ev
+  WHERE ts > (SELECT max(ts) FROM ev) - INTERVAL 1 DAY""", "ev")
+
+# --- encoders -------------------------------------------------------------------------------------
+SQL["tokenize"] = """SELECT p_partkey, CAST(pos - 1 AS INTEGER) AS pos, token FROM (
+    SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token,
+      unnest(generate_series(1, len(string_split(p_name, ' ')))) AS pos FROM part WHERE p_name IS NOT NULL)"""
+SQL["hash_tokens"] = with_views("""SELECT txn_id, entity_id, CAST(len(string_split(entity_id, '_')) AS INTEGER) AS n_tokens,
+    CAST(len(string_split(entity_id, '_')) AS DOUBLE) AS count_sum FROM prepared""", "prepared")
+SQL["index_categories"] = with_views("""SELECT event_type, n,
+    CAST(row_number() OVER (ORDER BY n DESC, event_type ASC) - 1 AS DOUBLE) AS event_type_index
+  FROM (SELECT event_type, count(*) AS n FROM ev WHERE event_type IS NOT NULL GROUP BY 1)""", "ev")
+SQL["one_hot"] = with_views(""", idx AS (SELECT event_type,
+    CAST(row_number() OVER (ORDER BY n DESC, event_type ASC) - 1 AS DOUBLE) AS event_type_index,
+    count(*) OVER () AS n_labels
+  FROM (SELECT event_type, count(*) AS n FROM ev WHERE event_type IS NOT NULL GROUP BY 1))
+  SELECT e.event_id, idx.event_type_index,
+    CASE WHEN idx.event_type_index = n_labels - 1 THEN NULL ELSE CAST(idx.event_type_index AS INTEGER) END AS hot_index
+  FROM ev e JOIN idx USING (event_type)""", "ev")
+SQL["assemble_features"] = with_views(""", ub AS (SELECT CAST(user_id % 5 AS VARCHAR) AS ub, count(*) AS n FROM ev GROUP BY 1),
+  ubi AS (SELECT ub, CAST(row_number() OVER (ORDER BY n DESC, ub ASC) - 1 AS DOUBLE) AS idx FROM ub)
+  SELECT event_id, 1003 AS width, round(value + k + idx + 3, 6) AS entries_sum
+  FROM ev JOIN ubi ON CAST(user_id % 5 AS VARCHAR) = ubi.ub""", "ev")
+SQL["average_vectors"] = with_views(""", pairs AS (SELECT user_id, CAST(k AS BIGINT) AS vec_id, count(*) AS c FROM ev GROUP BY 1, 2),
+  tok AS (SELECT user_id, sum(c) AS n FROM pairs GROUP BY 1),
+  dims AS (SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS dim, unnest(embedding) AS x FROM embeddings),
+  width AS (SELECT max(len(embedding)) AS w FROM embeddings),
+  s AS (SELECT p.user_id, d.dim, sum(p.c * CAST(d.x AS DOUBLE)) AS sx FROM pairs p JOIN dims d USING (vec_id) GROUP BY 1, 2),
+  grid AS (SELECT unnest(generate_series(0, (SELECT w FROM width) - 1)) AS dim)
+  SELECT t.user_id, CAST(g.dim AS INTEGER) AS dim, round(coalesce(s.sx, 0) / t.n, 6) AS value
+  FROM tok t CROSS JOIN grid g LEFT JOIN s ON s.user_id = t.user_id AND s.dim = g.dim""", "ev")

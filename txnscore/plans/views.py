@@ -69,3 +69,16 @@ def margin_of(k_col: str = "k") -> F.Column:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = ev(spark, sf_dir).withColumn("margin", margin_of())
     return with_score_flags(score_from_margin(e, "margin"))
+
+
+def ml_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ev shaped for the encoder chain: numeric inputs, a category (user bucket), an entity key
+    ``user_k_day`` for hashing, and a short text for the Word2Vec stage."""
+    e = ev(spark, sf_dir)
+    day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
+    return e.select(
+        "event_id", "ts", "is_fraud", "value", F.col("k").cast("double").alias("k"),
+        (F.col("user_id") % 5).cast("string").alias("user_bucket"),
+        F.concat_ws("_", F.col("user_id").cast("string"), F.col("k").cast("string"), day.cast("string")).alias("entity_id"),
+        F.concat_ws(" ", F.lit("user"), (F.col("user_id") % 7).cast("string")).alias("device_info"),
+    )
