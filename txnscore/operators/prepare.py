@@ -151,8 +151,9 @@ def parse_json(df: DataFrame, json_col: str, schema: T.StructType | str, keep: l
     null) and flatten; malformed text is kept in ``_corrupt_record`` instead of being lost."""
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     with_corrupt = T.StructType(list(st.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    from ..sources.publish import JSON_OPTIONS
     parsed = F.from_json(F.col(json_col), with_corrupt,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_OPTIONS})
     keep = keep or []
     return df.select(*keep, F.col(json_col), parsed.alias("__data")).select(*keep, json_col, "__data.*")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import batch, encoders, reports  # noqa: F401  (registers queries)
+from . import batch, encoders, ml, reports, streams  # noqa: F401  (registers queries)
 from .oracle import SQL
 from .registry import QUERIES
 

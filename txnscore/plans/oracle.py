@@ -223,3 +223,16 @@ SQL["average_vectors"] = with_views(""", pairs AS (SELECT user_id, CAST(k AS BIG
   grid AS (SELECT unnest(generate_series(0, (SELECT w FROM width) - 1)) AS dim)
   SELECT t.user_id, CAST(g.dim AS INTEGER) AS dim, round(coalesce(s.sx, 0) / t.n, 6) AS value
   FROM tok t CROSS JOIN grid g LEFT JOIN s ON s.user_id = t.user_id AND s.dim = g.dim""", "ev")
+
+# --- streaming (after the bounded stream is materialized) ----------------------------------------
+SQL["stream_ingest"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+SQL["stream_score_sink"] = with_views("""SELECT event_id, prediction, round(fraud_probability, 6) AS fraud_probability,
+    predicted_fraud, is_high_risk FROM scored""", "scored")
+SQL["stream_batch_kpis"] = with_views("""SELECT count(*) AS n, count(*) FILTER (WHERE predicted_fraud) AS n_fraud,
+    count(*) FILTER (WHERE is_high_risk) AS n_high_risk, CAST(0 AS BIGINT) AS n_quarantined,
+    round((count(*) - count(*) FILTER (WHERE predicted_fraud)) / CAST(nullif(count(*), 0) AS DOUBLE), 6) AS approval_rate
+    FROM scored""", "scored")
+SQL["stream_rate"] = """WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n FROM events GROUP BY 1)
+  SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n, round(n / 3600.0, 6) AS rate FROM h
+  WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+SQL["publish_json"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"

@@ -54,7 +54,11 @@ def ident(spark: SparkSession, sf_dir: str, segment: str = IDENT_SEGMENT) -> Dat
 
 
 def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    return ev_from(read_table(spark, sf_dir, "events"))
+
+
+def ev_from(e: DataFrame) -> DataFrame:
+    """events columns -> ev (works on batch and streaming frames)."""
     return e.select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.from_json(F.col("props"), PROPS_SCHEMA).getField("k").alias("k"),
@@ -67,8 +71,12 @@ def margin_of(k_col: str = "k") -> F.Column:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = ev(spark, sf_dir).withColumn("margin", margin_of())
-    return with_score_flags(score_from_margin(e, "margin"))
+    return scored_from(ev(spark, sf_dir))
+
+
+def scored_from(e: DataFrame) -> DataFrame:
+    """ev -> scored with the fixed margin (batch or streaming)."""
+    return with_score_flags(score_from_margin(e.withColumn("margin", margin_of()), "margin"))
 
 
 def ml_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,9 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Microsecond timestamps in messages (the JSON default keeps milliseconds only).
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
+
 def to_json_messages(df: DataFrame, key: str | None = None) -> DataFrame:
     """PR7: pack every row into ``value`` (JSON; null fields omitted), optional message ``key``."""
-    cols = [F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value")]
+    cols = [F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value")]
     if key:
         cols.insert(0, F.col(key).cast("string").alias("key"))
     return df.select(*cols)
