@@ -132,14 +132,13 @@ def average_vectors(token_counts: DataFrame, vectors: DataFrame, key: str, token
     vector count in the divisor, like Word2Vec's transform). ``token_counts`` is pre-aggregated
     to (key, token, count); the vector table is broadcast only when proven small. The weighted
     vector sum is MLlib's Summarizer (JVM), so no per-dimension explode is needed."""
+    width = vectors.select(F.max(F.size(vector))).scalar()      # scalar subquery
     vecs = vectors.select(F.col(token), array_to_vector(F.col(vector)).alias("__vec"))
-    joined = token_counts.join(broadcast_if_small(vecs), [token], "inner")
+    joined = token_counts.join(broadcast_if_small(vecs), [token], "left")
+    zero = array_to_vector(F.array_repeat(F.lit(0.0), width))
+    # one aggregate per key: token total (misses included) and count-weighted vector sum
     sums = joined.groupBy(key).agg(
-        Summarizer.sum(F.col("__vec"), F.col(count).cast("double")).alias("__sum"))
-    totals = token_counts.groupBy(key).agg(F.sum(count).alias("__n"))
-    out = totals.join(sums, [key], "left")
-    arr = vector_to_array(F.col("__sum"))
-    # keys whose tokens all miss get the zero vector; the width is a scalar subquery
-    width = vectors.select(F.max(F.size(vector))).scalar()
-    avg = F.coalesce(F.transform(arr, lambda x: x / F.col("__n")), F.array_repeat(F.lit(0.0), width))
-    return out.select(key, F.col("__n").alias("n_tokens"), avg.alias("avg_vector"))
+        F.sum(count).alias("n_tokens"),
+        Summarizer.sum(F.coalesce(F.col("__vec"), zero), F.col(count).cast("double")).alias("__sum"))
+    avg = F.transform(vector_to_array(F.col("__sum")), lambda x: x / F.col("n_tokens"))
+    return sums.select(key, "n_tokens", avg.alias("avg_vector"))

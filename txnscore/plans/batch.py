@@ -99,15 +99,9 @@ def q_json_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scored(spark, sf_dir).select("event_id", "user_id", "event_type", "k", "fraud_probability",
                                      "predicted_fraud", "is_high_risk")
     packed = to_json_messages(s)
-    j = F.col("value")
-    return packed.select(
-        F.get_json_object(j, "$.event_id").cast("long").alias("event_id"),
-        F.get_json_object(j, "$.user_id").cast("long").alias("user_id"),
-        F.get_json_object(j, "$.event_type").alias("event_type"),
-        F.get_json_object(j, "$.k").cast("int").alias("k"),
-        round6(F.get_json_object(j, "$.fraud_probability").cast("double")).alias("fraud_probability"),
-        F.get_json_object(j, "$.predicted_fraud").cast("boolean").alias("predicted_fraud"),
-        F.get_json_object(j, "$.is_high_risk").cast("boolean").alias("is_high_risk"))
+    m = F.from_json("value", "event_id BIGINT, user_id BIGINT, event_type STRING, k INT, "
+                             "fraud_probability DOUBLE, predicted_fraud BOOLEAN, is_high_risk BOOLEAN").alias("m")
+    return packed.select(m).select("m.*").withColumn("fraud_probability", round6("fraud_probability"))
 
 
 @register("score_flags")

@@ -73,12 +73,14 @@ def q_gauge_from_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority"])
     last_ship = (read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_shipdate"])
                  .groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship")))
-    starts = o.select(F.col("o_orderpriority").alias("priority"), F.to_date("o_orderdate").alias("day"),
-                      F.lit(1).alias("delta"))
-    ends = (o.join(last_ship, o.o_orderkey == last_ship.l_orderkey)
-            .select(F.col("o_orderpriority").alias("priority"), F.to_date("last_ship").alias("day"),
-                    F.lit(-1).alias("delta")))
-    return rp.gauge_from_deltas(starts.unionByName(ends), ["priority"], "day")
+    # one pass over orders: each order emits its +1 and, if it has lines, its -1
+    j = o.join(last_ship, o.o_orderkey == last_ship.l_orderkey, "left")
+    start = F.struct(F.to_date("o_orderdate").alias("day"), F.lit(1).alias("delta"))
+    end = F.struct(F.to_date("last_ship").alias("day"), F.lit(-1).alias("delta"))
+    events = F.when(F.col("last_ship").isNull(), F.array(start)).otherwise(F.array(start, end))
+    deltas = j.select(F.col("o_orderpriority").alias("priority"), F.explode(events).alias("d")).select(
+        "priority", "d.day", "d.delta")
+    return rp.gauge_from_deltas(deltas, ["priority"], "day")
 
 
 @register("approval_rate_series")
