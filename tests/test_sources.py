@@ -45,3 +45,17 @@ def test_api_train_gbt_roundtrip(spark):
     assert candidates.where("is_best").count() == 1
     _, metrics = train_gbt(spark, data, cfg)              # second call loads the saved model
     assert metrics.count() == 1
+
+
+def test_k_fold_cross_validation(spark):
+    from txnscore.operators import models as ml
+    from txnscore.operators.features import feature_pipeline
+    from txnscore.plans.views import ml_events
+    data = ml_events(spark, SF_SMALL)
+    pipe = feature_pipeline(["value", "k"], ["user_bucket"], "entity_id", None)
+    grid = ml.param_grid(max_depth=[2, 3], max_bins=[16], step_size=[0.1])
+    out = ml.cross_validate(data, pipe, grid, lambda **p: ml.gbt("is_fraud", max_iter=3, **p), k=2,
+                            key="event_id", label="is_fraud")
+    rows = out.collect()
+    assert len(rows) == 2 and sum(r.is_best for r in rows) == 1
+    assert all(0.0 <= r.accuracy <= 1.0 for r in rows)

@@ -122,11 +122,17 @@ def q_score_from_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
                     round6(prob[0]).alias("p0"), round6(prob[1]).alias("p1"), "prediction")
 
 
+FIT_WINDOW = "10 MINUTES"
+
+
 @register("filter_known_categories")
 def q_filter_known_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PR12: categories learned on a fit set, applied to every event."""
+    """PR12: categories learned on a fit window (the first 10 minutes of events), applied to
+    every event; types first seen later are unknown to the fitted indexer and drop out."""
     e = ev(spark, sf_dir)
-    labels = prep.category_labels(e.where(F.col("event_id") < 3), "event_type")
+    start = e.select(F.min("ts")).scalar()
+    fit = e.where(F.col("ts") < start + F.expr(f"INTERVAL {FIT_WINDOW}"))
+    labels = prep.category_labels(fit, "event_type")
     return prep.filter_known_categories(e, labels, "event_type").select("event_id", "event_type")
 
 

@@ -76,7 +76,8 @@ SQL["score_from_margin"] = with_views("""SELECT event_id, round(margin, 6) AS ma
     round(margin, 6) AS raw1, round(p0, 6) AS p0, round(fraud_probability, 6) AS p1, prediction
     FROM scored""", "scored")
 SQL["filter_known_categories"] = with_views("""SELECT event_id, event_type FROM ev
-    WHERE event_type IN (SELECT DISTINCT event_type FROM ev WHERE event_id < 3 AND event_type IS NOT NULL)""", "ev")
+    WHERE event_type IN (SELECT DISTINCT event_type FROM ev
+      WHERE ts < (SELECT min(ts) FROM ev) + INTERVAL 10 MINUTES AND event_type IS NOT NULL)""", "ev")
 SQL["quarantine_rows"] = """WITH d AS (
     SELECT event_id,
       CASE WHEN event_id % 10 = 0 THEN substr(props, 1, length(props) - 1) ELSE props END AS props,
