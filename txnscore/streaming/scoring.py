@@ -14,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,41 +41,53 @@ def _write_batch(df: DataFrame, root: str, batch_id: int, fmt: str) -> None:
 def make_batch_processor(schema: str, required: list[str], scorer: Callable[[DataFrame], DataFrame],
                          outputs: ScoringOutputs, query_name: str, fraud_col: str = "predicted_fraud",
                          high_risk_col: str = "is_high_risk", drop_cols: tuple[str, ...] = ()):
-    """The ``foreachBatch`` body: parse -> quarantine -> score -> fan out -> KPI row."""
+    """The ``foreachBatch`` body: parse -> quarantine -> score -> fan out -> KPI row.
+
+    The KPI counts are ``Observation`` metrics collected while the scored messages are written,
+    so the batch is scored and scanned once; only the parsed batch (read by both the scored and
+    the quarantine branch) is persisted.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         started = time.time()
+        spark = batch.sparkSession
         parsed = parse_json(batch, "json", schema)
         parsed = parsed.withColumn("reason", quarantine_reason(parsed, "json", required))
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = parsed.where(F.col("reason").isNull()).drop("reason", CORRUPT, "json")
             bad = parsed.where(F.col("reason").isNotNull()).select("json", "reason")
-            scored = scorer(good).drop(*drop_cols).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                messages = to_json_messages(scored)
-                _write_batch(messages, outputs.scored, batch_id, "text")
-                if outputs.kafka:
-                    messages.write.format("kafka").options(**outputs.kafka).save()
-                _write_batch(bad, outputs.quarantine, batch_id, "parquet")
-                counts = scored.agg(F.count(F.lit(1)).alias("n"),
-                                    F.count_if(F.col(fraud_col)).alias("n_fraud"),
-                                    F.count_if(F.col(high_risk_col)).alias("n_high_risk"))
-                n_bad = bad.count()
-                kpi = counts.select(
-                    F.lit(query_name).alias("query"), "n", "n_fraud", "n_high_risk",
-                    F.lit(n_bad).cast("long").alias("n_quarantined"),
-                    approval_rate("n", "n_fraud").alias("approval_rate"),
-                    F.lit(time.time() - started).alias("duration_seconds"))
-                _write_batch(kpi, outputs.kpis, batch_id, "parquet")
-            finally:
+            scored = scorer(good).drop(*drop_cols)
+            if outputs.kafka:
+                scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+            kpi_obs = Observation(f"{query_name}_kpi_{batch_id}_{int(started * 1e6)}")
+            observed = scored.observe(kpi_obs, F.count(F.lit(1)).alias("n"),
+                                      F.count_if(F.col(fraud_col)).alias("n_fraud"),
+                                      F.count_if(F.col(high_risk_col)).alias("n_high_risk"))
+            _write_batch(to_json_messages(observed), outputs.scored, batch_id, "text")
+            if outputs.kafka:
+                to_json_messages(scored).write.format("kafka").options(**outputs.kafka).save()
                 scored.unpersist()
+            bad_obs = Observation(f"{query_name}_bad_{batch_id}_{int(started * 1e6)}")
+            _write_batch(bad.observe(bad_obs, F.count(F.lit(1)).alias("n")), outputs.quarantine, batch_id,
+                         "parquet")
+            m, n_bad = kpi_obs.get, bad_obs.get["n"]
+            n, n_fraud = int(m["n"]), int(m["n_fraud"])
+            kpi = spark.createDataFrame(
+                [(query_name, n, n_fraud, int(m["n_high_risk"]), int(n_bad),
+                  (n - n_fraud) / n if n else None, time.time() - started)],
+                KPI_SCHEMA)
+            _write_batch(kpi.coalesce(1), outputs.kpis, batch_id, "parquet")
         finally:
             parsed.unpersist()
 
     return process
 
 
+KPI_SCHEMA = ("query STRING, n BIGINT, n_fraud BIGINT, n_high_risk BIGINT, n_quarantined BIGINT, "
+              "approval_rate DOUBLE, duration_seconds DOUBLE")
+
+
 def start_scoring(messages: DataFrame, schema: str, required: list[str], scorer: Callable[[DataFrame], DataFrame],
                   outputs: ScoringOutputs, checkpoint: str, query_name: str = "scoring",
                   trigger: dict | None = None, drop_cols: tuple[str, ...] = ()) -> StreamingQuery:
