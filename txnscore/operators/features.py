@@ -37,8 +37,16 @@ def tokenizer_stage(input_col: str, output_col: str, separator: str) -> SQLTrans
 
 def word2vec_stage(input_col: str, output_col: str, vector_size: int = WORD2VEC_SIZE,
                    min_count: int = WORD2VEC_MIN_COUNT, seed: int = SPLIT_SEED,
-                   num_partitions: int = 1, max_iter: int = 1) -> Word2Vec:
-    """Document vector = sum of known word vectors / number of tokens (unknown ones included)."""
+                   num_partitions: int | None = None, max_iter: int = 1) -> Word2Vec:
+    """Document vector = sum of known word vectors / number of tokens (unknown ones included).
+
+    ``num_partitions`` defaults to the cluster's task slots: MLlib's own default (1) trains
+    every sentence in one task, which does not survive a large input.
+    """
+    if num_partitions is None:
+        from pyspark.sql import SparkSession
+        active = SparkSession.getActiveSession()
+        num_partitions = active.sparkContext.defaultParallelism if active else 1
     return Word2Vec(inputCol=input_col, outputCol=output_col, vectorSize=vector_size, minCount=min_count,
                     seed=seed, numPartitions=num_partitions, maxIter=max_iter)
 
@@ -64,7 +72,7 @@ def assembler_stage(input_cols: list[str], output_col: str = "features", handle_
 
 def feature_pipeline(numeric_cols: list[str], index_cols: list[str], entity_col: str | None,
                      text_col: str | None, use_text_vector: bool = False, buckets: int = HASH_BUCKETS,
-                     features_col: str = "features", word2vec_partitions: int = 1) -> Pipeline:
+                     features_col: str = "features", word2vec_partitions: int | None = None) -> Pipeline:
     """FE7/FE8: tokens -> Word2Vec -> HashingTF -> StringIndexer -> VectorAssembler.
 
     Assembler order follows the reference: numeric columns, hashed entity, indexed categories;
@@ -116,6 +124,8 @@ def vector_nonzero_indices(vec: str | Column) -> Column:
     return F.when(p.getField("type") == 0, p.getField("indices")).otherwise(dense_nz)
 
 
+VECTOR_BROADCAST_MAX_ROWS = 200_000
+
 # --- relational forms ---------------------------------------------------------------------------
 
 def category_index_table(df: DataFrame, col: str) -> DataFrame:
@@ -134,7 +144,8 @@ def average_vectors(token_counts: DataFrame, vectors: DataFrame, key: str, token
     vector sum is MLlib's Summarizer (JVM), so no per-dimension explode is needed."""
     width = vectors.select(F.max(F.size(vector))).scalar()      # scalar subquery
     vecs = vectors.select(F.col(token), array_to_vector(F.col(vector)).alias("__vec"))
-    joined = token_counts.join(broadcast_if_small(vecs), [token], "left")
+    # a 64-float row is ~0.5 KB as a vector, so the row bound keeps the broadcast near 100 MB
+    joined = token_counts.join(broadcast_if_small(vecs, VECTOR_BROADCAST_MAX_ROWS), [token], "left")
     zero = array_to_vector(F.array_repeat(F.lit(0.0), width))
     # one aggregate per key: token total (misses included) and count-weighted vector sum
     sums = joined.groupBy(key).agg(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side, in rows, that we hand to ``broadcast``. Aggregated lookup tables (class weights,
-# category labels, per-partition offsets) are far below this; anything above it is shuffled.
+# Largest side, in rows, that we hand to ``broadcast`` for narrow lookup tables (category labels:
+# one short string per row, so 1M rows stay well under 100 MB). Wide rows pass a lower bound.
 BROADCAST_MAX_ROWS = 1_000_000
 
 

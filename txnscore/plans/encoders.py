@@ -76,6 +76,6 @@ def q_word2vec_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FE2: Word2Vec (size 20, minCount 1, fixed seed) on part-name tokens; document vectors."""
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
     pipe = Pipeline(stages=[fe.tokenizer_stage("p_name", "tokens", " "),
-                            fe.word2vec_stage("tokens", "doc_vector", num_partitions=4)])
+                            fe.word2vec_stage("tokens", "doc_vector")])
     out = pipe.fit(p).transform(p)
     return out.select("p_partkey", vector_to_array("doc_vector").alias("doc_vector"))
