@@ -66,3 +66,40 @@ def test_replayed_batch_id_keeps_one_kpi_row(spark):
     fn(batch, 3)
     fn(batch, 3)
     assert read_kpis(spark, outputs.kpis).count() == 1
+
+
+def test_saved_pipeline_scores_stream_like_batch(spark):
+    """Train -> save -> score_stream: same predictions as batch; unseen categories quarantined."""
+    from pyspark.ml import PipelineModel
+    from txnscore.api import score_stream
+    from txnscore.operators import models as ml
+    from txnscore.operators.features import feature_pipeline
+    from txnscore.plans.views import ml_events
+    from pyspark.sql import types as T
+    root = tempfile.mkdtemp(prefix="txnscore-test-")
+    data = ml_events(spark, SF_SMALL)
+    fit_rows = data.where(F.col("user_bucket") != "4")               # bucket 4 is never seen at fit
+    model = ml.fit_pipeline(feature_pipeline(["value", "k"], ["user_bucket"], "entity_id", "device_info"),
+                            ml.gbt("is_fraud", max_depth=2, max_iter=3), fit_rows)
+    model.write().overwrite().save(os.path.join(root, "model"))
+    src = os.path.join(root, "in")
+    to_json_messages(data).write.option("maxRecordsPerFile", 400).text(src)
+    schema = T.StructType([f for f in data.schema.fields])
+    outputs = ScoringOutputs(os.path.join(root, "s"), os.path.join(root, "q"), os.path.join(root, "k"))
+    q = score_stream(spark, message_stream(spark, "files", path=src, max_files_per_trigger=1),
+                     os.path.join(root, "model"), outputs, os.path.join(root, "ckpt"), required=["event_id"],
+                     trigger={"availableNow": True}, schema=schema,
+                     drop_cols=("rawPrediction", "probability", "features", "entity_id_hashed",
+                                "device_infoVector", "device_infoTokens", "entity_id_tokens"))
+    run_to_completion(q)
+    streamed = spark.read.text(outputs.scored).select(
+        F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
+        F.get_json_object("value", "$.prediction").cast("double").alias("prediction"))
+    batch = PipelineModel.load(os.path.join(root, "model")).transform(data).select("event_id", "prediction")
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    quarantined = spark.read.parquet(outputs.quarantine)
+    n_unseen = data.where(F.col("user_bucket") == "4").count()
+    assert n_unseen > 0
+    assert quarantined.where("reason = 'unknown_user_bucket'").count() == n_unseen
+    t = kpi_totals(read_kpis(spark, outputs.kpis)).first()
+    assert t.n + t.n_quarantined == data.count()

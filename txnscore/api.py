@@ -18,7 +18,7 @@ from .operators.scoring import with_score_flags
 from .schema import (FEATURE_SCHEMA, GBT_SPLIT, LABEL, RF_SPLIT, SPLIT_SEED, string_columns)
 from .sources.files import materialize_if_missing
 from .sources.publish import publish_json
-from .streaming.scoring import ScoringOutputs, start_scoring
+from .streaming.scoring import ScoringOutputs, categories_from_model, start_scoring
 
 
 def prepare(txns: DataFrame, identities: DataFrame, cols: TxnColumns = REFERENCE_COLUMNS) -> DataFrame:
@@ -99,14 +99,16 @@ def train_rf(spark: SparkSession, data: DataFrame, model_path: str, label: str =
 
 def score_stream(spark: SparkSession, messages: DataFrame, model_dir: str, outputs: ScoringOutputs,
                  checkpoint: str, required: list[str] | None = None, trigger: dict | None = None,
-                 schema=FEATURE_SCHEMA, query_name: str = "transactions_scoring") -> StreamingQuery:
+                 schema=FEATURE_SCHEMA, query_name: str = "transactions_scoring",
+                 drop_cols: tuple[str, ...] = ()) -> StreamingQuery:
     """The listener: JSON messages -> parse (quarantine bad rows) -> saved pipeline -> flags ->
     scored sink + quarantine + KPI rows, as one named query with its own checkpoint."""
     model = PipelineModel.load(model_dir)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     return start_scoring(messages, ddl, required or ["ENTITY_ID"],
                          lambda df: with_score_flags(model.transform(df)), outputs, checkpoint,
-                         query_name=query_name, trigger=trigger)
+                         query_name=query_name, trigger=trigger, drop_cols=drop_cols,
+                         known_categories=categories_from_model(model))
 
 
 def publish(df: DataFrame, sink: str = "text", path: str | None = None, options: dict | None = None) -> None:

@@ -44,7 +44,7 @@ def shared_root(spark: SparkSession) -> str:
     (local tests) do we create a private temporary folder and register it.
     """
     conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None)
+    root = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = os.environ.get("TXNSCORE_LOCAL_ROOT") or _local_root()
     return root.rstrip("/")

@@ -38,9 +38,33 @@ def _write_batch(df: DataFrame, root: str, batch_id: int, fmt: str) -> None:
     (w.text(path) if fmt == "text" else w.parquet(path))
 
 
+def categories_from_model(model) -> dict[str, list[str]]:
+    """Input column -> fitted labels of every StringIndexer in a PipelineModel (the model already
+    holds them on the driver; their size is the category cardinality, not the data size)."""
+    from pyspark.ml.feature import StringIndexerModel
+    known = {}
+    for stage in getattr(model, "stages", []):
+        if isinstance(stage, StringIndexerModel):
+            cols = stage.getInputCols() if stage.isSet("inputCols") else [stage.getInputCol()]
+            for c, labels in zip(cols, stage.labelsArray):
+                known[c] = list(labels)
+    return known
+
+
+def category_reason(reason: F.Column, known: dict[str, list[str]]) -> F.Column:
+    """Extend a quarantine reason: a null or unseen category would be skipped by the indexer, so
+    the row is set aside with ``unknown_<col>`` instead of vanishing."""
+    expr = reason
+    for c, labels in known.items():
+        bad = F.col(c).isNull() | ~F.col(c).isin(labels)
+        expr = F.when(expr.isNotNull(), expr).when(bad, F.lit(f"unknown_{c}"))
+    return expr
+
+
 def make_batch_processor(schema: str, required: list[str], scorer: Callable[[DataFrame], DataFrame],
                          outputs: ScoringOutputs, query_name: str, fraud_col: str = "predicted_fraud",
-                         high_risk_col: str = "is_high_risk", drop_cols: tuple[str, ...] = ()):
+                         high_risk_col: str = "is_high_risk", drop_cols: tuple[str, ...] = (),
+                         known_categories: dict[str, list[str]] | None = None):
     """The ``foreachBatch`` body: parse -> quarantine -> score -> fan out -> KPI row.
 
     The KPI counts are ``Observation`` metrics collected while the scored messages are written,
@@ -52,7 +76,10 @@ def make_batch_processor(schema: str, required: list[str], scorer: Callable[[Dat
         started = time.time()
         spark = batch.sparkSession
         parsed = parse_json(batch, "json", schema)
-        parsed = parsed.withColumn("reason", quarantine_reason(parsed, "json", required))
+        reason = quarantine_reason(parsed, "json", required)
+        if known_categories:
+            reason = category_reason(reason, known_categories)
+        parsed = parsed.withColumn("reason", reason)
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = parsed.where(F.col("reason").isNull()).drop("reason", CORRUPT, "json")
@@ -90,13 +117,15 @@ KPI_SCHEMA = ("query STRING, n BIGINT, n_fraud BIGINT, n_high_risk BIGINT, n_qua
 
 def start_scoring(messages: DataFrame, schema: str, required: list[str], scorer: Callable[[DataFrame], DataFrame],
                   outputs: ScoringOutputs, checkpoint: str, query_name: str = "scoring",
-                  trigger: dict | None = None, drop_cols: tuple[str, ...] = ()) -> StreamingQuery:
+                  trigger: dict | None = None, drop_cols: tuple[str, ...] = (),
+                  known_categories: dict[str, list[str]] | None = None) -> StreamingQuery:
     """Start the named scoring query with its own checkpoint (offsets survive restarts).
 
     ``trigger`` defaults to the reference's 10-second processing-time trigger; tests and
     bounded back-fills pass ``{"availableNow": True}``.
     """
-    fn = make_batch_processor(schema, required, scorer, outputs, query_name, drop_cols=drop_cols)
+    fn = make_batch_processor(schema, required, scorer, outputs, query_name, drop_cols=drop_cols,
+                              known_categories=known_categories)
     writer = (messages.writeStream.queryName(query_name).option("checkpointLocation", checkpoint)
               .foreachBatch(fn))
     writer = writer.trigger(**(trigger or {"processingTime": SINK_TRIGGER}))
