@@ -68,8 +68,13 @@ def rate_summary(per_bucket: DataFrame, count_col: str, bucket_seconds: int) ->
         (F.max(count_col) / F.lit(float(bucket_seconds))).alias("max_rate"))
 
 
+def day_start(ts: str | Column) -> Column:
+    """Start of the UTC day as TIMESTAMP_NTZ (day buckets share the type of window starts)."""
+    return F.to_date(F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
+
+
 def daily_counts(df: DataFrame, ts: str, counts: dict[str, Column], keys: list[str] | None = None) -> DataFrame:
-    return df.groupBy(*(keys or []), F.to_date(ts).alias("day")).agg(
+    return df.groupBy(*(keys or []), day_start(ts).alias("day")).agg(
         *[F.count_if(cond).alias(name) for name, cond in counts.items()])
 
 

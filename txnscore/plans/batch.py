@@ -174,7 +174,7 @@ def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("batch_kpis")
 def q_batch_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG2/AG4/AG5/RP7: one KPI row per daily batch of scored events."""
-    s = scored(spark, sf_dir).withColumn("batch_day", F.to_date("ts"))
+    s = scored(spark, sf_dir).withColumn("batch_day", F.to_date("ts").cast("timestamp_ntz"))
     out = agg.batch_kpis(s, group_cols=["batch_day"])
     return out.withColumn("approval_rate", round6("approval_rate"))
 

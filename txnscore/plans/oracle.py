@@ -91,7 +91,7 @@ SQL["class_counts"] = with_views("SELECT is_fraud, count(*) AS n FROM txn GROUP
 SQL["class_weights"] = with_views("""SELECT t.txn_id, t.is_fraud, round(w.weight, 6) AS weight FROM txn t
     JOIN (SELECT is_fraud, CAST(sum(count(*)) OVER () AS DOUBLE) / count(*) AS weight
           FROM txn WHERE is_fraud IS NOT NULL GROUP BY is_fraud) w ON t.is_fraud = w.is_fraud""", "txn")
-SQL["batch_kpis"] = with_views("""SELECT CAST(ts AS DATE) AS batch_day, count(*) AS n,
+SQL["batch_kpis"] = with_views("""SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS batch_day, count(*) AS n,
     count(*) FILTER (WHERE predicted_fraud) AS n_fraud, count(*) FILTER (WHERE is_high_risk) AS n_high_risk,
     round((count(*) - count(*) FILTER (WHERE predicted_fraud)) / CAST(nullif(count(*), 0) AS DOUBLE), 6) AS approval_rate
     FROM scored GROUP BY 1""", "scored")
@@ -165,7 +165,7 @@ SQL["rate_1m"] = with_views(f""", {_MINUTES}
 SQL["rate_summary"] = with_views(f""", {_MINUTES}
   SELECT max(b) - min(b) + 1 AS n_points, round(sum(n) / (max(b) - min(b) + 1) / 60.0, 6) AS mean_rate,
     round(max(n) / 60.0, 6) AS max_rate FROM m""", "scored")
-SQL["running_totals"] = with_views(""", d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n,
+SQL["running_totals"] = with_views(""", d AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, count(*) AS n,
     count(*) FILTER (WHERE predicted_fraud) AS n_fraud FROM scored GROUP BY 1)
   SELECT day, n, n_fraud, CAST(sum(n) OVER (ORDER BY day) AS BIGINT) AS total_processed,
     CAST(sum(n_fraud) OVER (ORDER BY day) AS BIGINT) AS total_fraud FROM d""", "scored")
@@ -174,24 +174,24 @@ SQL["last_not_null"] = with_views(""", r AS (SELECT event_type, ts, value,
   SELECT r.event_type, mx.last_ts, r.value AS last_value FROM r
   JOIN (SELECT event_type, max(ts) AS last_ts FROM ev WHERE value IS NOT NULL GROUP BY 1) mx USING (event_type)
   WHERE rn = 1""", "ev")
-SQL["counter_increase"] = with_views(""", d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM ev GROUP BY 1, 2),
+SQL["counter_increase"] = with_views(""", d AS (SELECT event_type, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, count(*) AS n FROM ev GROUP BY 1, 2),
   c AS (SELECT event_type, day, CAST(sum(n) OVER (PARTITION BY event_type,
-      floor(date_diff('day', DATE '1970-01-01', day) / 7) ORDER BY day) AS BIGINT) AS counter FROM d),
+      floor(date_diff('day', DATE '1970-01-01', CAST(day AS DATE)) / 7) ORDER BY day) AS BIGINT) AS counter FROM d),
   l AS (SELECT *, lag(counter) OVER (PARTITION BY event_type ORDER BY day) AS prev FROM c)
   SELECT event_type, day, counter,
     CAST(CASE WHEN prev IS NULL OR counter < prev THEN counter ELSE counter - prev END AS BIGINT) AS increase,
     round(CASE WHEN prev IS NULL OR counter < prev THEN counter ELSE counter - prev END / 86400.0, 6) AS rate
   FROM l""", "ev")
 SQL["gauge_from_deltas"] = """WITH ls AS (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1),
-  deltas AS (SELECT o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS day, 1 AS delta FROM orders
-    UNION ALL SELECT o_orderpriority, CAST(last_ship AS DATE), -1 FROM orders JOIN ls ON o_orderkey = l_orderkey),
+  deltas AS (SELECT o_orderpriority AS priority, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day, 1 AS delta FROM orders
+    UNION ALL SELECT o_orderpriority, CAST(CAST(last_ship AS DATE) AS TIMESTAMP), -1 FROM orders JOIN ls ON o_orderkey = l_orderkey),
   per AS (SELECT priority, day, CAST(sum(delta) AS BIGINT) AS delta FROM deltas GROUP BY 1, 2)
   SELECT priority, day, delta, CAST(sum(delta) OVER (PARTITION BY priority ORDER BY day) AS BIGINT) AS gauge FROM per"""
-SQL["approval_rate_series"] = with_views(""", d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n,
+SQL["approval_rate_series"] = with_views(""", d AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, count(*) AS n,
     count(*) FILTER (WHERE predicted_fraud) AS n_fraud FROM scored GROUP BY 1)
   SELECT day, n, n_fraud, round(100.0 * (n - n_fraud) / CAST(nullif(n, 0) AS DOUBLE), 6) AS approval_pct FROM d""",
                                          "scored")
-SQL["threshold_bands"] = with_views(""", d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM ev GROUP BY 1)
+SQL["threshold_bands"] = with_views(""", d AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, count(*) AS n FROM ev GROUP BY 1)
   SELECT day, n, CASE WHEN n >= 500 THEN 'red' WHEN n >= 100 THEN 'yellow' ELSE 'green' END AS band FROM d""", "ev")
 SQL["trailing_range"] = with_views("""SELECT event_id, ts, event_type, value FROM ev
   WHERE ts > (SELECT max(ts) FROM ev) - INTERVAL 1 DAY""", "ev")

@@ -59,7 +59,7 @@ def q_counter_increase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RP5: daily cumulative counters per event type that restart every 7 days -> increases."""
     from pyspark.sql import Window
     per_day = rp.daily_counts(ev(spark, sf_dir), "ts", {"n": F.lit(True)}, ["event_type"])
-    period = F.floor(F.datediff("day", F.lit("1970-01-01").cast("date")) / 7)
+    period = F.floor(F.datediff(F.to_date("day"), F.lit("1970-01-01").cast("date")) / 7)
     w = (Window.partitionBy("event_type", period).orderBy("day")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     counters = per_day.withColumn("counter", F.sum("n").over(w).cast("long"))
@@ -75,8 +75,8 @@ def q_gauge_from_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship")))
     # one pass over orders: each order emits its +1 and, if it has lines, its -1
     j = o.join(last_ship, o.o_orderkey == last_ship.l_orderkey, "left")
-    start = F.struct(F.to_date("o_orderdate").alias("day"), F.lit(1).alias("delta"))
-    end = F.struct(F.to_date("last_ship").alias("day"), F.lit(-1).alias("delta"))
+    start = F.struct(rp.day_start("o_orderdate").alias("day"), F.lit(1).alias("delta"))
+    end = F.struct(rp.day_start("last_ship").alias("day"), F.lit(-1).alias("delta"))
     events = F.when(F.col("last_ship").isNull(), F.array(start)).otherwise(F.array(start, end))
     deltas = j.select(F.col("o_orderpriority").alias("priority"), F.explode(events).alias("d")).select(
         "priority", "d.day", "d.delta")
