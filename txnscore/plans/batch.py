@@ -118,7 +118,7 @@ def q_score_from_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scored(spark, sf_dir)
     raw, prob = vector_to_array("rawPrediction"), vector_to_array("probability")
     return s.select("event_id", round6("margin").alias("margin"),
-                    round6(raw[0]).alias("raw0"), round6(raw[1]).alias("raw1"),
+                    (round6(raw[0]) + 0.0).alias("raw0"), round6(raw[1]).alias("raw1"),
                     round6(prob[0]).alias("p0"), round6(prob[1]).alias("p1"), "prediction")
 
 
@@ -147,7 +147,8 @@ def q_quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"))
     parsed = prep.parse_json(damaged, "props", "k INT", keep=["event_id", "value"])
     reason = prep.quarantine_reason(parsed, "props", ["value"])
-    return parsed.select("event_id", "k", "value", F.coalesce(reason, F.lit("ok")).alias("reason"))
+    return parsed.select("event_id", F.col("k").cast("double").alias("k"), "value",
+                         F.coalesce(reason, F.lit("ok")).alias("reason"))
 
 
 # --- joins and aggregates -----------------------------------------------------------------------

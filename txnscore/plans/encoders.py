@@ -47,7 +47,7 @@ def q_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = model.transform(e)
     hot = fe.vector_nonzero_indices("event_type_indexed_onehot")
     return out.select("event_id", F.col("event_type_indexed").alias("event_type_index"),
-                      F.get(hot, 0).alias("hot_index"))
+                      F.get(hot, 0).cast("double").alias("hot_index"))
 
 
 @register("assemble_features")

@@ -72,7 +72,7 @@ SQL["json_pack"] = with_views("""SELECT event_id, user_id, event_type, k,
     round(fraud_probability, 6) AS fraud_probability, predicted_fraud, is_high_risk FROM scored""", "scored")
 SQL["score_flags"] = with_views("""SELECT event_id, prediction, round(fraud_probability, 6) AS fraud_probability,
     predicted_fraud, is_high_risk FROM scored""", "scored")
-SQL["score_from_margin"] = with_views("""SELECT event_id, round(margin, 6) AS margin, round(-margin, 6) AS raw0,
+SQL["score_from_margin"] = with_views("""SELECT event_id, round(margin, 6) AS margin, round(-margin, 6) + 0.0 AS raw0,
     round(margin, 6) AS raw1, round(p0, 6) AS p0, round(fraud_probability, 6) AS p1, prediction
     FROM scored""", "scored")
 SQL["filter_known_categories"] = with_views("""SELECT event_id, event_type FROM ev
@@ -82,7 +82,7 @@ SQL["quarantine_rows"] = """WITH d AS (
     SELECT event_id,
       CASE WHEN event_id % 10 = 0 THEN substr(props, 1, length(props) - 1) ELSE props END AS props,
       CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value FROM events)
-  SELECT event_id, CASE WHEN json_valid(props) THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k, value,
+  SELECT event_id, CASE WHEN json_valid(props) THEN CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS DOUBLE) END AS k, value,
     CASE WHEN props IS NULL THEN 'null_message' WHEN NOT json_valid(props) THEN 'malformed_json'
          WHEN value IS NULL THEN 'missing_value' ELSE 'ok' END AS reason
   FROM d"""
@@ -210,7 +210,7 @@ SQL["one_hot"] = with_views(""", idx AS (SELECT event_type,
     count(*) OVER () AS n_labels
   FROM (SELECT event_type, count(*) AS n FROM ev WHERE event_type IS NOT NULL GROUP BY 1))
   SELECT e.event_id, idx.event_type_index,
-    CASE WHEN idx.event_type_index = n_labels - 1 THEN NULL ELSE CAST(idx.event_type_index AS INTEGER) END AS hot_index
+    CASE WHEN idx.event_type_index = n_labels - 1 THEN NULL ELSE idx.event_type_index END AS hot_index
   FROM ev e JOIN idx USING (event_type)""", "ev")
 SQL["assemble_features"] = with_views(""", ub AS (SELECT CAST(user_id % 5 AS VARCHAR) AS ub, count(*) AS n FROM ev GROUP BY 1),
   ubi AS (SELECT ub, CAST(row_number() OVER (ORDER BY n DESC, ub ASC) - 1 AS DOUBLE) AS idx FROM ub)
