@@ -40,15 +40,32 @@ def word2vec_stage(input_col: str, output_col: str, vector_size: int = WORD2VEC_
                    num_partitions: int | None = None, max_iter: int = 1) -> Word2Vec:
     """Document vector = sum of known word vectors / number of tokens (unknown ones included).
 
-    ``num_partitions`` defaults to the cluster's task slots: MLlib's own default (1) trains
-    every sentence in one task, which does not survive a large input.
+    Leave ``num_partitions`` unset to have ``size_for_input`` pick it at fit time: MLlib's own
+    default (1) trains every sentence in one task, which does not survive a large input.
     """
-    if num_partitions is None:
-        from pyspark.sql import SparkSession
-        active = SparkSession.getActiveSession()
-        num_partitions = active.sparkContext.defaultParallelism if active else 1
-    return Word2Vec(inputCol=input_col, outputCol=output_col, vectorSize=vector_size, minCount=min_count,
-                    seed=seed, numPartitions=num_partitions, maxIter=max_iter)
+    w2v = Word2Vec(inputCol=input_col, outputCol=output_col, vectorSize=vector_size, minCount=min_count,
+                   seed=seed, maxIter=max_iter)
+    if num_partitions is not None:
+        w2v.setNumPartitions(num_partitions)
+    return w2v
+
+
+def size_for_input(stages, df: DataFrame) -> None:
+    """Give every Word2Vec stage without an explicit ``numPartitions`` min(task slots, input
+    partitions): a one-split input trains in one task, a large input uses every slot."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(slots, df.rdd.getNumPartitions()))
+    for st in stages:
+        if isinstance(st, Pipeline):
+            size_for_input(st.getStages(), df)
+        elif isinstance(st, Word2Vec) and not st.isSet(st.numPartitions):
+            st.setNumPartitions(parts)
+
+
+def fit_sized(estimator, df: DataFrame):
+    """``estimator.fit(df)`` after sizing its Word2Vec stages for ``df``."""
+    size_for_input(estimator.getStages() if isinstance(estimator, Pipeline) else [estimator], df)
+    return estimator.fit(df)
 
 
 def hashing_stage(input_col: str, output_col: str, buckets: int = HASH_BUCKETS) -> HashingTF:

@@ -77,5 +77,5 @@ def q_word2vec_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
     pipe = Pipeline(stages=[fe.tokenizer_stage("p_name", "tokens", " "),
                             fe.word2vec_stage("tokens", "doc_vector")])
-    out = pipe.fit(p).transform(p)
+    out = fe.fit_sized(pipe, p).transform(p)
     return out.select("p_partkey", vector_to_array("doc_vector").alias("doc_vector"))
