@@ -121,10 +121,15 @@ def profile_columns(df: DataFrame, label: str = LABEL,
 # --- PR15: holdout split ----------------------------------------------------------------------
 
 def with_split(df: DataFrame, key: str, weights: list[float], seed: int, col: str = "split") -> DataFrame:
-    """Deterministic split by a seeded 64-bit hash of ``key``: the same row lands in the same
-    split however the input is partitioned (``randomSplit`` does not promise that)."""
+    """Deterministic split by a seeded hash of ``key``: the same row lands in the same split
+    however the input is partitioned (``randomSplit`` does not promise that). Integral keys use
+    Fibonacci hashing (reproducible outside Spark); other keys a seeded 64-bit xxhash."""
+    from ..functions.columns import fib_fraction
     total = float(sum(weights))
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)).cast("double") / 1_000_000.0
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        u = fib_fraction(key, seed)
+    else:
+        u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)).cast("double") / 1_000_000.0
     expr, acc = None, 0.0
     for i, w in enumerate(weights[:-1]):
         acc += w / total

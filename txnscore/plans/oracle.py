@@ -237,3 +237,8 @@ SQL["stream_rate"] = """WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS wi
   SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n, round(n / 3600.0, 6) AS rate FROM h
   WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
 SQL["publish_json"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
+# --- holdout split (Fibonacci hash of the event id, seed 1409, weights 0.7 / 0.3) --------------------
+SQL["holdout_split"] = """WITH x AS (SELECT event_id, ((event_id + 1409) % 4294967296 + 4294967296) % 4294967296 AS x FROM events),
+  u AS (SELECT event_id, CAST((x * 31161 + ((x * 40503) % 65536) * 65536) % 4294967296 AS DOUBLE) / 4294967296.0 AS u FROM x)
+  SELECT event_id, CASE WHEN u < 0.7 THEN 0 ELSE 1 END AS split FROM u"""
