@@ -66,6 +66,13 @@ def test_replayed_batch_id_keeps_one_kpi_row(spark):
     fn(batch, 3)
     fn(batch, 3)
     assert read_kpis(spark, outputs.kpis).count() == 1
+    fn(batch.limit(0), 4)                                                   # an empty batch
+    from txnscore.streaming.scoring import kpi_gauges
+    k = read_kpis(spark, outputs.kpis)
+    g = kpi_gauges(k).first()
+    first = k.where("batch_id = 3").first()
+    assert g.last_batch_id == 4 and g.batch_size == 0
+    assert g.approval_rate == first.approval_rate                           # previous value kept
 
 
 def test_saved_pipeline_scores_stream_like_batch(spark):

@@ -155,3 +155,14 @@ def kpi_totals(kpis: DataFrame) -> DataFrame:
                  F.sum("n_quarantined").cast("long").alias("n_quarantined"),
                  F.count(F.lit(1)).alias("n_batches"))
     return t.withColumn("approval_rate", approval_rate("n", "n_fraud"))
+
+
+def kpi_gauges(kpis: DataFrame) -> DataFrame:
+    """Gauges as the dashboard shows them (RP7, RP4 lastNotNull): the size of the latest batch,
+    the latest non-null approval rate and the slowest batch, from the KPI table by batch id."""
+    return kpis.agg(
+        F.max("batch_id").alias("last_batch_id"),
+        F.max_by("n", "batch_id").alias("batch_size"),
+        F.max_by("approval_rate", F.when(F.col("approval_rate").isNotNull(), F.col("batch_id")))
+         .alias("approval_rate"),
+        F.max("duration_seconds").alias("max_duration_seconds"))
