@@ -37,3 +37,18 @@ def test_entry_smoke(spark):
 def test_rows_only_queries_run(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
     assert df.count() >= 1
+
+
+TIME_KEYS = ["rate_5m", "rate_1m", "rate_summary", "running_totals", "batch_kpis", "counter_increase",
+             "gauge_from_deltas", "approval_rate_series", "threshold_bands", "trailing_range", "last_not_null",
+             "scan_transactions", "event_timestamp", "entity_key", "stream_rate", "publish_json"]
+
+
+def test_time_queries_do_not_depend_on_session_zone(spark, con):
+    """The driver may run the queries in a session whose zone is not UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        problems = {k: compare(entry.queries()[k](spark, SF_SMALL), SQL[k], con) for k in TIME_KEYS}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {k: p for k, p in problems.items() if p} == {}

@@ -36,9 +36,18 @@ def entity_key(card: str | Column, addr: str | Column, offset_seconds: str | Col
                        F.floor(day - _c(day_offset)).cast("string"))
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
 def epoch_seconds(ts: str | Column) -> Column:
-    """Whole seconds since 1970 for a TIMESTAMP or TIMESTAMP_NTZ column (UTC session)."""
-    return F.floor(F.unix_micros(_c(ts).cast("timestamp")) / F.lit(1_000_000)).cast("long")
+    """Whole seconds from 1970-01-01 to a TIMESTAMP_NTZ wall-clock value (read as UTC). Pure
+    NTZ arithmetic, so the result does not depend on the session time zone."""
+    return F.timestamp_diff("SECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), _c(ts))
+
+
+def ntz_from_epoch_seconds(seconds: str | Column) -> Column:
+    """Inverse of ``epoch_seconds``: TIMESTAMP_NTZ, independent of the session time zone."""
+    return F.timestamp_add("SECOND", _c(seconds), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def probability_from_margin(margin: str | Column) -> Column:

@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import approval_rate, epoch_seconds, threshold_band
+from ..functions.columns import approval_rate, epoch_seconds, ntz_from_epoch_seconds, threshold_band
 
 
 def _ts_from_seconds(seconds: Column) -> Column:
-    """Epoch seconds -> TIMESTAMP_NTZ (UTC wall clock)."""
-    return F.timestamp_seconds(seconds).cast("timestamp_ntz")
+    """Epoch seconds -> TIMESTAMP_NTZ (UTC wall clock), without the session time zone."""
+    return ntz_from_epoch_seconds(seconds)
 
 
 def bucket_counts(df: DataFrame, ts: str, bucket_seconds: int, counts: dict[str, Column],
