@@ -2,9 +2,7 @@
 
 import math
 
-from pyspark.sql import Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txnscore.functions.columns import approval_rate, fraud_flag, high_risk_flag
 from txnscore.operators import aggregates as agg
