@@ -56,7 +56,7 @@ def bucket_labels(buckets: list[float]) -> list[str]:
 
 
 def histogram_le(df: DataFrame, value_col: str, buckets: list[float] = DURATION_BUCKETS) -> DataFrame:
-    """AG6: cumulative ``le`` buckets with total sum and count (Prometheus histogram layout).
+    """AG6: cumulative ``le`` buckets with total sum and count (cumulative-bucket histogram layout).
 
     Rows are reduced to one count per bucket by a hash aggregate; the cumulative sum then runs
     over the bucket table (len(buckets) + 1 rows), never over raw rows.
