@@ -25,9 +25,11 @@ def class_weight_table(df: DataFrame, label: str = LABEL, num_classes: int = 2,
     """
     counts = (df.where(F.col(label).isNotNull()).groupBy(label)
               .agg(F.count(F.lit(1)).alias("n_class")))
-    # N (and k) as scalar subqueries: distributed aggregates, no window over the class table
-    total = counts.select(F.sum("n_class")).scalar()
-    k = counts.select(F.count(F.lit(1))).scalar() if normalize else F.lit(1)
+    # The class table has one row per distinct label value (the classes), so a window over all
+    # of it is bounded; computing N this way costs no extra scan of the data.
+    everything = Window.partitionBy()
+    total = F.sum("n_class").over(everything)
+    k = F.count(F.lit(1)).over(everything) if normalize else F.lit(1)
     weights = counts.select(label, (total.cast("double") / (k * F.col("n_class"))).alias("weight"))
     return weights.where(F.col(label).between(0, num_classes - 1))
 
