@@ -54,3 +54,24 @@ def test_reference_layout_width_1065(spark):
     assert {404, 686, 970} <= set(r.nz)
     # the Word2Vec document vector exists (size 20) but is not assembled
     assert out.select(fe.vector_width("DeviceInfoVector")).first()[0] == 20
+
+
+def test_relational_average_equals_word2vec_transform(spark):
+    """FE3 against FE2: averaging the fitted word vectors per document (relational form, misses
+    in the divisor) gives MLlib's Word2Vec document vectors."""
+    from pyspark.ml.functions import vector_to_array
+    from conftest import SF_SMALL
+    from txnscore.sources.tables import read_table
+    parts = read_table(spark, SF_SMALL, "part", ["p_partkey", "p_name"])
+    model = Pipeline(stages=[fe.tokenizer_stage("p_name", "tokens", " "),
+                             fe.word2vec_stage("tokens", "v", vector_size=8, min_count=2)]).fit(parts)
+    w2v = model.stages[-1]
+    docs = model.transform(parts).select("p_partkey", vector_to_array("v").alias("v"))
+    counts = (parts.select("p_partkey", F.explode(fe.tokenize("p_name", " ")).alias("word"))
+              .groupBy("p_partkey", "word").agg(F.count(F.lit(1)).alias("c")))
+    vectors = w2v.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    avg = fe.average_vectors(counts, vectors, "p_partkey", "word", "c", "vector")
+    got = {r.p_partkey: r.avg_vector for r in avg.collect()}
+    want = {r.p_partkey: r.v for r in docs.collect()}
+    assert got.keys() == want.keys()
+    assert all(math.isclose(a, b, abs_tol=1e-6) for k in want for a, b in zip(got[k], want[k]))

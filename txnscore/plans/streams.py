@@ -10,6 +10,7 @@ from ..functions.columns import round6
 from ..schema import DRIVER_TABLES
 from ..session import scratch_path
 from ..sources.publish import JSON_OPTIONS, publish_json, to_json_messages
+from ..sources.files import path_exists
 from ..sources.tables import read_table
 from ..streaming import rates
 from ..streaming.scoring import ScoringOutputs, kpi_totals, read_kpis, run_to_completion, start_scoring
@@ -41,7 +42,7 @@ def _score_stream(spark: SparkSession, sf_dir: str) -> ScoringOutputs:
     messages, quarantine, KPI rows) are read by the queries below, like any consumer would."""
     run_key = (spark.sparkContext.applicationId, sf_dir)
     done = _SERVICE_RUNS.get(run_key)
-    if done is not None and is_materialized_dir(spark, done.kpis):
+    if done is not None and path_exists(spark, done.kpis):
         return done
     src = _publish_events(spark, sf_dir)
     outputs = ScoringOutputs(scored=scratch_path(spark, "scored"), quarantine=scratch_path(spark, "quarantine"),
@@ -55,12 +56,6 @@ def _score_stream(spark: SparkSession, sf_dir: str) -> ScoringOutputs:
     return outputs
 
 
-def is_materialized_dir(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
 @register("stream_ingest")
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO5 + ST2 + ST4: file stream of events into a parquet sink with its own checkpoint."""

@@ -42,12 +42,16 @@ def write_features(df: DataFrame, path: str, partition_by: list[str] | None = No
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of ``path`` (local, HDFS, object store)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def is_materialized(spark: SparkSession, path: str) -> bool:
     """IO4: a table counts as present only when its ``_SUCCESS`` marker exists."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def materialize_if_missing(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> bool:
