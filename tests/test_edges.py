@@ -66,6 +66,9 @@ def test_word2vec_empty_and_unknown_tokens_give_zero_vector(spark):
     from pyspark.ml.functions import vector_to_array
     v = model.transform(test).select(vector_to_array("v").alias("a")).first().a
     assert v == [0.0, 0.0, 0.0, 0.0]
+    w2v = model.stages[-1]
+    empty = spark.createDataFrame([([],)], "tok ARRAY<STRING>")
+    assert w2v.transform(empty).select(vector_to_array("v")).first()[0] == [0.0, 0.0, 0.0, 0.0]
 
 
 def test_flags_edges(spark):

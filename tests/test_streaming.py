@@ -110,3 +110,37 @@ def test_saved_pipeline_scores_stream_like_batch(spark):
     assert quarantined.where("reason = 'unknown_user_bucket'").count() == n_unseen
     t = kpi_totals(read_kpis(spark, outputs.kpis)).first()
     assert t.n + t.n_quarantined == data.count()
+
+
+def test_reference_schema_stream_quarantines_null_model_inputs(spark):
+    """score_stream on the 67-field message schema: a message with a null numeric feature is set
+    aside (the assembler would otherwise fail the batch); a complete message is scored."""
+    import json
+    from pyspark.ml.classification import GBTClassifier
+    from txnscore.api import feature_pipeline, score_stream
+    from txnscore.operators import models as ml
+    from txnscore.schema import FEATURE_SCHEMA, TRAINING_SCHEMA
+    root = tempfile.mkdtemp(prefix="txnscore-test-")
+    base = {f.name: 1.0 for f in FEATURE_SCHEMA.fields}
+    base.update(card1=10409, ENTITY_ID="10409_170.0_-206", ProductCD="W", card6="debit",
+                DeviceType="mobile", DeviceInfo="SM-G950F Build/NRD90M")
+    rows = [dict(base, TransactionAmt=float(i), isFraud=i % 2) for i in range(20)]
+    train = spark.createDataFrame([tuple(r[f.name] if f.dataType.simpleString() != "int" else int(r[f.name])
+                                         for f in TRAINING_SCHEMA.fields) for r in rows], TRAINING_SCHEMA)
+    model = ml.fit_pipeline(feature_pipeline(), GBTClassifier(labelCol="isFraud", maxIter=2, maxDepth=2), train)
+    model.write().overwrite().save(os.path.join(root, "m"))
+    good = dict(base, TransactionAmt=3.0)
+    bad = dict(base, V62=None)
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "part-0.txt"), "w") as fh:
+        fh.write(json.dumps(good) + "\n" + json.dumps(bad) + "\n")
+    outputs = ScoringOutputs(os.path.join(root, "s"), os.path.join(root, "q"), os.path.join(root, "k"))
+    q = score_stream(spark, message_stream(spark, "files", path=src), os.path.join(root, "m"), outputs,
+                     os.path.join(root, "ckpt"), trigger={"availableNow": True},
+                     drop_cols=("rawPrediction", "probability", "features", "ENTITY_ID_hashed",
+                                "DeviceInfoVector", "DeviceInfoTokens", "ENTITY_ID_tokens"))
+    run_to_completion(q)
+    assert spark.read.text(outputs.scored).count() == 1
+    reasons = [r.reason for r in spark.read.parquet(outputs.quarantine).collect()]
+    assert reasons == ["missing_V62"]

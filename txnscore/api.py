@@ -13,7 +13,7 @@ from .operators import aggregates, models
 from .operators.evaluate import evaluate  # noqa: F401  (re-export)
 from .operators.features import feature_pipeline as _feature_pipeline
 from .operators.features import fit_sized
-from .operators.prepare import REFERENCE_COLUMNS, TxnColumns, holdout_split
+from .operators.prepare import REFERENCE_COLUMNS, TxnColumns, column_roles, holdout_split
 from .operators.prepare import prepare as _prepare
 from .operators.scoring import with_score_flags
 from .schema import (FEATURE_SCHEMA, GBT_SPLIT, LABEL, RF_SPLIT, SPLIT_SEED, string_columns)
@@ -106,7 +106,11 @@ def score_stream(spark: SparkSession, messages: DataFrame, model_dir: str, outpu
     scored sink + quarantine + KPI rows, as one named query with its own checkpoint."""
     model = PipelineModel.load(model_dir)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return start_scoring(messages, ddl, required or ["ENTITY_ID"],
+    if required is None:
+        # every model input: a null numeric would make the assembler fail the whole batch and a
+        # null token source would break Word2Vec, so such rows are quarantined instead
+        required = [c for c, role in column_roles(schema).items() if role in ("assemble", "tokens")]
+    return start_scoring(messages, ddl, required,
                          lambda df: with_score_flags(model.transform(df)), outputs, checkpoint,
                          query_name=query_name, trigger=trigger, drop_cols=drop_cols,
                          known_categories=categories_from_model(model))
