@@ -1,0 +1,17 @@
+"""Spreading inputs with too few splits.
+
+An input with fewer partitions than the cluster has task slots (one unsplittable file, one row
+group) runs every per-row expression in that many tasks. Ahead of CPU-heavy per-row work (JSON
+encoding, hashing and vector assembly, model scoring, iterative training) such an input is
+round-robined over the slots once. Inputs that already have enough partitions - every input at
+scale - are returned unchanged, so this adds no shuffle there.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

@@ -9,6 +9,7 @@ from ..functions.columns import round6
 from ..operators import aggregates as agg
 from ..operators import evaluate as ev_ops
 from ..operators import prepare as prep
+from ..operators.partitioning import spread
 from ..session import scratch_path
 from ..sources import files
 from ..sources.publish import to_json_messages
@@ -98,7 +99,7 @@ def q_json_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PR7: whole row -> one JSON string; checked by reading the fields back out of the text."""
     s = scored(spark, sf_dir).select("event_id", "user_id", "event_type", "k", "fraud_probability",
                                      "predicted_fraud", "is_high_risk")
-    packed = to_json_messages(s)
+    packed = to_json_messages(spread(s))
     m = F.from_json("value", "event_id BIGINT, user_id BIGINT, event_type STRING, k INT, "
                              "fraud_probability DOUBLE, predicted_fraud BOOLEAN, is_high_risk BOOLEAN").alias("m")
     return packed.select(m).select("m.*").withColumn("fraud_probability", round6("fraud_probability"))

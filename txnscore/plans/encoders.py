@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round6
 from ..operators import features as fe
 from ..operators import prepare as prep
+from ..operators.partitioning import spread
 from ..sources.tables import read_table
 from .registry import register
 from .views import TXN_COLUMNS, ev, ident, ml_events, txn
@@ -25,7 +26,7 @@ def q_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("hash_tokens")
 def q_hash_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FE4: entity keys split on '_' and hashed into 1000 buckets (term counts)."""
-    prepared = prep.prepare(txn(spark, sf_dir), ident(spark, sf_dir), TXN_COLUMNS)
+    prepared = spread(prep.prepare(txn(spark, sf_dir), ident(spark, sf_dir), TXN_COLUMNS))
     stages = [fe.tokenizer_stage("entity_id", "entity_tokens", "_"),
               fe.hashing_stage("entity_tokens", "entity_hashed")]
     h = Pipeline(stages=stages).fit(prepared).transform(prepared)
@@ -42,7 +43,7 @@ def q_index_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("one_hot")
 def q_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FE10: indexed event type -> one-hot (last category dropped): position of the hot bit."""
-    e = ev(spark, sf_dir).select("event_id", "event_type")
+    e = spread(ev(spark, sf_dir).select("event_id", "event_type"))
     model = Pipeline(stages=[fe.indexer_stage(["event_type"]), fe.one_hot_stage(["event_type_indexed"])]).fit(e)
     out = model.transform(e)
     hot = fe.vector_nonzero_indices("event_type_indexed_onehot")
@@ -53,7 +54,7 @@ def q_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("assemble_features")
 def q_assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FE6: numeric + hashed entity + indexed category -> one vector; width and entry sum."""
-    m = ml_events(spark, sf_dir)
+    m = spread(ml_events(spark, sf_dir))
     pipe = fe.feature_pipeline(["value", "k"], ["user_bucket"], "entity_id", None)
     out = pipe.fit(m).transform(m)
     return out.select("event_id", fe.vector_width("features").alias("width"),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import round6
+from ..operators.partitioning import spread
 from ..schema import DRIVER_TABLES
 from ..session import scratch_path
 from ..sources.publish import JSON_OPTIONS, publish_json, to_json_messages
@@ -21,14 +22,14 @@ from .views import ev_from, scored_from
 EVENT_SCHEMA = DRIVER_TABLES["events"]
 REQUIRED = ["event_id", "ts", "props"]
 RECORDS_PER_FILE = 10000
-FILES_PER_TRIGGER = 5
+FILES_PER_TRIGGER = 8
 AVAILABLE_NOW = {"availableNow": True}
 
 
 def _publish_events(spark: SparkSession, sf_dir: str) -> str:
     """IO8: every event row as one JSON message (distributed text write)."""
     path = scratch_path(spark, "messages")
-    events = read_table(spark, sf_dir, "events")
+    events = spread(read_table(spark, sf_dir, "events"))
     messages = to_json_messages(events)
     messages.write.option("maxRecordsPerFile", RECORDS_PER_FILE).mode("overwrite").text(path)
     return path
@@ -106,6 +107,6 @@ def q_stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_publish_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO8: the events table published as JSON messages (one distributed write), read back."""
     path = scratch_path(spark, "published")
-    publish_json(read_table(spark, sf_dir, "events"), "text", path)
+    publish_json(spread(read_table(spark, sf_dir, "events")), "text", path)
     parsed = spark.read.text(path).select(F.from_json("value", EVENT_SCHEMA, JSON_OPTIONS).alias("m"))
     return parsed.select("m.*")
