@@ -59,3 +59,19 @@ def test_k_fold_cross_validation(spark):
     rows = out.collect()
     assert len(rows) == 2 and sum(r.is_best for r in rows) == 1
     assert all(0.0 <= r.accuracy <= 1.0 for r in rows)
+
+
+def test_api_train_program(spark):
+    """prepare (materialized once) -> scan by name -> train-or-load -> evaluate, on txn/ident."""
+    from txnscore.api import TrainConfig, train
+    from txnscore.operators.features import feature_pipeline
+    from txnscore.plans.views import TXN_COLUMNS, ident, txn
+    root = tempfile.mkdtemp(prefix="txnscore-test-")
+    feats = feature_pipeline(["amount", "event_timestamp", "addr1", "D4"], ["product", "c_mktsegment"],
+                             "entity_id", "c_name")
+    cfg = TrainConfig(model_path=os.path.join(root, "m"), label="is_fraud", features=feats,
+                      grid=[dict(max_depth=2, max_bins=16, step_size=0.1, max_iter=3)], hash_split_key="txn_id")
+    processed = os.path.join(root, "processed")
+    _, candidates = train(spark, cfg, txn(spark, SF_SMALL), ident(spark, SF_SMALL), processed, TXN_COLUMNS)
+    assert files.is_materialized(spark, processed)
+    assert candidates.where("is_best").count() == 1

@@ -124,3 +124,13 @@ def publish(df: DataFrame, sink: str = "text", path: str | None = None, options:
 def batch_kpis(df: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
     """generateBatchMetrics as a frame: n, n_fraud, n_high_risk, approval_rate."""
     return aggregates.batch_kpis(df, group_cols=group_cols)
+
+
+def train(spark: SparkSession, cfg: TrainConfig, txns: DataFrame, identities: DataFrame, processed_path: str,
+          cols: TxnColumns = REFERENCE_COLUMNS):
+    """The training program: materialize the processed table if it is missing (per split), read
+    it back by name, then train-or-load and evaluate (``train_gbt``)."""
+    prepare_split(spark, txns, identities, processed_path, cols)
+    from .sources.files import scan_features
+    data = scan_features(spark, processed_path, list(cols.features), label=cols.label)
+    return train_gbt(spark, data, cfg)
