@@ -91,10 +91,13 @@ def make_batch_processor(schema: str, required: list[str], scorer: Callable[[Dat
             observed = scored.observe(kpi_obs, F.count(F.lit(1)).alias("n"),
                                       F.count_if(F.col(fraud_col)).alias("n_fraud"),
                                       F.count_if(F.col(high_risk_col)).alias("n_high_risk"))
-            _write_batch(to_json_messages(observed), outputs.scored, batch_id, "text")
-            if outputs.kafka:
-                to_json_messages(scored).write.format("kafka").options(**outputs.kafka).save()
-                scored.unpersist()
+            try:
+                _write_batch(to_json_messages(observed), outputs.scored, batch_id, "text")
+                if outputs.kafka:
+                    to_json_messages(scored).write.format("kafka").options(**outputs.kafka).save()
+            finally:
+                if outputs.kafka:
+                    scored.unpersist()
             bad_obs = Observation(f"{query_name}_bad_{batch_id}_{int(started * 1e6)}")
             _write_batch(bad.observe(bad_obs, F.count(F.lit(1)).alias("n")), outputs.quarantine, batch_id,
                          "parquet")
