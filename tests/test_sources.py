@@ -75,3 +75,57 @@ def test_api_train_program(spark):
     _, candidates = train(spark, cfg, txn(spark, SF_SMALL), ident(spark, SF_SMALL), processed, TXN_COLUMNS)
     assert files.is_materialized(spark, processed)
     assert candidates.where("is_best").count() == 1
+
+
+def test_reference_shaped_csv_to_trained_model(spark):
+    """Raw transaction/identity CSVs with the reference's column names -> prepare (join,
+    offsets, fill, timestamp, entity key, the 67 selected features + label, materialized once)
+    -> grid search -> saved pipeline that scores the processed rows."""
+    from pyspark.ml import PipelineModel
+    from pyspark.sql import types as T
+    from txnscore.api import TrainConfig, train
+    from txnscore.schema import FEATURE_FIELDS, SELECTED_FEATURES
+    root = tempfile.mkdtemp(prefix="txnscore-test-")
+    types = dict(FEATURE_FIELDS)
+    ident_cols = [c for c in SELECTED_FEATURES if c.startswith("id_")] + ["DeviceType", "DeviceInfo"]
+    txn_cols = [c for c in SELECTED_FEATURES if c not in ident_cols and c not in ("EVENT_TIMESTAMP", "ENTITY_ID")]
+    d_cols = [f"D{i}" for i in range(1, 16)]
+
+    def field(name):
+        t = {"double": T.DoubleType(), "int": T.IntegerType(), "string": T.StringType()}[types.get(name, "double")]
+        return T.StructField(name, t, True)
+
+    txn_schema = T.StructType([T.StructField("TransactionID", T.LongType()), T.StructField("TransactionDT", T.IntegerType())]
+                              + [field(c) for c in txn_cols + d_cols] + [T.StructField("isFraud", T.IntegerType())])
+    id_schema = T.StructType([T.StructField("TransactionID", T.LongType())] + [field(c) for c in ident_cols])
+    txn_rows, id_rows = [], []
+    for i in range(40):
+        vals = []
+        for f in txn_schema.fields[2:-1]:
+            if isinstance(f.dataType, T.StringType):
+                vals.append(["W", "C", "H"][i % 3] if f.name == "ProductCD" else ["debit", "credit"][i % 2])
+            elif isinstance(f.dataType, T.IntegerType):
+                vals.append(1000 + i % 7)
+            else:
+                vals.append(None if (f.name == "addr1" and i % 5 == 0) else float((i * 7 + len(f.name)) % 11))
+        txn_rows.append((i, 86400 * (i + 1) + i, *vals, i % 2))
+        if i % 3:
+            id_rows.append((i, *[float(i % 4) for _ in ident_cols[:-2]], ["mobile", "desktop"][i % 2], f"SM-{i % 3} Build"))
+    raw = os.path.join(root, "raw")
+    spark.createDataFrame(txn_rows, txn_schema).write.option("header", "true").csv(f"{raw}/t")
+    spark.createDataFrame(id_rows, id_schema).write.option("header", "true").csv(f"{raw}/i")
+    txns = files.scan_raw(spark, f"{raw}/t", txn_schema, fmt="csv")
+    ids = files.scan_raw(spark, f"{raw}/i", id_schema, fmt="csv")
+    cfg = TrainConfig(model_path=os.path.join(root, "model"),
+                      grid=[dict(max_depth=2, max_bins=16, step_size=0.1, max_iter=2)])
+    processed = os.path.join(root, "processed")
+    _, candidates = train(spark, cfg, txns, ids, processed)
+    assert candidates.where("is_best").count() == 1
+    table = spark.read.parquet(processed)
+    assert table.columns == SELECTED_FEATURES + ["isFraud"] and table.count() == 40
+    assert table.where("DeviceInfo = 'unknown'").count() == 40 - len(id_rows)
+    zero_addr = txns.where("addr1 IS NULL OR addr1 = 0.0").count()              # nulls are filled with 0
+    assert zero_addr > txns.where("addr1 = 0.0").count()
+    assert table.where("split(ENTITY_ID, '_')[1] = '0.0'").count() == zero_addr
+    scored = PipelineModel.load(cfg.model_path).transform(table)
+    assert scored.count() == 40 and "probability" in scored.columns
