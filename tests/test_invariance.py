@@ -22,3 +22,22 @@ def test_same_rows_for_1_and_64_shuffle_partitions(spark, name):
             spark.conf.set("spark.sql.shuffle.partitions", "8")
             spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert results[0] == results[1]
+
+
+def test_shuffle_join_fallback_gives_the_same_rows(spark, monkeypatch):
+    """With the broadcast bounds forced below the lookup sizes, the lookups go through shuffle
+    joins; results still equal the oracle."""
+    from oracle_check import compare, duck
+    from txnscore.operators import features, joins
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 1)
+    monkeypatch.setattr(features, "VECTOR_BROADCAST_MAX_ROWS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        con = duck(SF_SMALL)
+        for name in ("average_vectors", "filter_known_categories"):
+            df = entry.queries()[name](spark, SF_SMALL)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" not in plan, name
+            assert compare(df, entry.oracle_sql()[name], con) == [], name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

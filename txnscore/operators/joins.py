@@ -15,7 +15,8 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when ``df`` is proven small, else ``df`` unchanged (shuffle join; AQE
     may still convert it at run time from measured sizes)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if has_at_most(df, bound) else df
