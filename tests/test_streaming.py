@@ -73,6 +73,11 @@ def test_replayed_batch_id_keeps_one_kpi_row(spark):
     first = k.where("batch_id = 3").first()
     assert g.last_batch_id == 4 and g.batch_size == 0
     assert g.approval_rate == first.approval_rate                           # previous value kept
+    from txnscore.streaming.scoring import batch_duration_histogram
+    h = {r.le: r for r in batch_duration_histogram(k).collect()}
+    assert h["+Inf"].cumulative_count == 2 and h["+Inf"].value_count == 2
+    assert [h[x].cumulative_count for x in ("0.1", "1.0", "60.0")] == sorted(
+        h[x].cumulative_count for x in ("0.1", "1.0", "60.0"))
 
 
 def test_saved_pipeline_scores_stream_like_batch(spark):

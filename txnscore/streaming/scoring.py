@@ -169,3 +169,10 @@ def kpi_gauges(kpis: DataFrame) -> DataFrame:
         F.max_by("approval_rate", F.when(F.col("approval_rate").isNotNull(), F.col("batch_id")))
          .alias("approval_rate"),
         F.max("duration_seconds").alias("max_duration_seconds"))
+
+
+def batch_duration_histogram(kpis: DataFrame) -> DataFrame:
+    """AG6 on its own subject: the cumulative histogram of batch processing seconds over the
+    reference's bucket edges (0.1 ... 60, +Inf), with sum and count, from the KPI table."""
+    from ..operators.aggregates import histogram_le
+    return histogram_le(kpis, "duration_seconds").drop("bucket")
