@@ -113,5 +113,12 @@ DRIVER_TABLES = {
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }
 
+# Declared types of the raw transaction / identity columns the preparation reads (by name).
+RAW_TYPES = {
+    **{n: t for n, t in FEATURE_FIELDS if n not in ("EVENT_TIMESTAMP", "ENTITY_ID")},
+    "TransactionID": "long", "TransactionDT": "int", LABEL: "int",
+    **{f"D{i}": "double" for i in range(1, 16)},
+}
+
 # JSON payload carried by events.props.
 PROPS_SCHEMA = "k INT"

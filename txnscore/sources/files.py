@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import LABEL, SELECTED_FEATURES
@@ -23,6 +24,15 @@ def scan_raw(spark: SparkSession, path: str, schema: T.StructType | str, fmt: st
     return reader.format(fmt).load(path)
 
 
+def scan_csv_by_name(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
+    """IO1 for wide CSVs: take column names from the header (first line only; no inference pass),
+    cast the named columns to their declared types by name (a CSV schema would apply by
+    position), keep the others as strings."""
+    raw = spark.read.option("header", "true").option("mode", "PERMISSIVE").csv(path)
+    return raw.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`")
+                        for c in raw.columns])
+
+
 def scan_features(spark: SparkSession, path: str, columns: list[str] | None = None,
                   label: str | None = LABEL) -> DataFrame:
     """IO2: scan a processed feature table by name; the label is appended when the table has it."""
