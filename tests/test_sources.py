@@ -104,3 +104,17 @@ def test_reference_shaped_csv_to_trained_model(spark):
     assert table.where("split(ENTITY_ID, '_')[1] = '0.0'").count() == zero_addr
     scored = PipelineModel.load(cfg.model_path).transform(table)
     assert scored.count() == 40 and "probability" in scored.columns
+
+
+def test_csv_read_by_header_name_not_position(spark):
+    """D1: a file written in another column order than the declared types are listed in is
+    still read correctly, because columns are matched by header name."""
+    root = tempfile.mkdtemp(prefix="txnscore-test-")
+    src = read_table(spark, SF_SMALL, "customer")
+    shuffled = src.select("c_mktsegment", "c_acctbal", "c_custkey", "c_name", "c_nationkey")
+    shuffled.write.option("header", "true").csv(os.path.join(root, "c"))
+    types = {"c_custkey": "long", "c_nationkey": "int", "c_acctbal": "double"}   # in another order
+    back = files.scan_csv_by_name(spark, os.path.join(root, "c"), types)
+    assert dict(back.dtypes)["c_custkey"] == "bigint" and dict(back.dtypes)["c_acctbal"] == "double"
+    got = back.select(*src.columns)
+    assert got.exceptAll(src).count() == 0 and src.exceptAll(got).count() == 0
