@@ -59,6 +59,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory())
+
+
 def is_materialized(spark: SparkSession, path: str) -> bool:
     """IO4: a table counts as present only when its ``_SUCCESS`` marker exists."""
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")

@@ -9,12 +9,17 @@ from ..sources.kafka import kafka_stream
 
 
 def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet file stream over ``{sf_dir}`` restricted to ``{table}.parquet`` (declared schema)."""
-    r = (spark.readStream.schema(DRIVER_TABLES[table]).format("parquet")
-         .option("pathGlobFilter", f"{table}.parquet"))
+    """Parquet file stream of one table (declared schema). A table stored as a directory of part
+    files (any large table) is streamed from that directory; a single-file table from its folder
+    with a file-name filter."""
+    from ..sources.files import is_directory
+    r = spark.readStream.schema(DRIVER_TABLES[table]).format("parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(sf_dir)
+    table_path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    if is_directory(spark, table_path):
+        return r.load(table_path)
+    return r.option("pathGlobFilter", f"{table}.parquet").load(sf_dir)
 
 
 def message_stream(spark: SparkSession, source: str, path: str | None = None, servers: str | None = None,
