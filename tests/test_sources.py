@@ -118,3 +118,18 @@ def test_csv_read_by_header_name_not_position(spark):
     assert dict(back.dtypes)["c_custkey"] == "bigint" and dict(back.dtypes)["c_acctbal"] == "double"
     got = back.select(*src.columns)
     assert got.exceptAll(src).count() == 0 and src.exceptAll(got).count() == 0
+
+
+def test_api_train_rf_weighted_then_loaded(spark):
+    from txnscore.api import train_rf
+    from txnscore.operators.features import feature_pipeline
+    from txnscore.plans.views import ml_events
+    root = tempfile.mkdtemp(prefix="txnscore-test-")
+    data = ml_events(spark, SF_SMALL)
+    feats = feature_pipeline(["value", "k"], ["user_bucket"], "entity_id", None)
+    path = os.path.join(root, "rf")
+    _, m1 = train_rf(spark, data, path, label="is_fraud", features=feats, hash_split_key="event_id",
+                     num_trees=5, max_depth=3, max_bins=16)
+    _, m2 = train_rf(spark, data, path, label="is_fraud", features=feats, hash_split_key="event_id")
+    r1, r2 = m1.first(), m2.first()                      # second call loads the saved forest
+    assert r1.accuracy == r2.accuracy and r1.area_under_roc == r2.area_under_roc

@@ -84,13 +84,14 @@ def train_gbt(spark: SparkSession, data: DataFrame, cfg: TrainConfig):
 
 
 def train_rf(spark: SparkSession, data: DataFrame, model_path: str, label: str = LABEL,
-             split=None, seed: int = SPLIT_SEED, **rf_params):
+             split=None, seed: int = SPLIT_SEED, features=None, hash_split_key: str | None = None,
+             **rf_params):
     """trainAndEvaluate (random forest, class-weighted): load or train, then evaluate."""
-    train, test = holdout_split(data, split or list(RF_SPLIT), seed)
+    train, test = holdout_split(data, split or list(RF_SPLIT), seed, hash_split_key)
     try:
         model = PipelineModel.load(model_path)
     except Exception:  # noqa: BLE001
-        feats = fit_sized(feature_pipeline(label=label), train)
+        feats = fit_sized(features or feature_pipeline(label=label), train)
         rf = models.fit_persisted(models.random_forest(label, **rf_params),
                                   with_class_weights(feats.transform(train), label))
         model = PipelineModel(stages=list(feats.stages) + [rf])
