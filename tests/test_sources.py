@@ -133,3 +133,16 @@ def test_api_train_rf_weighted_then_loaded(spark):
     _, m2 = train_rf(spark, data, path, label="is_fraud", features=feats, hash_split_key="event_id")
     r1, r2 = m1.first(), m2.first()                      # second call loads the saved forest
     assert r1.accuracy == r2.accuracy and r1.area_under_roc == r2.area_under_roc
+
+
+def test_materialization_guard_is_per_split(spark):
+    """D12: each split's processed table is built when it is missing, independently."""
+    from txnscore.api import prepare_split
+    from txnscore.plans.views import TXN_COLUMNS, ident, txn
+    root = tempfile.mkdtemp(prefix="txnscore-test-")
+    t, i = txn(spark, SF_SMALL), ident(spark, SF_SMALL)
+    train_path, test_path = os.path.join(root, "train"), os.path.join(root, "test")
+    assert prepare_split(spark, t, i, train_path, TXN_COLUMNS) is True
+    assert prepare_split(spark, t, i, test_path, TXN_COLUMNS) is True      # not skipped by train's
+    assert prepare_split(spark, t, i, train_path, TXN_COLUMNS) is False
+    assert prepare_split(spark, t, i, test_path, TXN_COLUMNS) is False
