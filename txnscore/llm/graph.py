@@ -73,25 +73,54 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return rows.join(heads, "key")
 
 
-def cross_pairs(placed: DataFrame, percent: int) -> DataFrame:
+def unshared(sets: DataFrame) -> DataFrame:
+    """(id, alone): how many items of a set occur in no other set (ids without one are left out)."""
+    return (sets.select("id", F.explode("items").alias("item"))
+            .groupBy("item").agg(F.min("id").alias("id"), F.max("id").alias("last"))
+            .filter("id = last").groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
+
+
+#: Items in at most so many sets are compared one by one in the bound below.
+RARE = 64
+
+
+def _bounds(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, n, rare, common) of the sets that can reach the threshold at all: the items found in two
+    to ``RARE`` sets, and the number of those found in more."""
+    items = sets.select("id", F.explode("items").alias("item"))
+    rare = items.groupBy("item").agg(F.count(F.lit(1)).alias("uses")).filter(f"uses between 2 and {RARE}").select("item")
+    listed = items.join(rare, "item").groupBy("id").agg(F.collect_list("item").alias("rare"))
+    known = (sets.select("id", "n").join(unshared(sets), "id", "left").join(listed, "id", "left")
+             .select("id", "n", F.coalesce("rare", F.array().cast("array<bigint>")).alias("rare"),
+                     (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")))
+    return (known.filter(100 * F.col("shared") >= percent * F.col("n"))
+            .select("id", "n", "rare", (F.col("shared") - F.size("rare")).alias("common")))
+
+
+def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of one bucket that could still join two components.
 
-    ``placed`` has (key, id, comp, n, shared): the component of each member, its set size and how
-    many of its items occur in any other set. Members outside their bucket's largest component
-    meet the members of other components, unless min(shared) is too small for a link, which is an
-    upper bound of the intersection. Pairs inside a component are never formed.
+    ``placed`` has (key, id, comp), the component of each member; ``sets`` has (id, n, items). Members
+    outside their bucket's largest component meet the members of other components. A pair is
+    formed only if its common rare items plus the smaller number of frequent items, an upper bound
+    of the intersection, reach the threshold; pairs inside a component are never formed. This keeps
+    a large group of edited copies, whose members share most items, from being paired up.
     """
     main = (placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("members"))
             .groupBy("key").agg(F.max_by("comp", F.struct("members", "comp")).alias("main"),
                                 F.count(F.lit(1)).alias("comps"))
             .filter("comps > 1").drop("comps"))
-    split = cut(placed.filter(100 * F.col("shared") >= percent * F.col("n")).join(main, "key"))
-    strays = split.filter("comp <> main").select(
-        "key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"), F.col("comp").alias("ca"))
-    others = split.select(
-        "key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"), F.col("comp").alias("cb"), "main")
-    met = strays.join(others, "key").filter("ca <> cb and (cb = main or a < b)")
-    return met.filter(similar(F.least("sa", "sb"), F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
+    split = cut(placed.join(main, "key"))
+    ids = cut(split.select("id").distinct())
+    split = cut(split.join(_bounds(sets.join(checked(ids), "id", "left_semi"), percent), "id"))
+    side = lambda c, *more: ["key", *[F.col(x).alias(f"{c}_{x}") for x in ("id", "n", "rare", "common", "comp")], *more]
+    least = F.least("a_common", "b_common")
+    reach = lambda common: similar(common, F.col("a_n"), F.col("b_n"), percent)
+    met = split.filter("comp <> main").select(*side("a")).join(split.select(*side("b", "main")), "key").filter(
+        (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("main")) | (F.col("a_id") < F.col("b_id")))
+        & reach(least + F.least(F.size("a_rare"), F.size("b_rare")))
+        & reach(least + F.size(F.array_intersect("a_rare", "b_rare"))))
+    return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
 def similar(common: Column, size_a: Column, size_b: Column, percent: int) -> Column:

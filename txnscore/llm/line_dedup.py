@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .graph import checked, components, cross_pairs, shared_buckets
-from .near_dup import unshared
 from .tables import cut
 
 _BLANK = np.uint8(0x20)
@@ -166,20 +165,19 @@ def line_components(docs: DataFrame, table: DataFrame, size: int, percent: int)
 
     heads = (rows.join(facts.select("id", "uses"), "id").groupBy("key")
              .agg(F.max_by("id", F.struct("uses", "id")).alias("head")))
-    stars = (rows.join(heads, "key").filter("id <> head")
-             .select(F.col("id").alias("a"), F.col("head").alias("b")).distinct())
+    members = cut(rows.join(heads, "key").filter("id <> head"))
+    stars = members.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
     first = cut(verified_lines(stars, texts, size, percent))
 
+    # pairs with a head are settled; the other members of a bucket may still link with one another
     found = components(first).withColumnRenamed("node", "id")
-    placed = rows.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    placed = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
     open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                  .filter("lo < hi").select("key"))
     placed = cut(placed.join(open_keys, "key", "left_semi"))
     open_ids = cut(placed.select("id").distinct())
     sets = cut(line_sets(texts.join(checked(open_ids), "id", "left_semi"), size))
-    sizes = (sets.select("id", "n").join(unshared(sets), "id", "left")
-             .select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")))
-    rest = cross_pairs(placed.join(sizes, "id"), percent).join(first, ["a", "b"], "left_anti")
+    rest = cross_pairs(placed, sets, percent).join(first, ["a", "b"], "left_anti")
     return components(first.union(verified_lines(rest, texts, size, percent)))
 
 

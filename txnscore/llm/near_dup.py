@@ -11,7 +11,8 @@ Candidates are verified on full sets, without ever pairing all members of a buck
 
 1. Documents in shared buckets whose share of shingles found in any other such document is below
    the threshold cannot link and leave (exact bound).
-2. Every member is verified against its buckets' smallest member; links give components.
+2. Every member is verified against the member of its buckets that has the fewest shingles of its own
+   (the least edited copy); links give components.
 3. In buckets that still hold several components, members outside the bucket's largest one are
    verified against the members of other components, if the sizes and unshared shingles allow a
    link (exact bound). Pairs inside a component need no check: they cannot change the result.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .graph import checked, components, cross_pairs, shared_buckets, similar
+from .graph import checked, components, cross_pairs, shared_buckets, similar, unshared
 from .tables import cut
 
 
@@ -104,13 +105,6 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
             .mapInArrow(run, "id long, n long, items array<bigint>"))
 
 
-def unshared(sets: DataFrame) -> DataFrame:
-    """(id, alone): how many items of a set occur in no other set (0 is left out)."""
-    return (sets.select("id", F.explode("items").alias("item"))
-            .groupBy("item").agg(F.min("id").alias("id"), F.max("id").alias("last"))
-            .filter("id = last").groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
-
-
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("items").alias("items_a"))
@@ -130,7 +124,10 @@ def links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
              .select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
              .filter(100 * F.col("shared") >= percent * F.col("n")))
     facts = cut(facts)
-    rows = cut(shared_buckets(buckets.select("key", "id").join(facts, "id")))
+    rows = shared_buckets(buckets.select("key", "id").join(facts, "id")).drop("head")
+    # the member with the fewest items of its own is the most central one of a group of near copies
+    heads = rows.groupBy("key").agg(F.min(F.struct((F.col("n") - F.col("shared")).alias("alone"), "id")).alias("h"))
+    rows = cut(rows.join(heads.select("key", F.col("h.id").alias("head")), "key"))
     fact_of = lambda side: facts.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("shared").alias(f"s{side}"))
 
     def possible(df: DataFrame) -> DataFrame:
@@ -142,9 +139,10 @@ def links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = cut(verified(possible(stars).select("a", "b"), sets, percent))
 
     found = components(first)
-    placed = rows.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "n", "shared", F.coalesce("component", "id").alias("comp"))
-    rest = cross_pairs(placed, percent)
+    # pairs with a head are settled
+    placed = rows.filter("id <> head").join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("comp"))
+    rest = cross_pairs(placed, sets, percent)
     second = verified(rest.join(first, ["a", "b"], "left_anti"), sets, percent)
     return first.union(second)
 
@@ -160,6 +158,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, half:
     take no part: component_id is null and kept true. Repeated rows each get their row; rows that
     share a doc_id count as one document. An empty table gives no rows; other columns are ignored.
     """
+    docs = docs.select("doc_id", "text")
     sigs = cut(signatures(docs, shingle, half * collections))
     known = sigs.filter("n > 0 and doc_id is not null")
     classes = known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
@@ -179,6 +178,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, half:
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents whose group has a smaller id; repeated rows of a kept id
     become one row, rows with a null id stay as they are."""
-    kept = near_duplicates(docs, **options).filter("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = (docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"]))
+    kept = near_duplicates(docs, **options).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__kept_id")).distinct()
+    named = (docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi").dropDuplicates(["doc_id"]))
     return named.union(docs.filter(F.col("doc_id").isNull()))
