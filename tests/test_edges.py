@@ -125,3 +125,38 @@ def test_hash_split_is_partition_invariant(spark):
     a = {r.id: r.split for r in prep.with_split(base.repartition(1), "id", [0.7, 0.3], 1409).collect()}
     b = {r.id: r.split for r in prep.with_split(base.repartition(7), "id", [0.7, 0.3], 1409).collect()}
     assert a == b and 0.6 < sum(1 for v in a.values() if v == 0) / 2000 < 0.8
+
+
+def test_every_class_keeps_its_rows(spark):
+    """Weights cover any label value; only null labels drop out."""
+    from txnscore.operators.aggregates import with_class_weights
+    df = spark.createDataFrame([(0,), (1,), (2,), (2,), (-1,), (None,)], "isFraud int")
+    got = sorted((r.isFraud, r.weight) for r in with_class_weights(df).collect())
+    assert got == [(-1, 5.0), (0, 5.0), (1, 5.0), (2, 2.5), (2, 2.5)]
+
+
+def test_areas_of_counts_beyond_bigint_products(spark):
+    from txnscore.operators.evaluate import auc_from_score_counts
+    n = 4_000_000_000
+    row = auc_from_score_counts(spark.createDataFrame([(0.9, n, 0), (0.1, 0, n)], "score double, pos long, neg long")).first()
+    assert row.area_under_roc == 1.0 and row.area_under_pr == 1.0
+
+
+def test_split_spreads_ids_that_share_their_low_bits(spark):
+    from pyspark.sql import functions as F
+    from txnscore.operators.prepare import with_split
+    for shift in (22, 33):
+        ids = spark.range(20_000).select(F.shiftleft("id", shift).alias("id"))
+        share = with_split(ids, "id", [0.7, 0.3], 1409).agg(F.avg("split")).first()[0]
+        assert 0.28 < share < 0.32
+
+
+def test_unreadable_model_is_not_overwritten(spark, tmp_path):
+    import pytest
+    from txnscore.operators.models import train_or_load
+    path = tmp_path / "model"
+    path.mkdir()
+    (path / "junk").write_text("x")
+    with pytest.raises(Exception):
+        train_or_load(spark, str(path), lambda: pytest.fail("must not train"))
+    assert (path / "junk").read_text() == "x"

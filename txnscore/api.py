@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from .operators import aggregates, models
 from .operators.evaluate import evaluate  # noqa: F401  (re-export)
 from .operators.features import feature_pipeline as _feature_pipeline
-from .operators.features import fit_sized
 from .operators.prepare import REFERENCE_COLUMNS, TxnColumns, column_roles, holdout_split
 from .operators.prepare import prepare as _prepare
 from .operators.scoring import with_score_flags
@@ -69,7 +68,7 @@ def train_gbt(spark: SparkSession, data: DataFrame, cfg: TrainConfig):
         return model, evaluate(model.transform(test), label=cfg.label)
     except Exception:  # noqa: BLE001 - no usable model: train one
         pass
-    feats = fit_sized(cfg.features or feature_pipeline(label=cfg.label), train)
+    feats = (cfg.features or feature_pipeline(label=cfg.label)).fit(train)
     if cfg.weight_col:
         train_f = with_class_weights(feats.transform(train), cfg.label)
     else:
@@ -91,7 +90,7 @@ def train_rf(spark: SparkSession, data: DataFrame, model_path: str, label: str =
     try:
         model = PipelineModel.load(model_path)
     except Exception:  # noqa: BLE001
-        feats = fit_sized(features or feature_pipeline(label=label), train)
+        feats = (features or feature_pipeline(label=label)).fit(train)
         rf = models.fit_persisted(models.random_forest(label, **rf_params),
                                   with_class_weights(feats.transform(train), label))
         model = PipelineModel(stages=list(feats.stages) + [rf])

@@ -83,17 +83,9 @@ def threshold_band(value: str | Column, warn: float = BAND_WARN, crit: float = B
             .when(v.isNotNull(), F.lit("green")))
 
 
-# Fibonacci hashing constant: floor(2^32 / golden ratio).
-FIB_MULTIPLIER = 2654435769
-
-
-def fib_fraction(key: str | Column, seed: int = 0) -> Column:
-    """Deterministic pseudo-uniform value in [0, 1) for an integral key: ((key + seed) * A) mod
-    2^32 / 2^32 with A = 2654435769, computed in two 16-bit halves of A so no intermediate
-    exceeds 2^48 (no overflow, no decimals). Identical in any engine with 64-bit integers."""
-    two32, two16 = 1 << 32, 1 << 16
-    x = F.pmod(_c(key).cast("long") + F.lit(seed), F.lit(two32))
-    a_hi, a_lo = FIB_MULTIPLIER >> 16, FIB_MULTIPLIER & 0xFFFF
-    low = x * F.lit(a_lo)
-    high = F.pmod(x * F.lit(a_hi), F.lit(two16)) * F.lit(two16)
-    return F.pmod(low + high, F.lit(two32)).cast("double") / F.lit(float(two32))
+def hash_fraction(key: str | Column, seed: int = 0) -> Column:
+    """Deterministic pseudo-uniform value in [0, 1): the first 8 hex digits of md5("key:seed") / 2^32.
+    All bits of the key count, so ids that share low or high bits spread as well as any others;
+    a null key counts as the empty string."""
+    text = F.concat(F.coalesce(_c(key).cast("string"), F.lit("")), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))

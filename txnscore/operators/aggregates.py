@@ -16,12 +16,11 @@ def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def class_weight_table(df: DataFrame, label: str = LABEL, num_classes: int = 2,
-                       normalize: bool = False) -> DataFrame:
+def class_weight_table(df: DataFrame, label: str = LABEL, normalize: bool = False) -> DataFrame:
     """AG3: weight_c = N / n_c (or N / (k * n_c) with ``normalize``), one row per class.
 
-    Labels are the integers 0..num_classes-1, so the table has at most ``num_classes`` rows.
-    N counts every row with a non-null label, as the reference's total does.
+    Every label value is a class, whatever its number. N counts every row with a non-null label,
+    as the reference's total does.
     """
     counts = (df.where(F.col(label).isNotNull()).groupBy(label)
               .agg(F.count(F.lit(1)).alias("n_class")))
@@ -30,16 +29,14 @@ def class_weight_table(df: DataFrame, label: str = LABEL, num_classes: int = 2,
     everything = Window.partitionBy()
     total = F.sum("n_class").over(everything)
     k = F.count(F.lit(1)).over(everything) if normalize else F.lit(1)
-    weights = counts.select(label, (total.cast("double") / (k * F.col("n_class"))).alias("weight"))
-    return weights.where(F.col(label).between(0, num_classes - 1))
+    return counts.select(label, (total.cast("double") / (k * F.col("n_class"))).alias("weight"))
 
 
-def with_class_weights(df: DataFrame, label: str = LABEL, num_classes: int = 2,
-                       normalize: bool = False, weight_col: str = "weight") -> DataFrame:
+def with_class_weights(df: DataFrame, label: str = LABEL, normalize: bool = False, weight_col: str = "weight") -> DataFrame:
     """FE9 / JN2: attach ``weight`` by an inner join on the label; rows with a null label drop
-    out as in the reference. The weight table is bounded by ``num_classes`` rows, so broadcasting
-    it is safe and the big side is never shuffled on a two-valued key."""
-    w = class_weight_table(df, label, num_classes, normalize).withColumnRenamed("weight", weight_col)
+    out as in the reference. The weight table has one row per class (two fixed-width columns), so
+    broadcasting it is safe and the big side is never shuffled on a two-valued key."""
+    w = class_weight_table(df, label, normalize).withColumnRenamed("weight", weight_col)
     return df.join(F.broadcast(w), [label], "inner")
 
 

@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import (DEVICE_TOKEN_SEPARATOR, ENTITY_TOKEN_SEPARATOR, HASH_BUCKETS, SPLIT_SEED,
-                      WORD2VEC_MIN_COUNT, WORD2VEC_SIZE)
-from .joins import broadcast_if_small
+                      WORD2VEC_MIN_COUNT, WORD2VEC_PARTITIONS, WORD2VEC_SIZE)
 from .ordering import global_row_index
 
 
@@ -37,37 +36,19 @@ def tokenizer_stage(input_col: str, output_col: str, separator: str) -> SQLTrans
 
 def word2vec_stage(input_col: str, output_col: str, vector_size: int = WORD2VEC_SIZE,
                    min_count: int = WORD2VEC_MIN_COUNT, seed: int = SPLIT_SEED,
-                   num_partitions: int | None = None, max_iter: int = 1) -> Word2Vec:
+                   num_partitions: int = WORD2VEC_PARTITIONS, max_iter: int = 1) -> Word2Vec:
     """Document vector = sum of known word vectors / number of tokens (unknown ones included).
 
-    Leave ``num_partitions`` unset to have ``size_for_input`` pick it at fit time: MLlib's own
-    default (1) trains every sentence in one task, which does not survive a large input.
+    ``num_partitions`` is part of the model: the vectors depend on it, so it is a parameter saved
+    with the stage and never follows the cluster or the input files. MLlib's own default (1)
+    trains every sentence in one task. The vocabulary (words seen ``min_count`` times or more)
+    times the vector size is what MLlib keeps on the driver; ``min_count`` bounds it.
     """
     w2v = Word2Vec(inputCol=input_col, outputCol=output_col, vectorSize=vector_size, minCount=min_count,
-                   seed=seed, maxIter=max_iter)
-    if num_partitions is not None:
-        w2v.setNumPartitions(num_partitions)
+                   seed=seed, maxIter=max_iter, numPartitions=num_partitions)
     return w2v
 
 
-def size_for_input(stages, df: DataFrame) -> None:
-    """Give every Word2Vec stage without an explicit ``numPartitions`` min(task slots, input
-    partitions): a one-split input trains in one task, a large input uses every slot."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(slots, df.rdd.getNumPartitions()))
-    for st in stages:
-        if isinstance(st, Pipeline):
-            size_for_input(st.getStages(), df)
-        elif isinstance(st, Word2Vec) and not st.isSet(st.numPartitions):
-            st.setNumPartitions(parts)
-
-
-def fit_sized(estimator, df: DataFrame):
-    """``estimator.fit(df)`` after sizing its Word2Vec stages for ``df``."""
-    size_for_input(estimator.getStages() if isinstance(estimator, Pipeline) else [estimator], df)
-    return estimator.fit(df)
-
-
 def hashing_stage(input_col: str, output_col: str, buckets: int = HASH_BUCKETS) -> HashingTF:
     """Term counts in ``buckets`` murmur3 buckets (MLlib's hash, not SQL ``hash()``)."""
     return HashingTF(inputCol=input_col, outputCol=output_col, numFeatures=buckets)
@@ -114,14 +95,10 @@ def feature_pipeline(numeric_cols: list[str], index_cols: list[str], entity_col:
 
 # --- vector inspection without densifying -------------------------------------------------------
 
-_VEC_SCHEMA = "type TINYINT, size INT, indices ARRAY<INT>, `values` ARRAY<DOUBLE>"
-
-
 def vector_parts(vec: str | Column) -> Column:
     """The stored form of an MLlib vector (sparse: size/indices/values; dense: values) as a
-    struct, read through its JSON form so cost follows the non-zeros, not the width."""
-    v = F.col(vec) if isinstance(vec, str) else vec
-    return F.from_json(F.to_json(F.struct(v.alias("v"))), f"v STRUCT<{_VEC_SCHEMA}>").getField("v")
+    struct; cost follows the non-zeros, not the width."""
+    return F.unwrap_udt(F.col(vec) if isinstance(vec, str) else vec)
 
 
 def vector_width(vec: str | Column) -> Column:
@@ -141,8 +118,6 @@ def vector_nonzero_indices(vec: str | Column) -> Column:
     return F.when(p.getField("type") == 0, p.getField("indices")).otherwise(dense_nz)
 
 
-VECTOR_BROADCAST_MAX_ROWS = 200_000
-
 # --- relational forms ---------------------------------------------------------------------------
 
 def category_index_table(df: DataFrame, col: str) -> DataFrame:
@@ -157,12 +132,11 @@ def average_vectors(token_counts: DataFrame, vectors: DataFrame, key: str, token
                     vector: str) -> DataFrame:
     """FE3: per ``key``, sum of the vectors of its tokens / number of its tokens (tokens with no
     vector count in the divisor, like Word2Vec's transform). ``token_counts`` is pre-aggregated
-    to (key, token, count); the vector table is broadcast only when proven small. The weighted
+    to (key, token, count); the join strategy is left to AQE, which measures bytes. The weighted
     vector sum is MLlib's Summarizer (JVM), so no per-dimension explode is needed."""
     width = vectors.select(F.max(F.size(vector))).scalar()      # scalar subquery
     vecs = vectors.select(F.col(token), array_to_vector(F.col(vector)).alias("__vec"))
-    # a 64-float row is ~0.5 KB as a vector, so the row bound keeps the broadcast near 100 MB
-    joined = token_counts.join(broadcast_if_small(vecs, VECTOR_BROADCAST_MAX_ROWS), [token], "left")
+    joined = token_counts.join(vecs, [token], "left")
     zero = array_to_vector(F.array_repeat(F.lit(0.0), width))
     # one aggregate per key: token total (misses included) and count-weighted vector sum
     sums = joined.groupBy(key).agg(

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from ..functions.columns import entity_key, event_timestamp
 from ..schema import (ENTITY_DAY_COLUMN, LABEL, NUMERIC_FILL, OFFSET_COLUMNS, SECONDS_PER_DAY,
                       SELECTED_FEATURES, STRING_FILL)
-from .joins import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -122,14 +121,11 @@ def profile_columns(df: DataFrame, label: str = LABEL,
 
 def with_split(df: DataFrame, key: str, weights: list[float], seed: int, col: str = "split") -> DataFrame:
     """Deterministic split by a seeded hash of ``key``: the same row lands in the same split
-    however the input is partitioned (``randomSplit`` does not promise that). Integral keys use
-    Fibonacci hashing (reproducible outside Spark); other keys a seeded 64-bit xxhash."""
-    from ..functions.columns import fib_fraction
+    however the input is partitioned (``randomSplit`` does not promise that), and any engine with
+    md5 can reproduce it."""
+    from ..functions.columns import hash_fraction
     total = float(sum(weights))
-    if isinstance(df.schema[key].dataType, T.IntegralType):
-        u = fib_fraction(key, seed)
-    else:
-        u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)).cast("double") / 1_000_000.0
+    u = hash_fraction(key, seed)
     expr, acc = None, 0.0
     for i, w in enumerate(weights[:-1]):
         acc += w / total
@@ -186,10 +182,10 @@ def category_labels(fit_df: DataFrame, col: str) -> DataFrame:
 
 def filter_known_categories(df: DataFrame, labels: DataFrame, col: str) -> DataFrame:
     """Left-semi join on the label set: null or unseen categories drop out (``handleInvalid
-    ='skip'``). The label set is broadcast only when its size is proven small."""
-    return df.join(broadcast_if_small(labels), [col], "left_semi")
+    ='skip'``). The join strategy is left to AQE, which measures bytes."""
+    return df.join(labels, [col], "left_semi")
 
 
 def unknown_categories(df: DataFrame, labels: DataFrame, col: str) -> DataFrame:
     """The complement of ``filter_known_categories`` (left-anti), so no row is lost silently."""
-    return df.join(broadcast_if_small(labels), [col], "left_anti")
+    return df.join(labels, [col], "left_anti")

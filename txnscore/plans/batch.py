@@ -9,7 +9,7 @@ from ..functions.columns import round6
 from ..operators import aggregates as agg
 from ..operators import evaluate as ev_ops
 from ..operators import prepare as prep
-from ..operators.partitioning import spread
+from ..schema import SPLIT_SEED
 from ..session import scratch_path
 from ..sources import files
 from ..sources.publish import to_json_messages
@@ -99,7 +99,7 @@ def q_json_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PR7: whole row -> one JSON string; checked by reading the fields back out of the text."""
     s = scored(spark, sf_dir).select("event_id", "user_id", "event_type", "k", "fraud_probability",
                                      "predicted_fraud", "is_high_risk")
-    packed = to_json_messages(spread(s))
+    packed = to_json_messages(s)
     m = F.from_json("value", "event_id BIGINT, user_id BIGINT, event_type STRING, k INT, "
                              "fraud_probability DOUBLE, predicted_fraud BOOLEAN, is_high_risk BOOLEAN").alias("m")
     return packed.select(m).select("m.*").withColumn("fraud_probability", round6("fraud_probability"))
@@ -123,18 +123,14 @@ def q_score_from_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
                     round6(prob[0]).alias("p0"), round6(prob[1]).alias("p1"), "prediction")
 
 
-FIT_WINDOW = "10 MINUTES"
-
-
 @register("filter_known_categories")
 def q_filter_known_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PR12: categories learned on a fit window (the first 10 minutes of events), applied to
-    every event; types first seen later are unknown to the fitted indexer and drop out."""
-    e = ev(spark, sf_dir)
-    start = e.select(F.min("ts")).scalar()
-    fit = e.where(F.col("ts") < start + F.expr(f"INTERVAL {FIT_WINDOW}"))
-    labels = prep.category_labels(fit, "event_type")
-    return prep.filter_known_categories(e, labels, "event_type").select("event_id", "event_type")
+    """PR12: categories (users, many of them rare) learned on the hash-split 70 % of all events,
+    applied to every event; users seen only in the rest are unknown to the fit and drop out."""
+    e = read_table(spark, sf_dir, "events", ["event_id", "user_id"]).withColumn("user_id", F.col("user_id").cast("string"))
+    fit = prep.with_split(e, "event_id", [0.7, 0.3], SPLIT_SEED, "split").where("split = 0")
+    labels = prep.category_labels(fit, "user_id")
+    return prep.filter_known_categories(e, labels, "user_id").select("event_id", "user_id")
 
 
 @register("quarantine_rows")

@@ -75,9 +75,9 @@ SQL["score_flags"] = with_views("""SELECT event_id, prediction, round(fraud_prob
 SQL["score_from_margin"] = with_views("""SELECT event_id, round(margin, 6) AS margin, round(-margin, 6) + 0.0 AS raw0,
     round(margin, 6) AS raw1, round(p0, 6) AS p0, round(fraud_probability, 6) AS p1, prediction
     FROM scored""", "scored")
-SQL["filter_known_categories"] = with_views("""SELECT event_id, event_type FROM ev
-    WHERE event_type IN (SELECT DISTINCT event_type FROM ev
-      WHERE ts < (SELECT min(ts) FROM ev) + INTERVAL 10 MINUTES AND event_type IS NOT NULL)""", "ev")
+SQL["filter_known_categories"] = """WITH e AS (SELECT event_id, CAST(user_id AS VARCHAR) AS user_id,
+    CAST('0x' || substr(md5(event_id || ':1409'), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM events)
+  SELECT event_id, user_id FROM e WHERE user_id IN (SELECT user_id FROM e WHERE u < 0.7)"""
 SQL["quarantine_rows"] = """WITH d AS (
     SELECT event_id,
       CASE WHEN event_id % 10 = 0 THEN substr(props, 1, length(props) - 1) ELSE props END AS props,
@@ -234,11 +234,10 @@ SQL["stream_batch_kpis"] = with_views("""SELECT count(*) AS n, count(*) FILTER (
     round((count(*) - count(*) FILTER (WHERE predicted_fraud)) / CAST(nullif(count(*), 0) AS DOUBLE), 6) AS approval_rate
     FROM scored""", "scored")
 SQL["stream_rate"] = """WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n FROM events GROUP BY 1)
-  SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n, round(n / 3600.0, 6) AS rate FROM h
-  WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+  SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n, round(n / 3600.0, 6) AS rate FROM h"""
 SQL["publish_json"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
-# --- holdout split (Fibonacci hash of the event id, seed 1409, weights 0.7 / 0.3) --------------------
-SQL["holdout_split"] = """WITH x AS (SELECT event_id, ((event_id + 1409) % 4294967296 + 4294967296) % 4294967296 AS x FROM events),
-  u AS (SELECT event_id, CAST((x * 31161 + ((x * 40503) % 65536) * 65536) % 4294967296 AS DOUBLE) / 4294967296.0 AS u FROM x)
+# --- holdout split (first 8 hex digits of md5 of "id:seed", seed 1409, weights 0.7 / 0.3) -------------
+SQL["holdout_split"] = """WITH u AS (SELECT event_id,
+    CAST('0x' || substr(md5(event_id || ':1409'), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM events)
   SELECT event_id, CASE WHEN u < 0.7 THEN 0 ELSE 1 END AS split FROM u"""

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import round6
-from ..operators.partitioning import spread
 from ..schema import DRIVER_TABLES
 from ..session import scratch_path
 from ..sources.publish import JSON_OPTIONS, publish_json, to_json_messages
@@ -29,7 +28,7 @@ AVAILABLE_NOW = {"availableNow": True}
 def _publish_events(spark: SparkSession, sf_dir: str) -> str:
     """IO8: every event row as one JSON message (distributed text write)."""
     path = scratch_path(spark, "messages")
-    events = spread(read_table(spark, sf_dir, "events"))
+    events = read_table(spark, sf_dir, "events")
     messages = to_json_messages(events)
     messages.write.option("maxRecordsPerFile", RECORDS_PER_FILE).mode("overwrite").text(path)
     return path
@@ -88,18 +87,16 @@ def q_stream_batch_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("n", "n_fraud", "n_high_risk", "n_quarantined", round6("approval_rate").alias("approval_rate"))
 
 
-STREAM_WINDOW, STREAM_DELAY = "1 hour", "10 minutes"
+STREAM_WINDOW = "1 hour"
 
 
 @register("stream_rate")
 def q_stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST6: hourly event counts on the stream with a 10-minute watermark; closed windows only."""
-    counts = rates.windowed_counts(table_stream(spark, sf_dir, "events"), "ts", STREAM_WINDOW, STREAM_DELAY)
+    """ST6: hourly event counts on the stream, of every event whatever its batch."""
     out, ckpt = scratch_path(spark, "rates"), scratch_path(spark, "ckpt-rates")
-    q = (counts.writeStream.queryName("rates").outputMode("append").format("parquet")
-         .option("checkpointLocation", ckpt).trigger(**AVAILABLE_NOW).start(out))
-    run_to_completion(q)
-    r = spark.read.parquet(out)
+    events = table_stream(spark, sf_dir, "events", max_files_per_trigger=1)
+    run_to_completion(rates.start_window_counts(events, "ts", STREAM_WINDOW, out, ckpt, AVAILABLE_NOW))
+    r = rates.read_window_counts(spark, out)
     return r.select("window_start", "window_end", "n", round6(F.col("n") / 3600.0).alias("rate"))
 
 
@@ -107,6 +104,6 @@ def q_stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_publish_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO8: the events table published as JSON messages (one distributed write), read back."""
     path = scratch_path(spark, "published")
-    publish_json(spread(read_table(spark, sf_dir, "events")), "text", path)
+    publish_json(read_table(spark, sf_dir, "events"), "text", path)
     parsed = spark.read.text(path).select(F.from_json("value", EVENT_SCHEMA, JSON_OPTIONS).alias("m"))
     return parsed.select("m.*")

@@ -40,6 +40,7 @@ NUMERIC_FILL = 0
 HASH_BUCKETS = 1000
 WORD2VEC_SIZE = 20
 WORD2VEC_MIN_COUNT = 1
+WORD2VEC_PARTITIONS = 4
 DEVICE_TOKEN_SEPARATOR = " "
 ENTITY_TOKEN_SEPARATOR = "_"
 # Scoring.

@@ -46,6 +46,8 @@ def shared_root(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not (conf.get("spark.master", "local") or "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = os.environ.get("TXNSCORE_LOCAL_ROOT") or _local_root()
     return root.rstrip("/")
 

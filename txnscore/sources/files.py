@@ -27,9 +27,9 @@ def scan_raw(spark: SparkSession, path: str, schema: T.StructType | str, fmt: st
 def scan_csv_by_name(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
     """IO1 for wide CSVs: take column names from the header (first line only; no inference pass),
     cast the named columns to their declared types by name (a CSV schema would apply by
-    position), keep the others as strings."""
+    position; a malformed value becomes null), keep the others as strings."""
     raw = spark.read.option("header", "true").option("mode", "PERMISSIVE").csv(path)
-    return raw.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`")
+    return raw.select(*[F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`")
                         for c in raw.columns])
 
 
