@@ -101,7 +101,6 @@ def test_filters_correct_for_false_positives():
     from txnscore.llm import textbytes as tb
     keys = [np.arange(20_000, dtype=np.uint32) * 7919 + i for i in range(2)]
     filters = lang_id.Filters(["a", "b"], keys)
-    assert all(np.all(sum(1 for _ in [0]) for _ in keys))
     s = next(tb.slices(pa.array(["quite some words of no language at all " * 50])))
     assert filters.shares(s).max() < 0.02
     assert 0 < filters.false_rate.max() < 0.01

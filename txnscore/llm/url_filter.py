@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ BLOCKED_NAMES = (
     "casino-royal online-casino casino-bonus win-casino lucky-slots free-slots slots-win jackpot-bets sports-bets free-bet-tips bets-online "
     "poker-win cheap-meds cheap-pills-store pills-online buy-pills viagra-cheap cheap-viagra diet-pills replica-watches cheap-watches "
     "adult-cams adult-chat adult-videos xxx-adult hot-singles xxx-videos free-porn porn-tube payday-loans fast-cash-loans easy-money-win win-prizes free-gift-cards "
-    "ads-server adserver ads-tracker track-clicks click-track clicktracker adtrack spam-links spam-blast spam-mail spam-site link-farm spamfarm seo-link-farm "
+    "ads-server adserver ads-network ad-tracking tracking-pixel banner-ads popup-ads ads-tracker track-clicks click-track clicktracker adtrack spam-links spam-blast spam-mail spam-site link-farm spamfarm seo-link-farm "
     "crack-keygen free-warez").split()
 ALLOWED_NAMES = (
     "weather-report city-library daily-news world-times science-journal open-source garden-notes travel-diary history-museum "
@@ -76,7 +77,7 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> C
 
 def _features(column: pa.Array, salt: int):
     """(row, bucket) of the character n-grams of each value between two boundary blanks."""
-    padded = pa.compute.binary_join_element_wise(" ", column, " ", "")
+    padded = pc.binary_join_element_wise(" ", column, " ", "")
     rows, buckets = [], []
     for s in tb.slices(padded):
         prefix = tb.prefix_hash(tb.LOWER[s.buf])
@@ -101,7 +102,7 @@ def _logits(hosts: pa.Array, paths: pa.Array, weights: np.ndarray) -> np.ndarray
     return out
 
 
-def fit(hosts: list[str], paths: list[str], labels: list[int], steps: int = 400, ridge: float = 5e-4) -> np.ndarray:
+def fit(hosts: list[str], paths: list[str], labels: list[int], steps: int = 250, ridge: float = 5e-4) -> np.ndarray:
     """Weights of the n-gram buckets and the bias, by full-batch gradient steps (Adam)."""
     y = np.array(labels, float)
     if not len(y):
