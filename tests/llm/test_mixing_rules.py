@@ -64,9 +64,9 @@ def test_quality_rules_lines(spark):
         assert got[k]["__kept"] == (k not in ("null", "empty")), k
         if got[k]["__kept"]:
             assert got[k]["__clean"] == clean, k
-    junk = spark.createDataFrame([("x", "a | b | c | d | e | f\n" * 5 + good, 1)], "doc_id string, text string, __text int")
+    junk = spark.createDataFrame([("x", "a | b | c | d | e | f\n" * 5 + good, 1)], "doc_id string, text string, n_words int")
     row = assess(junk).first()
-    assert not row["__kept"] and row["__text"] == 1
+    assert not row["__kept"] and row["n_words"] == 1
     kept = keep_clean(rows.withColumn("n_chars", F.lit(0).cast("long")))
     assert kept.columns == ["doc_id", "text", "n_chars"]
     assert all(r.n_chars == len(r.text) for r in kept.collect())

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
+from .graph import checked
 from .tables import cut
 
 #: Benchmark window hashes sent to the tasks at once (8 MB); more of them take more scans.
@@ -173,5 +174,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: in
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the contaminated documents; rows with a null doc_id stay."""
-    gone = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    gone = cut(contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__gone")).distinct())
+    return docs.join(checked(gone), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

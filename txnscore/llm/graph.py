@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 
 from .tables import cut
 
-#: Rows of at most three fixed-width columns that may be broadcast (24 bytes each: 24 MB); beyond
-#: it, a shuffle join.
-MAX_BROADCAST_IDS = 1_000_000
+#: Values of fixed-width columns that may be broadcast (8 bytes each: 36 MB); beyond it, a shuffle join.
+MAX_BROADCAST_VALUES = 4_500_000
 
 
-def checked(rows: DataFrame, side: DataFrame | None = None) -> DataFrame:
-    """Hint a broadcast of ``side`` (default: ``rows``) when ``rows``, a materialized table of a few
-    fixed-width columns that ``side`` is made of, is counted to be small enough."""
+def checked(rows: DataFrame, side: DataFrame | None = None, columns: int = 3) -> DataFrame:
+    """Hint a broadcast of ``side`` (default: ``rows``) when ``rows``, a materialized table of at most
+    ``columns`` fixed-width columns that ``side`` is made of, is counted to be small enough."""
     side = rows if side is None else side
-    return F.broadcast(side) if rows.count() <= MAX_BROADCAST_IDS else side
+    return F.broadcast(side) if rows.count() * columns <= MAX_BROADCAST_VALUES else side
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -66,11 +65,12 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     smallest id as ``head``.
 
     The bucket heads come from a partially aggregated group-by, and the rows meet them in a plain
-    equi join, so that a hot bucket is neither gathered in one group nor paired with itself.
+    equi join, so that a hot bucket is neither gathered in one group nor paired with itself. Most
+    buckets hold one id, so the heads are often few enough for a broadcast.
     """
-    heads = (rows.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("tail"))
-             .filter("head < tail").drop("tail"))
-    return rows.join(heads, "key")
+    heads = cut(rows.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("tail"))
+                .filter("head < tail").drop("tail"))
+    return rows.join(checked(heads), "key")
 
 
 def unshared(sets: DataFrame) -> DataFrame:
@@ -88,9 +88,12 @@ def _bounds(sets: DataFrame, percent: int) -> DataFrame:
     """(id, n, rare, common) of the sets that can reach the threshold at all: the items found in two
     to ``RARE`` sets, and the number of those found in more."""
     items = sets.select("id", F.explode("items").alias("item"))
-    rare = items.groupBy("item").agg(F.count(F.lit(1)).alias("uses")).filter(f"uses between 2 and {RARE}").select("item")
+    # both uses of this table read all its columns, so that one exchange serves them
+    used = items.groupBy("item").agg(F.count(F.lit(1)).alias("uses"), F.min("id").alias("id"))
+    alone = used.filter("uses = 1 and id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    rare = used.filter(f"uses between 2 and {RARE} and id is not null").select("item")
     listed = items.join(rare, "item").groupBy("id").agg(F.collect_list("item").alias("rare"))
-    known = (sets.select("id", "n").join(unshared(sets), "id", "left").join(listed, "id", "left")
+    known = (sets.select("id", "n").join(alone, "id", "left").join(listed, "id", "left")
              .select("id", "n", F.coalesce("rare", F.array().cast("array<bigint>")).alias("rare"),
                      (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")))
     return (known.filter(100 * F.col("shared") >= percent * F.col("n"))

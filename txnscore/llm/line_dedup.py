@@ -3,8 +3,8 @@
 A line is a ``\\n``-separated piece with at least one word; it is compared with A-Z lower-cased,
 runs of white space as one blank and none at its ends. Equal lines are one node (64-bit hash).
 The nodes' one-permutation MinHash signatures (``bands * rows`` bins, empty bins filled from bins
-chosen by a fixed probe sequence) are banded; a pair of similarity 0.8 shares a band of 12 x 4 with
-probability 0.998. Candidates are checked by their exact Jaccard similarity, first against the
+chosen by a fixed probe sequence) are banded; a pair of similarity 0.8 shares a band of 10 x 4 with
+probability 0.995, one of 0.85 with 0.9994. Candidates are checked by their exact Jaccard similarity, first against the
 most frequent line of each bucket, then, in buckets that still hold several components, between
 the remaining components under an exact bound. Components come from distributed union-find; of a
 component's occurrences the one with the smallest (doc_id, line number) stays.
@@ -46,25 +46,51 @@ def _lines(s: tb.Slice):
     return buf, begin, end, doc, number
 
 
+#: Fixed random 64-bit value of a byte by its place in its UTF-8 character.
+_CHAR_VALUES = np.random.RandomState(4).randint(1, 1 << 62, (4, 256), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _char_values(buf: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """One 64-bit value per UTF-8 character, given the positions of the characters' first bytes."""
+    value = _CHAR_VALUES[0][buf[chars]]
+    if len(chars) < len(buf):
+        length = np.diff(np.append(chars, len(buf)))
+        for k in range(1, 4):
+            longer = np.flatnonzero(length > k)
+            value[longer] = tb.mix(value[longer] + _CHAR_VALUES[k][buf[chars[longer] + k]])
+    return value
+
+
 def _shingles(buf: np.ndarray, begin: np.ndarray, end: np.ndarray, size: int):
-    """Hashes of the ``size``-character shingles of each span (a shorter span is one shingle)."""
+    """Hashes of the ``size``-character shingles of each span (a shorter span is one shingle),
+    offsets and owners of the hashes; the spans fill the buffer one after another."""
     chars = np.flatnonzero((buf & 0xC0) != 0x80)
-    first_char = np.searchsorted(chars, begin)
-    n_chars = np.searchsorted(chars, end) - first_char
-    n_sh = np.maximum(n_chars - size + 1, np.minimum(n_chars, 1))
-    at = tb.bounds(n_sh)
-    line = np.repeat(np.arange(len(begin)), n_sh)
-    k = np.arange(at[-1]) - at[line] + first_char[line]
-    stop = np.append(chars, len(buf))
-    last = np.minimum(k + size, (first_char + n_chars)[line])
-    return tb.span_hash(tb.prefix_hash(buf), stop[k], stop[last]), at, line, n_chars
+    first = np.searchsorted(chars, begin)
+    n_chars = np.diff(np.append(first, len(chars)))
+    up, down = tb.power_tables(len(chars))
+    sums = np.zeros(len(chars) + 1, np.uint64)
+    np.cumsum(_char_values(buf, chars) * up[:-1], out=sums[1:])
+    line_of_char = np.repeat(np.arange(len(begin)), n_chars)
+    if len(chars) >= size:
+        # windows over the whole buffer, those across two lines left out
+        inside = line_of_char[:len(chars) - size + 1] == line_of_char[size - 1:]
+        hashes = ((sums[size:] - sums[:-size]) * down[:len(chars) - size + 1])[inside]
+        line = line_of_char[:len(chars) - size + 1][inside]
+    else:
+        hashes, line = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    short = np.flatnonzero(n_chars < size)
+    if len(short):
+        whole = (sums[first[short] + n_chars[short]] - sums[first[short]]) * down[first[short]] + n_chars[short].astype(np.uint64)
+        at = np.searchsorted(line, short)
+        hashes, line = np.insert(hashes, at, whole), np.insert(line, at, short)
+    return tb.mix(hashes), tb.bounds(np.bincount(line, minlength=len(begin))), line
 
 
 def _one_permutation(hashes: np.ndarray, line: np.ndarray, n: int, bins: int) -> np.ndarray:
     empty = np.uint32(0xFFFFFFFF)
     slot = ((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
     sig = np.full(n * bins, empty, np.uint32)
-    np.minimum.at(sig, line * bins + slot.astype(np.int64), hashes.astype(np.uint32) & np.uint32(0x7FFFFFFF))
+    np.minimum.at(sig, line * bins + slot.view(np.int64), hashes.astype(np.uint32) >> np.uint32(1))
     sig = sig.reshape(n, bins)
     filled = sig != empty
     rng = np.random.RandomState(77)
@@ -92,7 +118,7 @@ def line_table(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 if not len(begin):
                     continue
                 node = tb.span_hash(tb.prefix_hash(buf), begin, end)
-                hashes, _, line, _ = _shingles(buf, begin, end, size)
+                hashes, _, line = _shingles(buf, begin, end, size)
                 sig = _one_permutation(hashes, line, len(begin), bands * rows).astype(np.uint64).reshape(-1, bands, rows)
                 keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), sig.shape[:2])
                 for k in range(rows):
@@ -112,7 +138,7 @@ def _one_line_sets(column: pa.Array, size: int):
     parts = []
     for s in tb.slices(column):
         buf, begin, end, doc, _ = _lines(s)
-        hashes, at, _, _ = _shingles(buf, begin, end, size)
+        hashes, at, _ = _shingles(buf, begin, end, size)
         got = {int(d): np.unique(hashes[at[i]:at[i + 1]]) for i, d in enumerate(doc)}
         parts += [got.get(i, hashes[:0]) for i in range(s.n)]
     return parts
@@ -181,7 +207,7 @@ def line_components(docs: DataFrame, table: DataFrame, size: int, percent: int)
     return components(first.union(verified_lines(rest, texts, size, percent)))
 
 
-def duplicate_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 12, rows: int = 4) -> DataFrame:
+def duplicate_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 10, rows: int = 4) -> DataFrame:
     """(doc_id, line_no) of the lines that go (materialized)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = cut(line_table(docs, size, bands, rows))
@@ -194,7 +220,7 @@ def duplicate_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: in
                .select("doc_id", "line_no").distinct())
 
 
-def dedup_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 12, rows: int = 4) -> DataFrame:
+def dedup_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 10, rows: int = 4) -> DataFrame:
     """``docs`` with repeated lines removed from ``text``, plus n_lines (lines with a word) and
     n_removed (int).
 

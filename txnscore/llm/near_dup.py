@@ -178,6 +178,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, half:
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents whose group has a smaller id; repeated rows of a kept id
     become one row, rows with a null id stay as they are."""
-    kept = near_duplicates(docs, **options).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__kept_id")).distinct()
-    named = (docs.join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi").dropDuplicates(["doc_id"]))
-    return named.union(docs.filter(F.col("doc_id").isNull()))
+    kept = cut(near_duplicates(docs, **options).filter("kept and doc_id is not null")
+               .groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")))
+    repeated = cut(kept.filter("__n > 1").select("__id"))
+    on = F.col("doc_id") == F.col("__id")
+    named = docs.join(checked(kept, kept.select("__id")), on, "left_semi")
+    twice = checked(repeated)
+    # only rows of repeated ids are gathered by id
+    return (named.join(twice, on, "left_anti").union(named.join(twice, on, "left_semi").dropDuplicates(["doc_id"]))
+            .union(docs.filter(F.col("doc_id").isNull())))

@@ -88,7 +88,7 @@ def assess(docs: DataFrame) -> DataFrame:
 
     Works row by row without a shuffle. A null text counts as empty: no words, base_failed, not
     kept, and __clean null. Blank lines never fail. Rows, ids and other columns may be null or
-    repeated: each row is judged by its own text.
+    repeated: each row is judged by its own text. Column names that start with ``__`` are reserved.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     odd_blank = reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in "\t\x0b\x0c\r"])

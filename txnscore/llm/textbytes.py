@@ -77,7 +77,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 .. n of the hash base and of its inverse."""
     if len(_powers.get("up", ())) < n + 1:
         size = max(n + 1, 1 << 16)
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
@@ -89,7 +90,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix_hash(buf: np.ndarray) -> np.ndarray:
     """Running polynomial sums; ``span_hash`` turns any byte span into a 64-bit hash."""
-    up, _ = _power_tables(len(buf))
+    up, _ = power_tables(len(buf))
     out = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[buf] * up[:-1], out=out[1:])
     return out
@@ -97,7 +98,7 @@ def prefix_hash(buf: np.ndarray) -> np.ndarray:
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of ``buf[start:end]`` per span (equal bytes give equal hashes wherever they stand)."""
-    _, down = _power_tables(len(prefix) - 1)
+    _, down = power_tables(len(prefix) - 1)
     return mix((prefix[end] - prefix[start]) * down[start])
 
 
