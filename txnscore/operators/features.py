@@ -70,7 +70,7 @@ def assembler_stage(input_cols: list[str], output_col: str = "features", handle_
 
 def feature_pipeline(numeric_cols: list[str], index_cols: list[str], entity_col: str | None,
                      text_col: str | None, use_text_vector: bool = False, buckets: int = HASH_BUCKETS,
-                     features_col: str = "features", word2vec_partitions: int | None = None) -> Pipeline:
+                     features_col: str = "features", word2vec_partitions: int = WORD2VEC_PARTITIONS) -> Pipeline:
     """FE7/FE8: tokens -> Word2Vec -> HashingTF -> StringIndexer -> VectorAssembler.
 
     Assembler order follows the reference: numeric columns, hashed entity, indexed categories;
