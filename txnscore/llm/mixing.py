@@ -29,13 +29,15 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: int = 3)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     ranked = cut(ranked.withColumn("weight", weight))
     cap = F.lit(float(epochs)) * F.col("source_size")
-    level, before = 0.0, None
-    while before != level:
-        before = level
+    level = 0.0
+    while True:
         full = cap <= F.col("weight") * F.lit(level)
         row = ranked.agg(F.sum("source_size").alias("total"), F.sum(F.when(full, cap)).alias("capped"),
                          F.sum(F.when(~full, F.col("weight"))).alias("open")).first()
-        level = ((row["total"] or 0) - (row["capped"] or 0.0)) / row["open"] if row["open"] else level
+        raised = ((row["total"] or 0) - (row["capped"] or 0.0)) / row["open"] if row["open"] else level
+        if raised <= level:  # the level only ever rises, but for rounding
+            break
+        level = raised
     return ranked.withColumn("target", F.least(cap, F.col("weight") * F.lit(level))).drop("weight")
 
 
