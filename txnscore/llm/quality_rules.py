@@ -123,7 +123,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their failing lines removed and n_chars renewed if present."""
-    df = assess(docs).filter("__kept")
+    # the row number keeps the optimizer from moving the filter below the steps of assess(), where it
+    # would repeat their expressions inside one another
+    df = assess(docs).withColumn("__row", F.monotonically_increasing_id()).filter("__kept and __row >= 0")
     new = {"text": F.col("__clean"), "n_chars": F.length("__clean").cast("long")}
     return df.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
