@@ -1,19 +1,23 @@
 """Benchmark decontamination on templates.
 
-Words lose punctuation and A-Z case, then numbers, names (capitalized inside a sentence, or
-capitalized anywhere if the same word also is so inside a sentence of the same text) and units become typed
-placeholders; neighbouring names are one. Windows of ``window`` template words are hashed on both
-sides. The hashes of the benchmark go to the tasks in bounded slices, so that only windows that
+Words lose punctuation and A-Z case and are read in three ways: as they are; with typed placeholders
+for numbers, names (capitalized inside a sentence; neighbouring ones are one) and units; and with
+placeholders also for capitalized words that open a sentence. What a word is depends on its own
+window only, so a passage has the same windows in whatever text it stands, and a literal copy
+always has the item's literal windows. Windows of ``window`` words are hashed on both sides. The hashes of the benchmark go to the tasks in bounded slices, so that only windows that
 occur in it leave the scan of the documents; these are hash-joined to the benchmark's windows.
 
 A copy of an item in a document keeps one distance between the two positions; along one distance,
 a slot value of the item must always meet the same value in the document and the reverse, as in a
 re-parameterised question. Windows on consistent distances count. A document is contaminated by an
-item if they cover half of the item's windows, or ``run`` windows (13 words for 6 windows of 8).
+item if they cover half of the item's windows, or ``run`` windows (13 words for 6 windows of 8):
+counted by the literal windows at whose places any of the three is found, or by those with placeholders.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +47,8 @@ _KEPT |= _UPPER
 _KEPT[128:] = True
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?:"]] = True
+_SKIPPED = tb.IS_SPACE.copy()
+_SKIPPED[[ord(c) for c in "\"'()[]{}<>*_`"]] = True
 
 
 def _unit_hashes() -> np.ndarray:
@@ -51,9 +57,41 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(tb.span_hash(tb.prefix_hash(data), at[:-1], at[1:]))
 
 
-def template(s: tb.Slice):
-    """Template words of a slice: hash of the word or placeholder, slot type (0 for a plain word),
-    hash of the slot's value, and the text they belong to."""
+def _between_sentences(buf: np.ndarray) -> np.ndarray:
+    """White space, quotes and brackets: they may stand between a sentence's mark and the next one."""
+    skip = _SKIPPED[buf]
+    two = (buf[:-1] == 0xC2) & ((buf[1:] == 0xAB) | (buf[1:] == 0xBB))
+    last = buf[2:]
+    three = (buf[:-2] == 0xE2) & (buf[1:-1] == 0x80) & (((last >= 0x98) & (last <= 0x9F)) | (last == 0xB9) | (last == 0xBA))
+    for found, width in ((two, 2), (three, 3)):
+        at = np.flatnonzero(found)
+        for k in range(width):
+            skip[at + k] = True
+    return skip
+
+
+@dataclass
+class Tokens:
+    """Words of a slice in one reading: hash of the word or placeholder, slot type (0 for a plain
+    word) and value, text, and number among the text's words; ``as_first`` is the slot type at the
+    start of a window, ``opener`` marks what only this reading takes for a name."""
+
+    word: np.ndarray
+    kind: np.ndarray
+    value: np.ndarray
+    doc: np.ndarray
+    number: np.ndarray
+    as_first: np.ndarray
+    opener: np.ndarray
+
+
+def readings(s: tb.Slice) -> list[Tokens]:
+    """The words of a slice as they are; with placeholders; and with placeholders also for
+    capitalized words that open a sentence.
+
+    What a word is depends on the word and on what stands between it and the one before. The first
+    word of a window counts as one that opens a sentence, whatever stands before the window.
+    """
     start, end, doc = tb.words(s)
     kept = _KEPT[s.buf]
     at = tb.bounds(kept)
@@ -68,79 +106,141 @@ def template(s: tb.Slice):
     accented = (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
     wide = np.where(accented, 2, 1)
     following = raw[np.minimum(lo + wide, max(len(raw) - 1, 0))] if len(raw) else first
-    capital = (_UPPER[first] | accented) & ~((hi - lo > wide) & (_UPPER[following] | (following == 0xC3)))
-    newlines = tb.bounds(s.buf == 0x0A)
-    opens = np.ones(len(start), bool)
-    opens[1:] = (doc[1:] != doc[:-1]) | _END[s.buf[end[:-1] - 1]] | (newlines[start[1:]] > newlines[end[:-1]])
     solid = hi > lo
-    inside = capital & ~opens & solid
-    owned = tb.mix(value + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    name = inside | (capital & solid & np.isin(owned, owned[inside]))
-    kind = np.where(name, _NAME, 0)
-    kind[np.isin(value, _unit_hashes())] = _UNIT
-    kind[(digits[end] > digits[start])] = _NUMBER
-    follows = np.zeros(len(start), bool)
-    follows[1:] = (kind[1:] == _NAME) & (kind[:-1] == _NAME) & (doc[1:] == doc[:-1]) & ~opens[1:]
-    use = solid & ~follows
-    kind, value, doc = kind[use], value[use], doc[use]
-    return np.where(kind > 0, kind.astype(np.uint64), value), kind, value, doc
-
-
-def windows(s: tb.Slice, size: int):
-    """(text, position, window hash, first template word) of every window; a text with fewer words is
-    one window. Windows of more placeholders than words are left out."""
-    word, kind, value, doc = template(s)
-    n = tb.counts(doc, s.n)
-    at = tb.bounds(n)
-    n_win = np.maximum(n - size + 1, np.minimum(n, 1))
-    win_at = tb.bounds(n_win)
-    owner = np.repeat(np.arange(s.n), n_win)
-    pos = np.arange(win_at[-1]) - win_at[owner]
-    first = at[owner] + pos
-    length = np.minimum(n[owner], size)
-    h = np.zeros(len(first), np.uint64)
-    for k in range(size):
-        step = word[np.minimum(first + k, max(len(word) - 1, 0))] if len(word) else h
-        h = np.where(k < length, tb.mix(h * np.uint64(0x9E3779B97F4A7C15) + step), h)
-    slots = tb.bounds(kind > 0)
-    plain = 2 * (slots[first + length] - slots[first]) <= length
-    return owner[plain], pos[plain], h[plain], first[plain], length[plain], kind, value
-
-
-def window_table(texts: DataFrame, size: int, wanted: np.ndarray | None = None) -> DataFrame:
-    """(id, h, pos, slots) of the windows of (id, text), or of those whose hash is in ``wanted``.
+    capital = (_UPPER[first] | accented) & ~((hi - lo > wide) & (_UPPER[following] | (following == 0xC3))) & solid
+    newlines = tb.bounds(s.buf == 0x0A)
+    # the last byte before each word that is no space, quote or bracket
+    before = np.append(-1, np.maximum.accumulate(np.where(_between_sentences(s.buf), -1, np.arange(len(s.buf)))))[start]
+    opens = (before < s.offsets[doc]) | _END[s.buf[np.maximum(before, 0)]]
+    opens[1:] |= newlines[start[1:]] > newlines[end[:-1]]
+    fixed = np.where(np.isin(value, _unit_hashes()), _UNIT, 0)
+    fixed[digits[end] > digits[start]] = _NUMBER
+    numbers = tb.bounds(solid)
+    number = numbers[:-1] - numbers[np.searchsorted(doc, doc)]
+    none = np.zeros(len(start), np.int64)
+    out = [Tokens(value[solid], none[solid], value[solid], doc[solid], number[solid], none[solid], none[solid])]
+    for names, opening in ((capital & ~opens, 0), (capital, _NAME)):
+        kind = np.where((fixed == 0) & names, _NAME, fixed)
+        as_first = np.where((fixed == 0) & capital, opening, fixed)
+        # what this reading takes for a name only because it opens a sentence
+        opener = (kind == _NAME) & opens
+        follows = np.zeros(len(start), bool)
+        follows[1:] = (kind[1:] == _NAME) & (kind[:-1] == _NAME) & (doc[1:] == doc[:-1]) & ~opens[1:]
+        use = solid & ~follows
+        out.append(Tokens(np.where(kind > 0, kind.astype(np.uint64), value)[use], kind[use], value[use], doc[use],
+                          number[use], as_first[use], opener[use].astype(np.int64)))
+    return out
+
+
+def windows(t: Tokens, reading: int, length: int):
+    """(first word, hash, plain words) of every window of ``length`` words inside a text. The third
+    reading gives only windows that differ from the second one."""
+    m = len(t.word) - length + 1
+    if m <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    inside = t.doc[:m] == t.doc[length - 1:]
+    if reading == 2:
+        openers = tb.bounds(t.opener)
+        inside &= (t.as_first[:m] == _NAME) | (openers[length:] > openers[1:m + 1])
+    head = np.where(t.as_first[:m] > 0, t.as_first[:m].astype(np.uint64), t.value[:m])
+    h = tb.mix(head + np.uint64((reading * 64 + length) * 0x9E3779B97F4A7C15 % (1 << 64)))
+    for k in range(1, length):
+        h = tb.mix(h * np.uint64(0x9E3779B97F4A7C15) + t.word[k:k + m])
+    slots = tb.bounds(t.kind > 0)
+    plain = length - (t.as_first[:m] > 0) - (slots[length:] - slots[1:m + 1])
+    first = np.flatnonzero(inside)
+    return first, h[first], plain[first]
+
+
+def text_windows(s: tb.Slice, size: int):
+    """Per reading (tokens, first word, hash, length) of the windows of ``size`` words, and of one window that is a whole
+    shorter text. Windows of more placeholders than words are left out; the first reading has none."""
+    for reading, t in enumerate(readings(s)):
+        n = tb.counts(t.doc, s.n)
+        parts = []
+        for length in range(1, size + 1):
+            if length < size and not (n == length).any():
+                continue
+            first, h, plain = windows(t, reading, length)
+            fits = 2 * plain >= length
+            if length < size:
+                fits &= n[t.doc[first]] == length
+            parts.append((first[fits], h[fits], np.full(int(fits.sum()), length)))
+        yield (t, *(np.concatenate(x) for x in zip(*parts)))
+
+
+def _slots(t: Tokens, first: np.ndarray, length: np.ndarray) -> list:
+    """Per window the hashes of type and value of its slots in order."""
+    def of(kind, value):
+        return tb.mix(value * np.uint64(5) + kind.astype(np.uint64)).view(np.int64)
+
+    inner, head = of(t.kind, t.value), of(t.as_first, t.value)
+    return [([int(head[a])] if t.as_first[a] else []) + inner[a + 1:b][t.kind[a + 1:b] > 0].tolist() for a, b in zip(first, first + length)]
+
+
+def _positions(t: Tokens, first: np.ndarray, n: int) -> np.ndarray:
+    return first - tb.bounds(tb.counts(t.doc, n))[t.doc[first]]
+
+
+def item_windows(items: DataFrame, size: int) -> DataFrame:
+    """(id, h, reading, pos, slots, place, template) of the windows of (id, text). ``place`` is the hash of
+    the literal window that starts at the same word, ``template`` that of the window with
+    placeholders there (null for literal windows)."""
+
+    def run(batches):
+        for batch in batches:
+            for s in tb.slices(batch.column(1)):
+                place = template = None
+                for reading, (t, first, h, length) in enumerate(text_windows(s, size)):
+                    if reading == 0:
+                        begin = tb.bounds(tb.counts(t.doc, s.n))
+                        place, template = np.zeros((2, len(t.word)), np.uint64)
+                        place[first] = h
+                    word = begin[t.doc[first]] + t.number[first]
+                    if reading == 1:
+                        template[word] = h
+                    of_word = np.where(template[word] == 0, h, template[word]).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(s.first, s.n).take(pa.array(t.doc[first])), pa.array(h.view(np.int64)),
+                         pa.array(np.full(len(h), reading, np.int32)), pa.array(_positions(t, first, s.n).astype(np.int32)),
+                         pa.array(_slots(t, first, length), pa.list_(pa.int64())), pa.array(place[word].view(np.int64)),
+                         pa.array(of_word, mask=np.full(len(h), reading == 0))],
+                        names=["id", "h", "reading", "pos", "slots", "place", "template"])
+
+    return items.mapInArrow(run, "id long, h long, reading int, pos int, slots array<bigint>, place long, template long")
+
+
+def found_windows(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
+    """(id, h, pos, slots) of those windows of (id, text) whose hash is in ``wanted`` (sorted).
 
     ``slots`` holds, per slot of the window in order, the hash of its type and value.
     """
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
             for s in tb.slices(batch.column(1)):
-                owner, pos, h, first, length, kind, value = windows(s, size)
-                if wanted is not None:
+                for t, first, h, length in text_windows(s, size):
                     near = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h if len(wanted) else np.zeros(len(h), bool)
-                    owner, pos, h, first, length = (x[near] for x in (owner, pos, h, first, length))
-                slots = [[int(v) for v in tb.mix(value[a:b][kind[a:b] > 0] * np.uint64(5) + kind[a:b][kind[a:b] > 0].astype(np.uint64)).view(np.int64)]
-                         for a, b in zip(first, first + length)]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(s.first, s.n).take(pa.array(owner)), pa.array(h.view(np.int64)), pa.array(pos.astype(np.int32)),
-                     pa.array(slots, pa.list_(pa.int64()))], names=["id", "h", "pos", "slots"])
+                    first, h, length = first[near], h[near], length[near]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(s.first, s.n).take(pa.array(t.doc[first])), pa.array(h.view(np.int64)),
+                         pa.array(_positions(t, first, s.n).astype(np.int32)), pa.array(_slots(t, first, length), pa.list_(pa.int64()))],
+                        names=["id", "h", "pos", "slots"])
 
-    return texts.mapInArrow(run, "id long, h long, pos int, slots array<bigint>")
+    return docs.mapInArrow(run, "id long, h long, pos int, slots array<bigint>")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: int = 6, percent: int = 50) -> DataFrame:
     """Pairs (doc_id, item_id, n_windows, n_matched, n_changed) of contaminated documents.
 
-    ``n_windows`` counts the item's distinct windows, ``n_matched`` those found on consistent
-    distances, ``n_changed`` the most slot values that differ along one distance. Null and empty
+    ``n_windows`` counts the item's distinct windows (literal ones, or those with placeholders where only these are
+    enough), ``n_matched`` those found on consistent distances, ``n_changed`` the most slot values that differ along one distance. Null and empty
     texts, and rows with a null doc_id or item_id, give no pair; repeated rows give one pair; an
     empty table on either side gives no rows; other columns are ignored.
     """
     items = (benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
              .filter("id is not null and text is not null"))
-    theirs = cut(window_table(items, window).distinct())
+    theirs = cut(item_windows(items, window).distinct())
     docs = (docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
             .filter("id is not null and text is not null"))
     # the benchmark's hashes in slices by value: every slice is bounded, together they are whole
@@ -149,27 +249,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: in
     found = None
     for k in range(n_slices):
         part = hashes.filter(F.pmod(F.xxhash64("h"), F.lit(n_slices)) == k).toPandas()["h"].to_numpy(np.int64)
-        hits = window_table(docs, window, np.sort(part.view(np.uint64)))
+        hits = found_windows(docs, window, np.sort(part.view(np.uint64)))
         found = hits if found is None else found.union(hits)
     if found is None:
-        found = window_table(docs, window, np.zeros(0, np.uint64))
-    sizes = theirs.groupBy("id").agg(F.count_distinct("h").alias("n_windows")).withColumnRenamed("id", "item_id")
+        found = found_windows(docs, window, np.zeros(0, np.uint64))
+    sizes = theirs.groupBy("id").agg(F.count_distinct("place").alias("n_places"), F.count_distinct("template").alias("n_templates")).withColumnRenamed("id", "item_id")
     met = (found.distinct().withColumnRenamed("id", "doc_id").withColumnRenamed("pos", "doc_pos").withColumnRenamed("slots", "doc_slots")
            .join(theirs.withColumnRenamed("id", "item_id"), "h")
            .withColumn("shift", F.col("doc_pos") - F.col("pos")))
     # along one distance: distinct (item value, document value) pairs must be one to one
-    copies = met.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("h").alias("hs"),
+    copies = met.groupBy("doc_id", "item_id", "reading", "shift").agg(
+        F.collect_set(F.struct("place", "template")).alias("hs"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("slots").alias("theirs"), F.col("doc_slots").alias("ours"))))).alias("pairs"))
     theirs_of, ours_of = F.transform("pairs", lambda p: p["theirs"]), F.transform("pairs", lambda p: p["ours"])
     fair = (F.size(F.array_distinct(theirs_of)) == F.size("pairs")) & (F.size(F.array_distinct(ours_of)) == F.size("pairs"))
     whole = (copies.filter(fair)
              .withColumn("changed", F.size(F.filter("pairs", lambda p: p["theirs"] != p["ours"])))
              .select("doc_id", "item_id", "changed", F.explode("hs").alias("h"))
-             .groupBy("doc_id", "item_id").agg(F.count_distinct("h").alias("n_matched"), F.max("changed").cast("long").alias("n_changed")))
+             .groupBy("doc_id", "item_id").agg(F.count_distinct("h.place").alias("places"), F.count_distinct("h.template").alias("templates"),
+                                               F.max("changed").cast("long").alias("n_changed")))
     out = whole.join(sizes, "item_id")
-    enough = (100 * F.col("n_matched") >= percent * F.col("n_windows")) | (F.col("n_matched") >= run)
-    return out.filter(enough).select("doc_id", "item_id", "n_windows", "n_matched", "n_changed")
+    enough = lambda found, of: (100 * F.col(found) >= percent * F.col(of)) & (F.col(of) > 0) | (F.col(found) >= run)
+    by_place = enough("places", "n_places")
+    return out.filter(by_place | enough("templates", "n_templates")).select(
+        "doc_id", "item_id", F.when(by_place, F.col("n_places")).otherwise(F.col("n_templates")).alias("n_windows"),
+        F.when(by_place, F.col("places")).otherwise(F.col("templates")).alias("n_matched"), "n_changed")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
