@@ -29,3 +29,14 @@ def test_names_that_open_sentences_are_slots(spark):
     got = pairs(spark, [FILLER + other + " " + FILLER], [ALICE])
     assert set(got) == {(0, 0)} and got[0, 0].n_changed == 3
     assert got[0, 0].n_matched == got[0, 0].n_windows
+
+
+def test_dense_and_short_items_are_found_inside_documents(spark):
+    items = ["12 km 5 m 30 cm 7 mm 9 kg 14 g 3 mg 8 lb 6 oz 11 ml 4 l 2 ft", "Old Man River Meets Big Bad Wolf At Green Lake Near Silver Town",
+             "Who wrote the blue book?", "1 1 2 3 5 8", "Xylophone", "How many legs does Anna really have?"]
+    texts = [FILLER + i + " " + FILLER for i in items] + [FILLER, "Who wrote the red book? 1 1 2 3 5 9. 12 km 6 m 30 cm"]
+    got = pairs(spark, texts, items)
+    assert set(got) == {(i, i) for i in range(len(items))}
+    # a short item with another name and enough other words
+    assert set(pairs(spark, [FILLER + "How many legs does Berta really have? " + FILLER], items)) == {(0, 5)}
+    assert set(pairs(spark, ["What is Paris?", FILLER + "What is Paris? " + FILLER], ["What is Rome?"])) == {(0, 0)}

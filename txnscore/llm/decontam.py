@@ -4,7 +4,8 @@ Words lose punctuation and A-Z case and are read in three ways: as they are; wit
 for numbers, names (capitalized inside a sentence; neighbouring ones are one) and units; and with
 placeholders also for capitalized words that open a sentence. What a word is depends on its own
 window only, so a passage has the same windows in whatever text it stands, and a literal copy
-always has the item's literal windows. Windows of ``window`` words are hashed on both sides. The hashes of the benchmark go to the tasks in bounded slices, so that only windows that
+always has the item's literal windows. Windows of ``window`` words are hashed on both sides,
+and for shorter items windows of their own length. The hashes of the benchmark go to the tasks in bounded slices, so that only windows that
 occur in it leave the scan of the documents; these are hash-joined to the benchmark's windows.
 
 A copy of an item in a document keeps one distance between the two positions; along one distance,
@@ -152,20 +153,32 @@ def windows(t: Tokens, reading: int, length: int):
     return first, h[first], plain[first]
 
 
-def text_windows(s: tb.Slice, size: int):
-    """Per reading (tokens, first word, hash, length) of the windows of ``size`` words, and of one window that is a whole
-    shorter text. Windows of more placeholders than words are left out; the first reading has none."""
+def text_windows(s: tb.Slice, size: int, lengths: list[int] | None = None):
+    """Per reading (tokens, first word, hash, length) of the windows of a text that are searched.
+
+    Without ``lengths`` the windows of an item: those of ``size`` words, or the one of its own length
+    if it is shorter. With ``lengths`` a document's windows of each of these lengths. A window with
+    placeholders needs ``size / 2`` plain words; shorter ones, if half of them are plain, equal a
+    text that consists of nothing else. The literal reading holds every window.
+    """
     for reading, t in enumerate(readings(s)):
         n = tb.counts(t.doc, s.n)
-        parts = []
+        parts = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for length in range(1, size + 1):
-            if length < size and not (n == length).any():
+            own = length < size and (n == length).any()
+            inner = own or length == size if lengths is None else length in lengths
+            if not (own or inner):
                 continue
             first, h, plain = windows(t, reading, length)
-            fits = 2 * plain >= length
-            if length < size:
-                fits &= n[t.doc[first]] == length
-            parts.append((first[fits], h[fits], np.full(int(fits.sum()), length)))
+            whole = n[t.doc[first]] == length
+            fits = 2 * plain >= size if reading else np.ones(len(first), bool)
+            if length < size and lengths is None:
+                fits &= whole
+            if inner:
+                parts.append((first[fits], h[fits], np.full(int(fits.sum()), length)))
+            if own and reading:
+                alone = whole & (2 * plain >= length)
+                parts.append((first[alone], tb.mix(h[alone] + np.uint64(1)), np.full(int(alone.sum()), length)))
         yield (t, *(np.concatenate(x) for x in zip(*parts)))
 
 
@@ -183,7 +196,7 @@ def _positions(t: Tokens, first: np.ndarray, n: int) -> np.ndarray:
 
 
 def item_windows(items: DataFrame, size: int) -> DataFrame:
-    """(id, h, reading, pos, slots, place, template) of the windows of (id, text). ``place`` is the hash of
+    """(id, h, reading, length, pos, slots, place, template) of the windows of (id, text). ``place`` is the hash of
     the literal window that starts at the same word, ``template`` that of the window with
     placeholders there (null for literal windows)."""
 
@@ -202,15 +215,15 @@ def item_windows(items: DataFrame, size: int) -> DataFrame:
                     of_word = np.where(template[word] == 0, h, template[word]).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(s.first, s.n).take(pa.array(t.doc[first])), pa.array(h.view(np.int64)),
-                         pa.array(np.full(len(h), reading, np.int32)), pa.array(_positions(t, first, s.n).astype(np.int32)),
+                         pa.array(np.full(len(h), reading, np.int32)), pa.array(length.astype(np.int32)), pa.array(_positions(t, first, s.n).astype(np.int32)),
                          pa.array(_slots(t, first, length), pa.list_(pa.int64())), pa.array(place[word].view(np.int64)),
                          pa.array(of_word, mask=np.full(len(h), reading == 0))],
-                        names=["id", "h", "reading", "pos", "slots", "place", "template"])
+                        names=["id", "h", "reading", "length", "pos", "slots", "place", "template"])
 
-    return items.mapInArrow(run, "id long, h long, reading int, pos int, slots array<bigint>, place long, template long")
+    return items.mapInArrow(run, "id long, h long, reading int, length int, pos int, slots array<bigint>, place long, template long")
 
 
-def found_windows(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
+def found_windows(docs: DataFrame, size: int, lengths: list[int], wanted: np.ndarray) -> DataFrame:
     """(id, h, pos, slots) of those windows of (id, text) whose hash is in ``wanted`` (sorted).
 
     ``slots`` holds, per slot of the window in order, the hash of its type and value.
@@ -219,7 +232,7 @@ def found_windows(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
     def run(batches):
         for batch in batches:
             for s in tb.slices(batch.column(1)):
-                for t, first, h, length in text_windows(s, size):
+                for t, first, h, length in text_windows(s, size, lengths):
                     near = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h if len(wanted) else np.zeros(len(h), bool)
                     first, h, length = first[near], h[near], length[near]
                     yield pa.RecordBatch.from_arrays(
@@ -241,6 +254,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: in
     items = (benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
              .filter("id is not null and text is not null"))
     theirs = cut(item_windows(items, window).distinct())
+    lengths = sorted(r["length"] for r in theirs.select("length").distinct().collect())
     docs = (docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
             .filter("id is not null and text is not null"))
     # the benchmark's hashes in slices by value: every slice is bounded, together they are whole
@@ -249,10 +263,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: in
     found = None
     for k in range(n_slices):
         part = hashes.filter(F.pmod(F.xxhash64("h"), F.lit(n_slices)) == k).toPandas()["h"].to_numpy(np.int64)
-        hits = found_windows(docs, window, np.sort(part.view(np.uint64)))
+        hits = found_windows(docs, window, lengths, np.sort(part.view(np.uint64)))
         found = hits if found is None else found.union(hits)
     if found is None:
-        found = found_windows(docs, window, np.zeros(0, np.uint64))
+        found = found_windows(docs, window, lengths, np.zeros(0, np.uint64))
     sizes = theirs.groupBy("id").agg(F.count_distinct("place").alias("n_places"), F.count_distinct("template").alias("n_templates")).withColumnRenamed("id", "item_id")
     met = (found.distinct().withColumnRenamed("id", "doc_id").withColumnRenamed("pos", "doc_pos").withColumnRenamed("slots", "doc_slots")
            .join(theirs.withColumnRenamed("id", "item_id"), "h")
