@@ -40,3 +40,19 @@ def test_dense_and_short_items_are_found_inside_documents(spark):
     # a short item with another name and enough other words
     assert set(pairs(spark, [FILLER + "How many legs does Berta really have? " + FILLER], items)) == {(0, 5)}
     assert set(pairs(spark, ["What is Paris?", FILLER + "What is Paris? " + FILLER], ["What is Rome?"])) == {(0, 0)}
+
+
+EQUAL = ("The first farm keeps 40 cows in the long barn near the old river and sells fresh milk to the town. "
+         "In the second year the same farm still keeps 40 cows but now also sells soft cheese to the village nearby.")
+
+
+def test_a_conflicting_slot_costs_only_its_own_windows(spark):
+    one_edited = EQUAL.replace("keeps 40 cows but", "keeps 41 cows but")
+    split = EQUAL.replace("keeps 40 cows in", "keeps 50 cows in").replace("keeps 40 cows but", "keeps 60 cows but")
+    got = pairs(spark, [FILLER + one_edited, FILLER + split], [EQUAL])
+    assert set(got) == {(0, 0), (1, 0)}
+    item = "He paid 7 coins for bread and 7 coins for milk then he walked home alone in rain"
+    got = pairs(spark, [FILLER + item.replace("7", "9"), FILLER + item.replace("7", "9", 1).replace("7", "8")], [item])
+    assert got[0, 0].n_matched == got[0, 0].n_windows == 11 and got[0, 0].n_changed == 1
+    # 7 stands for 9 or for 8: the windows that hold only the more frequent pair count, and the literal ones
+    assert (1, 0) in got and got[1, 0].n_matched == 8
