@@ -3,7 +3,8 @@
 Every page's containers are scored by the text of their blocks, less links; the best one votes, in
 Spark, for its path of generalised tags and classes (digits dropped) on its host. A host's paths
 that win a good share of its pages are its templates, and every page is extracted again from the
-template it has; a page without one keeps its own best container.
+first template that holds a tenth or more of its own best container's score; a page without one keeps
+its own best container. The container is widened to its parent while that adds text outside links.
 """
 
 from __future__ import annotations
@@ -44,21 +45,47 @@ _SKIP_WORDS = set("ad ads advert adverts advertisement advertising adsense banne
                   "notices alert disclaimer popup modal overlay newsletter subscribe signup login search share sharing social related "
                   "recommended comment comments commentlist reply replies respond disqus discussion pagination pager toolbar copyright".split())
 _SKIP_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+#: Elements that hold the text itself: skip words in their classes and ids tell about the text, not about a part of the page.
+_TEXT_TAGS = set("h1 h2 h3 h4 h5 h6 p".split())
+#: With one of these in the same class or id, "header" is the article's own.
+_ARTICLE_WORDS = set("article post entry story content".split())
+_HEADING = re.compile(r"\s*(?:<(?!h[1-6]\b)[^>]*>\s*){0,3}<h[1-6]\b[^>]*>(.*?)</h[1-6]", re.S | re.I)
 _LAYOUT = re.compile(r"\b(?:with|has|no|without|under|below|after)[-_]\w+")
 _SPACE = re.compile(r"\s+")
 #: Share of a host's pages that a path must win to be one of its templates.
 TEMPLATE_SHARE = 0.1
+#: Share of the page's own best score that a template must reach on a page to be used there.
+TEMPLATE_SCORE = 0.1
 #: Summed bytes of the templates up to which they are broadcast; beyond it, a shuffle join by host.
 MAX_BROADCAST_BYTES = 8_000_000
 
 
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """Generalised name ``tag.class`` and whether the element is not part of an article."""
+def _skip_words(names: list[str]) -> set[str]:
+    """The words of classes or ids that tell that the element is not part of an article."""
+    out: set[str] = set()
+    for name in names:
+        # "with-sidebar" and the like tell about the layout around the element
+        words = {w for w in re.split(r"[^a-z]+", _LAYOUT.sub(" ", name)) if w}
+        out |= (words & _SKIP_WORDS) - ({"header"} if words & _ARTICLE_WORDS else set())
+    return out
+
+
+def _names_heading(name: str, page: str, at: int) -> bool:
+    """Whether an id consists of words of the heading that the element begins with."""
+    m = _HEADING.match(page, at, at + 2000)
+    words = set(re.split(r"[\W_]+", html.unescape(re.sub(r"<[^>]*>", " ", m[1])).lower())) if m else set()
+    of_id = {w for w in re.split(r"[\W_]+", name) if w}
+    return len(of_id) > 1 and of_id <= words
+
+
+def _label(tag: str, attrs: str, page: str = "", at: int = 0) -> tuple[str, bool]:
+    """Generalised name ``tag.class`` and whether the element, whose content starts at ``at``, is not
+    part of an article."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs.strip(" /") else {}
     classes = html.unescape(found.get("class", "")).lower().split()
-    # "with-sidebar" and the like tell about the layout around the element
-    words = {w for v in [*classes, found.get("id", "").lower()] for w in re.split(r"[^a-z]+", _LAYOUT.sub(" ", v)) if w}
-    skip = (tag in _SKIP_TAGS or (tag not in ("html", "body", "main", "article") and bool(words & _SKIP_WORDS))
+    own = found.get("id", "").lower()
+    words = tag not in _TEXT_TAGS and (bool(_skip_words(classes)) or bool(_skip_words([own])) and not _names_heading(own, page, at))
+    skip = (tag in _SKIP_TAGS or (tag not in ("html", "body", "main", "article") and words)
             or found.get("role", "").lower() in _SKIP_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
             or bool(re.search(r"display\s*:\s*none", found.get("style", ""))))
     name = ".".join([tag, *sorted({re.sub(r"\d+", "", c) for c in classes} - {""})])
@@ -136,7 +163,7 @@ def blocks(page: str) -> Iterator[tuple[tuple, str, int]]:
             parts.append(" ")
         if tag in _VOID or m[0].endswith("/>") and tag not in _BLOCK:
             continue
-        name, skip = _label(tag, m["attrs"] or m["attrs2"] or "")
+        name, skip = _label(tag, m["attrs"] or m["attrs2"] or "", page, at)
         # the page's header is skipped, an article's own one (its title) is not
         if tag == "header":
             skip = skip or not any(x[0] in ("article", "main") for x in stack)
@@ -167,17 +194,43 @@ def _containers(found: list) -> dict[str, float]:
     return preferred
 
 
+def _widened(wanted: str, found: list) -> str:
+    """The container at ``wanted``, or its parent while that adds blocks with more text outside links
+    than inside; ``article`` and ``main`` are whole, and the page's body is no part of it."""
+    while wanted.rsplit("/", 1)[-1].split(".")[0] not in ("article", "main"):
+        parent = wanted.rsplit("/", 1)[0]
+        while "/" in parent and parent.rsplit("/", 1)[-1].split(".")[0] not in _CONTAINER:
+            parent = parent.rsplit("/", 1)[0]
+        if "/" not in parent or parent.rsplit("/", 1)[-1].split(".")[0] == "body":
+            break
+        adds = False
+        for path, text, linked in found:
+            own = "/".join(n for n, _ in path) + "/"
+            adds |= own.startswith(parent + "/") and not own.startswith(wanted + "/") and len(text) > 2 * linked
+        if not adds:
+            break
+        wanted = parent
+    return wanted
+
+
+def _best(found: list, scores: dict[str, float]) -> str:
+    return _widened(max(scores, key=lambda k: (scores[k], k)), found)
+
+
 def best_path(page: str) -> str | None:
-    scores = _containers(list(blocks(page)))
-    return max(scores, key=lambda k: (scores[k], k)) if scores else None
+    found = list(blocks(page))
+    scores = _containers(found)
+    return _best(found, scores) if scores else None
 
 
 def extract(page: str, templates: list[str]) -> str:
-    """Blocks under the first template that the page has, else under its own best container, else all."""
+    """Blocks under the first template that holds a tenth or more of the page's own best score, else
+    under its own best container, else all."""
     found = list(blocks(page))
     under = lambda wanted: [t for path, t, _ in found if any("/".join(n for n, _ in path[:k]) == wanted for k in range(1, len(path) + 1))]
     scores = _containers(found)
-    for wanted in [*(t for t in templates if scores.get(t, 0) > 0), *([max(scores, key=lambda k: (scores[k], k))] if scores else [])]:
+    least = TEMPLATE_SCORE * max(scores.values(), default=0)
+    for wanted in [*(_widened(t, found) for t in templates if scores.get(t, 0) > 0 and scores[t] >= least), *([_best(found, scores)] if scores else [])]:
         if texts := under(wanted):
             return "\n\n".join(texts)
     return "\n\n".join(t for _, t, _ in found)
