@@ -10,7 +10,6 @@ from ..functions.columns import round6
 from ..schema import DRIVER_TABLES
 from ..session import scratch_path
 from ..sources.publish import JSON_OPTIONS, publish_json, to_json_messages
-from ..sources.files import path_exists
 from ..sources.tables import read_table
 from ..streaming import rates
 from ..streaming.scoring import ScoringOutputs, kpi_totals, read_kpis, run_to_completion, start_scoring
@@ -34,16 +33,9 @@ def _publish_events(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-_SERVICE_RUNS: dict[tuple[str, str], ScoringOutputs] = {}
-
-
 def _score_stream(spark: SparkSession, sf_dir: str) -> ScoringOutputs:
     """One run of the scoring service over the whole published input; its sinks (scored
     messages, quarantine, KPI rows) are read by the queries below, like any consumer would."""
-    run_key = (spark.sparkContext.applicationId, sf_dir)
-    done = _SERVICE_RUNS.get(run_key)
-    if done is not None and path_exists(spark, done.kpis):
-        return done
     src = _publish_events(spark, sf_dir)
     outputs = ScoringOutputs(scored=scratch_path(spark, "scored"), quarantine=scratch_path(spark, "quarantine"),
                              kpis=scratch_path(spark, "kpis"))
@@ -52,7 +44,6 @@ def _score_stream(spark: SparkSession, sf_dir: str) -> ScoringOutputs:
                       checkpoint=scratch_path(spark, "ckpt-scoring"), query_name="scoring",
                       trigger=AVAILABLE_NOW, drop_cols=("rawPrediction", "probability"))
     run_to_completion(q)
-    _SERVICE_RUNS[run_key] = outputs
     return outputs
 
 
