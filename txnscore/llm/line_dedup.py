@@ -3,8 +3,8 @@
 A line is a ``\\n``-separated piece with at least one word; it is compared with A-Z lower-cased,
 runs of white space as one blank and none at its ends. Equal lines are one node (64-bit hash).
 The nodes' one-permutation MinHash signatures (``bands * rows`` bins, empty bins filled from bins
-chosen by a fixed probe sequence) are banded; a pair of similarity 0.8 shares a band of 10 x 4 with
-probability 0.995, one of 0.85 with 0.9994. Candidates are checked by their exact Jaccard similarity, first against the
+chosen by a fixed probe sequence) are banded; a pair of similarity 0.8 shares a band of 12 x 4 with
+probability 0.998, one of 0.85 with 0.9999. Candidates are checked by their exact Jaccard similarity, first against the
 most frequent line of each bucket, then, in buckets that still hold several components, between
 the remaining components under an exact bound. Components come from distributed union-find; of a
 component's occurrences the one with the smallest (doc_id, line number) stays.
@@ -207,7 +207,7 @@ def line_components(docs: DataFrame, table: DataFrame, size: int, percent: int)
     return components(first.union(verified_lines(rest, texts, size, percent)))
 
 
-def duplicate_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 10, rows: int = 4) -> DataFrame:
+def duplicate_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 12, rows: int = 4) -> DataFrame:
     """(doc_id, line_no) of the lines that go (materialized)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = cut(line_table(docs, size, bands, rows))
@@ -220,7 +220,7 @@ def duplicate_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: in
                .select("doc_id", "line_no").distinct())
 
 
-def dedup_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 10, rows: int = 4) -> DataFrame:
+def dedup_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 12, rows: int = 4) -> DataFrame:
     """``docs`` with repeated lines removed from ``text``, plus n_lines (lines with a word) and
     n_removed (int).
 
