@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontam, html_extract, lang_id, line_dedup, mixing, near_dup, quality_model, quality_rules, toxicity,
-               url_filter)
+from . import (decontam, html_extract, kneser_ney, lang_id, line_dedup, mixing, near_dup, prefix_trie, quality_model,
+               quality_rules, resampling, toxicity, url_filter)
 from .tables import table
 
 
@@ -56,6 +56,19 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.branched_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = kneser_ney.score(table(spark, sf_dir, "documents"), order=2)
+    return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # sits beside the driver entry; imported here because it imports this package
 
@@ -64,9 +77,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     named = [op1_url_filter, op2_language_id, op3_weighted_mix, op4_quality_rules, op5_line_dedup, op6_near_dup, op7_toxicity,
-             op8_quality_model, op9_html_text, op10_decontam, pipeline]
+             op8_quality_model, op9_html_text, op10_decontam, op11_importance_resampling, op12_prefix_trie, op13_lm_score, pipeline]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict:
-    return {"op4_quality_rules": quality_rules.ORACLE_SQL}
+    return {"op4_quality_rules": quality_rules.ORACLE_SQL, "op11_importance_resampling": resampling.ORACLE_SQL,
+            "op12_prefix_trie": prefix_trie.ORACLE_SQL, "op13_lm_score": kneser_ney.ORACLE_SQL}
