@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .operators import aggregates, models
+from .operators.artifacts import load_or_fit, stage_parameters
 from .operators.evaluate import evaluate  # noqa: F401  (re-export)
 from .operators.features import feature_pipeline as _feature_pipeline
 from .operators.prepare import REFERENCE_COLUMNS, TxnColumns, column_roles, holdout_split
@@ -60,41 +61,48 @@ class TrainConfig:
 
 
 def train_gbt(spark: SparkSession, data: DataFrame, cfg: TrainConfig):
-    """trainAndEvaluate (GBT): load the saved pipeline if present and evaluate it on the holdout;
-    otherwise grid-search on the holdout, save the best pipeline. Returns (model, metrics frame)."""
+    """trainAndEvaluate (GBT): load the pipeline that was saved for this data and these parameters and
+    evaluate it on the holdout; otherwise grid-search on the holdout and save the best pipeline. A saved
+    model that cannot be read raises; one of other data or parameters is set aside, never overwritten.
+    Returns (model, metrics frame)."""
     train, test = holdout_split(data, cfg.split, cfg.seed, cfg.hash_split_key)
-    try:
-        model = PipelineModel.load(cfg.model_path)
-        return model, evaluate(model.transform(test), label=cfg.label)
-    except Exception:  # noqa: BLE001 - no usable model: train one
-        pass
-    feats = (cfg.features or feature_pipeline(label=cfg.label)).fit(train)
-    if cfg.weight_col:
-        train_f = with_class_weights(feats.transform(train), cfg.label)
-    else:
-        train_f = feats.transform(train)
+    stages = cfg.features or feature_pipeline(label=cfg.label)
     grid = cfg.grid if cfg.grid is not None else models.param_grid()
-    best, candidates = models.grid_search(
-        train_f, feats.transform(test), grid,
-        lambda **p: models.gbt(cfg.label, weight_col=cfg.weight_col, **p), cfg.label, cfg.parallelism)
-    model = PipelineModel(stages=list(feats.stages) + [best])
-    model.write().overwrite().save(cfg.model_path)
-    return model, candidates
+    make = lambda **p: models.gbt(cfg.label, weight_col=cfg.weight_col, **p)
+    found = []
+
+    def fit() -> PipelineModel:
+        feats = stages.fit(train)
+        train_f = feats.transform(train)
+        if cfg.weight_col:
+            train_f = with_class_weights(train_f, cfg.label)
+        best, candidates = models.grid_search(train_f, feats.transform(test), grid, make, cfg.label, cfg.parallelism)
+        found.append(candidates)
+        return PipelineModel(stages=[*feats.stages, best])
+
+    parameters = {"split": [*cfg.split, cfg.seed, cfg.hash_split_key], "grid": grid, "weight": cfg.weight_col,
+                  **stage_parameters(stages)}
+    model, loaded = load_or_fit(spark, cfg.model_path, data, fit, parameters)
+    return model, evaluate(model.transform(test), label=cfg.label) if loaded else found[0]
 
 
 def train_rf(spark: SparkSession, data: DataFrame, model_path: str, label: str = LABEL,
              split=None, seed: int = SPLIT_SEED, features=None, hash_split_key: str | None = None,
              **rf_params):
-    """trainAndEvaluate (random forest, class-weighted): load or train, then evaluate."""
-    train, test = holdout_split(data, split or list(RF_SPLIT), seed, hash_split_key)
-    try:
-        model = PipelineModel.load(model_path)
-    except Exception:  # noqa: BLE001
-        feats = (features or feature_pipeline(label=label)).fit(train)
+    """trainAndEvaluate (random forest, class-weighted): load the forest that was trained on this data with
+    the stated parameters, or train one; then evaluate."""
+    split = split or list(RF_SPLIT)
+    train, test = holdout_split(data, split, seed, hash_split_key)
+    stages = features or feature_pipeline(label=label)
+
+    def fit() -> PipelineModel:
+        feats = stages.fit(train)
         rf = models.fit_persisted(models.random_forest(label, **rf_params),
                                   with_class_weights(feats.transform(train), label))
-        model = PipelineModel(stages=list(feats.stages) + [rf])
-        model.write().overwrite().save(model_path)
+        return PipelineModel(stages=[*feats.stages, rf])
+
+    parameters = {"split": [*split, seed, hash_split_key], **rf_params, **stage_parameters(stages)}
+    model, _ = load_or_fit(spark, model_path, data, fit, parameters)
     return model, evaluate(model.transform(test), label=label)
 
 

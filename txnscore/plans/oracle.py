@@ -11,8 +11,8 @@ VIEWS = {
         date_diff('second', TIMESTAMP '1995-01-01 00:00:00', o_orderdate) AS txn_dt,
         o_totalprice AS amount, o_custkey AS card, o_orderpriority AS product,
         CAST(o_orderstatus = 'F' AS INTEGER) AS is_fraud FROM orders""",
-    "ident": """SELECT c_custkey AS card, c_name, c_mktsegment, CAST(c_nationkey AS DOUBLE) AS addr1,
-        c_acctbal AS D1, c_acctbal AS D4 FROM customer WHERE c_mktsegment = 'BUILDING'""",
+    "ident": """SELECT c_custkey AS card, c_name, c_mktsegment, CASE WHEN c_nationkey % 5 <> 0 THEN CAST(c_nationkey AS DOUBLE) END AS addr1,
+        CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS D1, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS D4 FROM customer""",
     "joined": """SELECT t.txn_id, t.txn_dt, t.amount, t.card, t.product, t.is_fraud,
         i.c_name, i.c_mktsegment, i.addr1, i.D1, i.D4 FROM txn t LEFT JOIN ident i ON t.card = i.card""",
     "normed": """SELECT txn_id, txn_dt, amount, card, product, is_fraud, c_name, c_mktsegment, addr1, D1,

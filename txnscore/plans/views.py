@@ -2,8 +2,9 @@
 
 * ``txn`` (orders): one transaction per order; ``txn_dt`` = seconds since 1995-01-01,
   ``card`` = customer, ``product`` = order priority, label ``is_fraud`` = status 'F'.
-* ``ident`` (customer, one market segment): sparse identity side keyed by ``card``; the nation
-  key plays the address, the account balance both day-offset roles (D1 raw, D4 normalized).
+* ``ident`` (customer): identity side keyed by ``card`` (customers without an order and cards
+  without a customer stay unmatched); the nation key plays the address, missing for one nation in five, the
+  account balance both day-offset roles (D1 raw, D4 normalized), missing where it is negative.
 * ``ev`` (events): ``k`` parsed from the JSON ``props``; label ``is_fraud`` = event type 'error'.
 * ``scored`` (ev): a fixed logistic margin m = (k - 50) / 50 stands in for a model, so every
   scoring and KPI operator can be checked exactly in SQL.
@@ -20,7 +21,6 @@ from ..schema import PROPS_SCHEMA
 from ..sources.tables import read_table
 
 TXN_ORIGIN = "1995-01-01 00:00:00"
-IDENT_SEGMENT = "BUILDING"
 FRAUD_STATUS = "F"
 FRAUD_EVENT = "error"
 
@@ -45,12 +45,12 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ident(spark: SparkSession, sf_dir: str, segment: str = IDENT_SEGMENT) -> DataFrame:
+def ident(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
-    return c.where(F.col("c_mktsegment") == F.lit(segment)).select(
+    return c.select(
         F.col("c_custkey").alias("card"), "c_name", "c_mktsegment",
-        F.col("c_nationkey").cast("double").alias("addr1"),
-        F.col("c_acctbal").alias("D1"), F.col("c_acctbal").alias("D4"))
+        F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey").cast("double")).alias("addr1"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("D1"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("D4"))
 
 
 def ev(spark: SparkSession, sf_dir: str) -> DataFrame:

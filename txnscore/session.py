@@ -72,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     """A fresh path under the shared root for a written table, model or stream checkpoint."""
+    if set(name) & set("[]{}*?,\\^ "):
+        raise ValueError(f"readers take these characters of a path for a pattern: {name}")
     root = ensure_checkpoint_dir(spark)
     suffix = f"-{uuid.uuid4().hex[:12]}" if unique else ""
     return f"{root}/tables/{name}{suffix}"

@@ -59,6 +59,50 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def file_statuses(spark: SparkSession, paths: list[str]) -> list[list]:
+    """[path, length, modification time] of each file (metadata that a scan lists anyway)."""
+    out = []
+    for path in paths:
+        # inputFiles() gives encoded URIs
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(path))
+        status = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath)
+        out.append([path, status.getLen(), status.getModificationTime()])
+    return out
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file written by the driver (manifests)."""
+    fs, hpath = _file_system(spark, path)
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hpath = _file_system(spark, path)
+    source = fs.open(hpath)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+    finally:
+        source.close()
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder; raises where the file system refuses or ``to`` exists."""
+    fs, hpath = _file_system(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    # renaming a folder onto one that exists would move it inside
+    if fs.exists(target) or not fs.rename(hpath, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
