@@ -57,16 +57,18 @@ def line_key(line):
     return " ".join(words(lower(line)))
 
 
-def dedup_lines(texts, size, percent):
-    """Remaining text of each document."""
-    first, sets = {}, {}
+def dedup_lines(texts, families, percent):
+    """Remaining text of each document; families as (shingle size, over, most characters)."""
+    first, links = {}, set()
     for doc in sorted(d for d in texts if texts[d] is not None):
         for number, line in enumerate(texts[doc].split("\n")):
             if words(line):
                 key = line_key(line)
                 first.setdefault(key, (doc, number))
-                sets[key] = {key[i:i + size] for i in range(max(1, len(key) - size + 1))}
-    component = union_find(list(sets), jaccard_links(sets, percent))
+    for size, over, most in families:
+        sets = {key: {key[i:i + size] for i in range(max(1, len(key) - size + 1))} for key in first if over < len(key) <= most}
+        links |= set(jaccard_links(sets, percent))
+    component = union_find(list(first), links)
     keeper = {}
     for key, at in first.items():
         keeper[component[key]] = min(at, keeper.get(component[key], at))

@@ -9,7 +9,7 @@ from conftest import SF_CHECK, SF_SMALL
 from llm import brute
 from txnscore.llm import near_dup
 from txnscore.llm.graph import components
-from txnscore.llm.line_dedup import dedup_lines
+from txnscore.llm.line_dedup import FAMILIES, dedup_lines
 
 SCHEMA = "doc_id long, text string, id string, key string, n string"
 
@@ -85,8 +85,11 @@ def test_near_duplicates_null_ids_and_repeated_rows(spark):
 
 def test_lines_equal_brute_force(spark):
     texts = corpus()
-    got = dedup_lines(frame(spark, texts).drop("id", "key", "n")).collect()
-    want = brute.dedup_lines(texts, 8, 80)
+    docs = frame(spark, texts).drop("id", "key", "n")
+    plain = ((8, 0, 1 << 40),)
+    assert {r.doc_id: r.text for r in dedup_lines(docs, plain).collect()} == brute.dedup_lines(texts, plain, 80)
+    got = dedup_lines(docs).collect()
+    want = brute.dedup_lines(texts, FAMILIES, 80)
     assert {r.doc_id: r.text for r in got} == want
     for r in got:
         lines = [x for x in (texts[r.doc_id] or "").split("\n") if brute.words(x)]
@@ -98,7 +101,7 @@ def test_registered_line_dedup_equals_brute_force(spark):
     from txnscore.llm.queries import queries
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = queries()["op5_line_dedup"](spark, SF_SMALL).collect()
-    assert {r.doc_id: r.text for r in got} == brute.dedup_lines(texts, 8, 80)
+    assert {r.doc_id: r.text for r in got} == brute.dedup_lines(texts, FAMILIES, 80)
 
 
 def test_lines_null_ids_repeats_and_clashing_columns(spark):
@@ -113,6 +116,33 @@ def test_lines_null_ids_repeats_and_clashing_columns(spark):
     assert dedup_lines(df.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_with_different_texts_keep_their_own_lines(spark):
+    rows = [(1, "Shared opening line.\nOnly in document one."), (2, "Shared opening line.\nSecond of two."), (2, "Occurs nowhere else.\nSecond of two."),
+            (2, "Occurs nowhere else.\nSecond of two.")]
+    got = sorted(r.text for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert "Shared opening line.\nOnly in document one." in got
+    left = sorted(x for t in got for x in t.split("\n"))
+    # the two equal rows are one document, the third row another one: one copy of "Second of two." stays
+    assert left.count("Occurs nowhere else.") == 2 and left.count("Shared opening line.") == 1
+    assert len({t for t in got if "Second of two." in t}) == 1
+
+
+def test_short_lines_with_one_edit_link(spark):
+    day = "Published by the editorial staff on the {} day of this month."
+    docs = spark.createDataFrame([(k, day.format(10 + k) + f"\n{'abcdefgh'[k] * 30} own") for k in range(5)], "doc_id long, text string")
+    assert sum(r.text.startswith("Published") for r in dedup_lines(docs).collect()) == 1
+
+
+def test_hot_lines_and_many_shards(spark, monkeypatch):
+    from txnscore.llm import line_dedup
+    monkeypatch.setattr(line_dedup, "SHARD", 50)
+    monkeypatch.setattr(line_dedup, "MANY_USES", 20)
+    monkeypatch.setattr(line_dedup, "FEW", 3)
+    texts = corpus(5) | {5000 + k: f"One line that a third of all documents hold.\nNumber {'xyz'[k % 3] * (20 + k)}" for k in range(60)}
+    docs = frame(spark, texts).repartition(7)
+    assert {r.doc_id: r.text for r in dedup_lines(docs).collect()} == brute.dedup_lines(texts, FAMILIES, 80)
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(200, 260)] + [

@@ -7,6 +7,7 @@ import corpus_pipeline as cp
 from conftest import SF_SMALL
 from llm import brute
 from oracle_check import duck
+from txnscore.llm.line_dedup import FAMILIES
 from txnscore.llm.quality_rules import ORACLE_SQL
 from txnscore.llm.tables import table
 
@@ -32,7 +33,7 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert set(rows(first)) == {r[0] for r in con.execute(f"SELECT doc_id FROM ({ORACLE_SQL}) WHERE kept").fetchall()}
     before = {i: r.text for i, r in rows(first).items()}
     second = step(1, first)
-    want = {i: t for i, t in brute.dedup_lines(before, 8, 80).items() if t == before[i] or brute.words(t)}
+    want = {i: t for i, t in brute.dedup_lines(before, FAMILIES, 80).items() if t == before[i] or brute.words(t)}
     assert {i: r.text for i, r in rows(second).items()} == want
     assert all(r.n_chars == len(r.text) for r in rows(second).values())
     third = step(2, second)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import cut
+from .tables import cut, discard
 
 #: Values of fixed-width columns that may be broadcast (8 bytes each: 36 MB); beyond it, a shuffle join.
 MAX_BROADCAST_VALUES = 4_500_000
@@ -51,7 +51,8 @@ def components(edges: DataFrame) -> DataFrame:
                 .filter("a > b").distinct())
     state = _state(edges)
     while state[0]:
-        edges = cut(_small_star(_large_star(edges)))
+        before, edges = edges, cut(_small_star(_large_star(edges)))
+        discard(before)
         after = _state(edges)
         if after == state:
             break

@@ -26,7 +26,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +33,7 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 from . import mapped
 from . import textbytes as tb
+from .blocks import bits_for, cuts, pack, shard_of, unpack
 from .duck import CRC_CTE, crc32, lower_ascii
 from .tables import cut, fold
 
@@ -91,10 +91,6 @@ def _prefixed(route: np.ndarray, full: np.ndarray, bits: int) -> np.ndarray:
     return (route >> keep << keep) | (full >> np.uint64(bits))
 
 
-def _shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-
-
 def gram_keys(context: np.ndarray, last: np.ndarray, word: np.ndarray, frequent: np.ndarray, bits: int) -> np.ndarray:
     """Sort keys of n-grams, given the hash and the last word of their contexts."""
     full = tb.mix(tb.mix(context) + word * _BY)
@@ -110,24 +106,6 @@ def _combined(key: np.ndarray, columns: list[np.ndarray], sums: list[np.ndarray]
     return key[first], [c[order[first]] for c in columns], [add(x) for x in sums]
 
 
-def pack(columns: list[np.ndarray]) -> bytes:
-    """64-bit columns as compressed planes of bytes; the first one is sorted and stored as differences."""
-    planes = [np.array([len(columns), len(columns[0])], np.int64).tobytes()]
-    for k, c in enumerate(columns):
-        c = np.diff(c.astype(np.uint64), prepend=np.uint64(0)) if k == 0 else c.astype(np.uint64)
-        planes.append(np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8).T).tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
-
-
-def unpack(block: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(block)
-    m, n = np.frombuffer(raw, np.int64, 2)
-    cells = np.frombuffer(raw, np.uint8, offset=16).reshape(m, 8, n)
-    out = [np.ascontiguousarray(cells[k].T).view(np.uint64).reshape(-1) for k in range(m)]
-    out[0] = np.cumsum(out[0], dtype=np.uint64)
-    return out
-
-
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int32(), pa.string(), pa.int32(), pa.binary(), *[pa.int64()] * len(_SUMS)]
     columns = list(zip(*rows)) or [()] * len(kinds)
@@ -136,8 +114,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 def _blocks(level: int, kind: str, key: np.ndarray, columns: list[np.ndarray], bits: int):
     """One row per shard of the rows sorted by ``key``; in a block they are sorted by the first column."""
-    shard = _shard_of(key, bits)
-    at = np.searchsorted(shard, np.arange((1 << bits) + 1)) if bits else np.array([0, len(key)])
+    at = cuts(shard_of(key, bits), bits)
     for k in np.flatnonzero(np.diff(at)):
         order = np.argsort(columns[0][at[k]:at[k + 1]]) + at[k]
         yield _rows([(level, kind, int(k), pack([c[order] for c in columns]), *[0] * len(_SUMS))])
@@ -237,7 +214,7 @@ def _merged(blocks: DataFrame, bits: int, folder: str, frequent_path: str) -> Da
         yield from done()
 
     keys = ["kind", "level", "shard"]
-    return blocks.repartition(max(8, 1 << bits), *keys).sortWithinPartitions(*keys).mapInArrow(run, _BLOCKS)
+    return blocks.repartition(4 << bits, *keys).sortWithinPartitions(*keys).mapInArrow(run, _BLOCKS)
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
@@ -287,7 +264,7 @@ def _write_words(words: DataFrame, bits: int, folder: str) -> None:
         yield pa.RecordBatch.from_arrays([pa.array([], pa.int32())], names=["done"])
 
     shard = F.shiftrightunsigned("h", 64 - bits).cast("int") if bits else F.lit(0)
-    (words.select(shard.alias("shard"), "h", "c").repartition(max(8, 1 << bits), "shard").sortWithinPartitions("shard")
+    (words.select(shard.alias("shard"), "h", "c").repartition(4 << bits, "shard").sortWithinPartitions("shard")
      .mapInArrow(run, "done int").count())
 
 
@@ -337,7 +314,7 @@ class Model:
 
     def _look_up(self, kind: str, types: tuple, keys: np.ndarray) -> list[np.ndarray]:
         distinct, inverse = np.unique(keys, return_inverse=True)
-        return [v[inverse] for v in self._found(kind, types, distinct, _shard_of(distinct, self.bits))]
+        return [v[inverse] for v in self._found(kind, types, distinct, shard_of(distinct, self.bits))]
 
     def _discounted(self, level: int, n: np.ndarray) -> np.ndarray:
         return n - np.array([0.0, *self.discount[level]])[np.minimum(n, 3)]
@@ -371,7 +348,7 @@ def fit(texts: DataFrame, order: int = 2) -> Model:
     folder = scratch_path(spark, "kneser-ney")
     words = cut(_word_counts(texts))
     n_tokens, n_words = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    bits = max(0, -(-n_tokens // SHARD) - 1).bit_length()
+    bits = bits_for(n_tokens, SHARD)
     # words that would fill a shard by themselves: at most one per shard
     frequent = words.filter(F.col("c") > SHARD).select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64)
     frequent_path = f"{folder}/frequent"

@@ -1,25 +1,48 @@
 """Fuzzy line dedup: MinHash over character shingles, exact Jaccard check, union-find, one line kept.
 
 A line is a ``\\n``-separated piece with at least one word; it is compared with A-Z lower-cased,
-runs of white space as one blank and none at its ends. Equal lines are one node (64-bit hash).
-The nodes' one-permutation MinHash signatures (``bands * rows`` bins, empty bins filled from bins
-chosen by a fixed probe sequence) are banded; a pair of similarity 0.8 shares a band of 12 x 4 with
-probability 0.998, one of 0.85 with 0.9999. Candidates are checked by their exact Jaccard similarity, first against the
-most frequent line of each bucket, then, in buckets that still hold several components, between
-the remaining components under an exact bound. Components come from distributed union-find; of a
-component's occurrences the one with the smallest (doc_id, line number) stays.
+runs of white space as one blank and none at its ends. Equal lines are one node (64-bit hash), and only
+distinct lines are compared. The sets are character shingles, of 5 characters for lines of at most 100 characters
+and of 8 for lines of more than 80 (in between, either may link), so that a line of 49 characters or
+more still links after one changed character. The nodes' one-permutation MinHash signatures
+(``bands * rows`` bins, empty bins filled from bins chosen by a fixed probe sequence) are banded; a pair of
+similarity 0.8 shares a band of 12 x 4 with probability 0.998, one of 0.85 with 0.9999. The bands' buckets are
+formed in numpy on compressed blocks, one per shard of the keys (see ``bucket_members``).
+Candidates are checked by their exact Jaccard similarity, first against the head of each bucket,
+then, in buckets that still hold several components, between the remaining components under an
+exact bound. Components come from distributed union-find; of a component's occurrences the one with the
+smallest (doc_id, line number) stays.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .graph import checked, components, cross_pairs, shared_buckets
-from .tables import cut
+from .blocks import bits_for, cuts, pack, shard_of, unpack
+from .graph import checked, components, cross_pairs
+from .tables import cut, discard
+
+#: Bytes of text per numpy pass: small enough for the arrays of a pass to stay in a core's cache.
+PIECE_BYTES = 1 << 17
+
+#: Shingle size, and the lengths of the lines that are compared by it (more than, at most): with 8 characters a line
+#: of 81 still links after one changed character, with 5 one of 49.
+FAMILIES = ((5, 0, 100), (8, 80, 1 << 60))
+
+#: Band keys per shard, band keys that a task holds, and rows that it passes on in one block.
+SHARD, HELD, PASSED = 1 << 22, 3 << 20, 1 << 16
+
+#: Lines with more uses than this meet their occurrences apart from the others.
+MANY_USES = 10_000
+
+#: Lines of a bucket that are compared pair by pair, across components.
+FEW = 128
 
 _BLANK = np.uint8(0x20)
 
@@ -107,30 +130,138 @@ def _one_permutation(hashes: np.ndarray, line: np.ndarray, n: int, bins: int) ->
     return sig
 
 
-def line_table(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, line_no, id, keys): every line's node id and band keys."""
+def _documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, tx, text): ``tx`` tells rows of one doc_id with different texts apart."""
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("tx"),
+                        F.col("text").cast("string").alias("text")).filter("doc_id is not null and text is not null"))
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """(doc_id, tx, line_no, id) of every line with a word; equal lines have one id."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
-            for s in tb.slices(batch.column(1)):
+            for s in tb.slices(batch.column(2), PIECE_BYTES):
                 buf, begin, end, doc, number = _lines(s)
-                if not len(begin):
-                    continue
                 node = tb.span_hash(tb.prefix_hash(buf), begin, end)
-                hashes, _, line = _shingles(buf, begin, end, size)
-                sig = _one_permutation(hashes, line, len(begin), bands * rows).astype(np.uint64).reshape(-1, bands, rows)
-                keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), sig.shape[:2])
-                for k in range(rows):
-                    keys = tb.mix(keys * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
+                at = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(s.first, s.n).take(pa.array(doc)), pa.array(number.astype(np.int32)),
-                     pa.array(node.view(np.int64)), tb.lists(keys.ravel(), np.arange(len(begin) + 1) * bands)],
-                    names=["doc_id", "line_no", "id", "keys"])
+                    [*[batch.column(k).slice(s.first, s.n).take(at) for k in (0, 1)], pa.array(number.astype(np.int32)),
+                     pa.array(node.view(np.int64))], names=["doc_id", "tx", "line_no", "id"])
+
+    return docs.mapInArrow(run, "doc_id long, tx long, line_no int, id long")
+
+
+def _bucket_heads(key: np.ndarray, node: np.ndarray):
+    """Distinct keys, the smallest node of each, and the rows (key, node, head) of the other nodes."""
+    order = np.argsort(key)
+    key, node = key[order], node[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
+    head = np.minimum.reduceat(node, first) if len(key) else node
+    of = np.repeat(head, np.diff(np.append(first, len(key))))
+    other = np.flatnonzero(node != of)
+    _, once = np.unique(tb.mix(key[other] + node[other] * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
+    other = other[once]
+    return key[first], head, (key[other], node[other], of[other])
+
+
+def bucket_members(docs: DataFrame, families: tuple, bands: int, rows: int, bits: int) -> DataFrame:
+    """(key, id, head): members of the bands' shared buckets, each with a line it is compared with.
+    The last two bits of a key are the number of the family.
+
+    A task keeps one line per bucket, the head, for the exchange, and ties the bucket's other lines that it
+    has seen to that head; the shard of a bucket does the same with the tasks' heads. So a bucket
+    brings at most one entry of each task to its shard, however many lines it holds.
+    """
+
+    def scan(batches):
+        # lines that this task has just seen, by the first bits of their hash; a forgotten one is only done again
+        seen, held, n = np.zeros(1 << 18, np.uint64), [], 0
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .filter("doc_id is not null and text is not null")
-            .mapInArrow(run, "doc_id long, line_no int, id long, keys array<bigint>"))
+        def flush():
+            keys, heads, others = _bucket_heads(*[np.concatenate(c) for c in zip(*held)])
+            at = cuts(shard_of(keys, bits), bits)
+            for k in np.flatnonzero(np.diff(at)):
+                yield _block(int(k), "heads", [keys[at[k]:at[k + 1]], heads[at[k]:at[k + 1]]])
+            # rows that need no exchange by key are dealt evenly
+            for lo in range(0, len(others[0]), PASSED):
+                order = lo + np.argsort(others[0][lo:lo + PASSED])
+                yield _block(int(others[1][lo] % np.uint64(1 << bits)), "members", [c[order] for c in others])
+
+        for batch in batches:
+            for s in tb.slices(batch.column(2), PIECE_BYTES):
+                buf, begin, end, _, _ = _lines(s)
+                node = tb.span_hash(tb.prefix_hash(buf), begin, end)
+                distinct, at = np.unique(node, return_index=True)
+                slot = distinct >> np.uint64(46)
+                new = np.zeros(len(begin), bool)
+                new[at[seen[slot] != distinct]] = True
+                seen[slot] = distinct
+                length = end - begin
+                chars = np.append(np.cumsum((buf & 0xC0) != 0x80), 0)[end - 1] if len(end) else end
+                chars = np.diff(chars, prepend=0)
+                for family, (size, over, most) in enumerate(families):
+                    chosen = new & (chars > over) & (chars <= most)
+                    count = int(chosen.sum())
+                    if not count:
+                        continue
+                    ends = np.cumsum(length[chosen])
+                    hashes, _, line = _shingles(buf[np.repeat(chosen, length)], ends - length[chosen], ends, size)
+                    sig = _one_permutation(hashes, line, count, bands * rows).astype(np.uint64).reshape(-1, bands, rows)
+                    keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), sig.shape[:2])
+                    for k in range(rows):
+                        keys = tb.mix(keys * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
+                    held.append(((keys.ravel() & ~np.uint64(3)) | np.uint64(family), np.repeat(node[chosen], bands)))
+                    n += count * bands
+                if n >= HELD:
+                    yield from flush()
+                    held, n = [], 0
+        if held:
+            yield from flush()
+
+    def merge(batches):
+        at, heads = None, []
+
+        def done():
+            if heads:
+                yield _members(*_bucket_heads(*[np.concatenate(c) for c in zip(*heads)])[2])
+            heads.clear()
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                columns = unpack(batch.column(2)[k].as_buffer())
+                if batch.column(1)[k].as_py() == "members":
+                    yield _members(*columns)
+                    continue
+                if batch.column(0)[k].as_py() != at:
+                    yield from done()
+                    at = batch.column(0)[k].as_py()
+                heads.append(columns)
+        yield from done()
+
+    return (docs.mapInArrow(scan, "shard int, kind string, block binary").repartition(4 << bits, "shard", "kind")
+            .sortWithinPartitions("shard", "kind").mapInArrow(merge, "key long, id long, head long"))
+
+
+def _block(shard: int, kind: str, columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([kind]), pa.array([pack(columns)], pa.binary())],
+                                      names=["shard", "kind", "block"])
+
+
+def _members(key: np.ndarray, node: np.ndarray, head: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in (key, node, head)], names=["key", "id", "head"])
+
+
+def _pair_sets(column: pa.Array, size: int) -> np.ndarray:
+    """Sorted distinct shingles of a column of single lines: 12 bits for the row, 52 of the hash."""
+    parts = [np.zeros(0, np.uint64)]
+    for s in tb.slices(column, PIECE_BYTES):
+        buf, begin, end, doc, _ = _lines(s)
+        hashes, _, line = _shingles(buf, begin, end, size)
+        row = (s.first + doc[line]).astype(np.uint64)
+        parts.append((row << np.uint64(52)) | (hashes >> np.uint64(12)))
+    out = np.sort(np.concatenate(parts))
+    return out[np.append(True, out[1:] != out[:-1])] if len(out) else out
 
 
 def _one_line_sets(column: pa.Array, size: int):
@@ -149,12 +280,13 @@ def verified_lines(pairs: DataFrame, texts: DataFrame, size: int, percent: int)
 
     def run(batches):
         for batch in batches:
-            left, right = _one_line_sets(batch.column(2), size), _one_line_sets(batch.column(3), size)
-            keep = []
-            for x, y in zip(left, right):
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            for lo in range(0, batch.num_rows, 1 << 12):
+                part = batch.slice(lo, 1 << 12)
+                left, right = _pair_sets(part.column(2), size), _pair_sets(part.column(3), size)
+                both = np.sort(np.concatenate([left, right]))
+                row = lambda x: np.bincount((x >> np.uint64(52)).astype(np.int64), minlength=part.num_rows)
+                common = row(both[1:][both[1:] == both[:-1]])
+                yield part.select([0, 1]).filter(pa.array(100 * common >= percent * (row(left) + row(right) - common)))
 
     side = lambda c: texts.select(F.col("id").alias(c), F.col("line").alias(f"line_{c}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "line_a", "line_b")
@@ -173,69 +305,110 @@ def line_sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("id", "line").mapInArrow(run, "id long, n long, items array<bigint>")
 
 
-def line_components(docs: DataFrame, table: DataFrame, size: int, percent: int) -> DataFrame:
-    """(node, component) of lines that have a near copy with another normalized text."""
-    weights = table.groupBy("id").agg(F.count(F.lit(1)).alias("uses"), F.min(F.struct("doc_id", "line_no")).alias("at"))
-    rows = shared_buckets(table.select(F.explode("keys").alias("key"), "id")).select("key", "id").distinct()
-    rows = cut(rows)
-    ids = cut(rows.select("id").distinct())
-    facts = cut(ids.join(weights, "id"))
-    places = facts.select("id", F.col("at.doc_id").alias("doc"), F.col("at.line_no").alias("line_no"))
-    wanted = places.groupBy("doc").agg(F.collect_list(F.struct("line_no", "id")).alias("want"))
-    texts = cut(docs.join(checked(facts, wanted), F.col("doc_id") == F.col("doc"))
+def further_pairs(placed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket that could still join two components, given (key, id, comp).
+
+    In buckets of at most ``FEW`` lines these are the pairs of different components whose sizes allow a
+    link; larger ones form only the pairs that an exact bound on their common items allows.
+    """
+    of = lambda rows: texts.join(checked(cut(rows.select("id").distinct())), "id", "left_semi")
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    few = placed.join(sizes.filter(F.col("members") <= FEW).select("key"), "key")
+    few = cut(few.join(line_sets(of(few), size).select("id", "n"), "id"))
+    side = lambda c: few.select("key", *[F.col(x).alias(f"{x}_{c}") for x in ("id", "n", "comp")])
+    pairs = side("a").join(side("b"), "key").filter(
+        (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b"))
+        & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    many = cut(placed.join(sizes.filter(F.col("members") > FEW).select("key"), "key"))
+    if many.isEmpty():
+        return pairs
+    return pairs.union(cross_pairs(many, cut(line_sets(of(many), size)), percent))
+
+
+def line_components(docs: DataFrame, nodes: DataFrame, members: DataFrame, families: tuple, percent: int) -> DataFrame:
+    """(id, component) of the lines that have a near copy with another normalized text (materialized).
+
+    ``nodes`` has (id, uses, doc_id, tx, line_no) of the distinct lines, ``members`` is materialized.
+    """
+    stars = [cut(members.filter(F.col("key").bitwiseAND(F.lit(3)) == k).select(F.col("id").alias("a"), F.col("head").alias("b")).distinct())
+             for k in range(len(families))]
+    pairs = reduce(DataFrame.union, stars)
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    places = cut(nodes.join(ids, "id", "left_semi").select("id", F.col("doc_id").alias("d"), F.col("tx").alias("t"), "line_no"))
+    wanted = places.groupBy("d", "t").agg(F.collect_list(F.struct("line_no", "id")).alias("want"))
+    texts = cut(docs.join(checked(places, wanted, columns=4), (F.col("doc_id") == F.col("d")) & (F.col("tx") == F.col("t")))
                 .select("want", F.split("text", "\n", -1).alias("pieces"))
                 .select(F.explode(F.transform("want", lambda w: F.struct(
                     w["id"].alias("id"), F.get(F.col("pieces"), w["line_no"]).alias("line")))).alias("x")).select("x.*")
-                # a doc_id with several rows has the line in one of them at least
-                .filter("line is not null").groupBy("id").agg(F.max("line").alias("line")))
-
-    heads = (rows.join(facts.select("id", "uses"), "id").groupBy("key")
-             .agg(F.max_by("id", F.struct("uses", "id")).alias("head")))
-    members = cut(rows.join(heads, "key").filter("id <> head"))
-    stars = members.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
-    first = cut(verified_lines(stars, texts, size, percent))
-
-    # pairs with a head are settled; the other members of a bucket may still link with one another
-    found = components(first).withColumnRenamed("node", "id")
-    placed = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-    open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .filter("lo < hi").select("key"))
+                # a repeated row has the line again
+                .dropDuplicates(["id"]))
+    first = cut(reduce(DataFrame.union, [verified_lines(s, texts, size, percent) for s, (size, _, _) in zip(stars, families)]))
+    found = cut(components(first).withColumnRenamed("node", "id"))
+
+    # a bucket of two lines is settled; in larger ones members of different components may still be linked
+    inside = members.select("key", "id").union(members.select("key", F.col("head").alias("id"))).distinct()
+    placed = inside.join(checked(found, columns=2), "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
+                 .filter("n > 2 and lo < hi").select("key"))
     placed = cut(placed.join(open_keys, "key", "left_semi"))
-    open_ids = cut(placed.select("id").distinct())
-    sets = cut(line_sets(texts.join(checked(open_ids), "id", "left_semi"), size))
-    rest = cross_pairs(placed, sets, percent).join(first, ["a", "b"], "left_anti")
-    return components(first.union(verified_lines(rest, texts, size, percent)))
-
-
-def duplicate_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 12, rows: int = 4) -> DataFrame:
-    """(doc_id, line_no) of the lines that go (materialized)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    table = cut(line_table(docs, size, bands, rows))
-    found = line_components(docs, table, size, percent)
-    placed = (table.select("doc_id", "line_no", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
-              .select("doc_id", "line_no", F.coalesce("component", "id").alias("comp")))
-    kept = (placed.groupBy("comp").agg(F.min(F.struct("doc_id", "line_no")).alias("kept"), F.count(F.lit(1)).alias("uses"))
-            .filter("uses > 1").select("comp", "kept"))
-    return cut(placed.join(kept, "comp").filter(F.struct("doc_id", "line_no") != F.col("kept"))
-               .select("doc_id", "line_no").distinct())
-
-
-def dedup_lines(docs: DataFrame, size: int = 8, percent: int = 80, bands: int = 12, rows: int = 4) -> DataFrame:
+    ordered = lambda p: p.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    later = []
+    for k, (size, _, _) in enumerate(families):
+        own = cut(placed.filter(F.col("key").bitwiseAND(F.lit(3)) == k))
+        rest = ordered(further_pairs(own, texts, size, percent)).distinct().join(ordered(stars[k]), ["a", "b"], "left_anti")
+        later.append(verified_lines(rest, texts, size, percent))
+    second = cut(reduce(DataFrame.union, later))
+    # what the second links join are components of the first ones
+    of = lambda c: found.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
+    joined = (second.join(of("a"), "a", "left").join(of("b"), "b", "left")
+              .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    final = cut(components(joined).select("node", F.col("component").alias("final")))
+    fresh = final.select(F.col("node").alias("id"), F.col("node").alias("component")).join(found.select("id"), "id", "left_anti")
+    return cut(found.select("id", "component").union(fresh).join(checked(final, columns=2), F.col("component") == F.col("node"), "left")
+               .select("id", F.coalesce("final", "component").alias("component")))
+
+
+def duplicate_lines(docs: DataFrame, families: tuple, percent: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, tx, line_no) of the lines that go (materialized), of (doc_id, tx, text)."""
+    table = cut(occurrences(docs))
+    nodes = cut(table.groupBy("id").agg(F.count(F.lit(1)).alias("uses"), F.min(F.struct("doc_id", "line_no", "tx")).alias("at"))
+                .select("id", "uses", "at.*"))
+    bits = bits_for(nodes.count() * bands, SHARD)
+    members = cut(bucket_members(docs, families, bands, rows, bits))
+    found = line_components(docs, nodes, members, families, percent)
+    discard(members)
+    # equal lines, and lines in one component, stay at the smallest place; no row per use takes part here
+    grouped = nodes.join(found, "id", "left").select("id", "uses", F.coalesce("component", "id").alias("comp"),
+                                                     F.struct("doc_id", "line_no", "tx").alias("at"))
+    kept = grouped.groupBy("comp").agg(F.min("at").alias("kept"), F.sum("uses").alias("n")).filter("n > 1")
+    losing = cut(grouped.join(kept.select("comp", "kept"), "comp").select("id", "uses", F.col("kept.doc_id").alias("k_doc"),
+                                                                            F.col("kept.line_no").alias("k_line"), F.col("kept.tx").alias("k_tx")))
+    # lines of many uses meet them as a counted broadcast, so that no key of the other join is large
+    often = cut(losing.filter(F.col("uses") > MANY_USES))
+    away = ~((F.col("doc_id") == F.col("k_doc")) & (F.col("line_no") == F.col("k_line")) & (F.col("tx") == F.col("k_tx")))
+    uses_of = lambda t: table.join(t.drop("uses"), "id").filter(away).select("doc_id", "tx", "line_no")
+    return cut(uses_of(checked(often, columns=5)).union(uses_of(losing.filter(F.col("uses") <= MANY_USES))).distinct())
+
+
+def dedup_lines(docs: DataFrame, families: tuple = FAMILIES, percent: int = 80, bands: int = 12, rows: int = 4) -> DataFrame:
     """``docs`` with repeated lines removed from ``text``, plus n_lines (lines with a word) and
     n_removed (int).
 
-    Of the lines linked by ``100 * intersection >= percent * union`` of their character shingle
-    sets (transitively; equal lines included) only the one with the smallest (doc_id, line number)
+    ``families`` lists up to four (shingle size, over, most): lines of more than ``over`` and at most ``most``
+    characters are compared by shingles of that size. Of the lines linked by ``100 * intersection >= percent *
+    union`` of their shingle sets in a family (transitively; equal lines included) only the one with the smallest (doc_id, line number)
     stays; lines without a word always stay. Rows with a null doc_id or a null text are left as
-    they are and are no evidence against others. Repeated rows of one doc_id are treated as one
-    document: they lose the same lines. Other columns are passed through.
+    they are and are no evidence against others. Rows of one doc_id with equal texts are one document and
+    lose the same lines; rows of one doc_id with different texts are documents of their own, and
+    at equal line numbers the text with the smaller hash counts as the first. Other columns are passed through.
     """
-    gone = duplicate_lines(docs, size, percent, bands, rows)
-    of_doc = gone.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("line_no").alias("__gone"))
+    gone = duplicate_lines(_documents(docs), families, percent, bands, rows)
+    of_doc = gone.groupBy(F.col("doc_id").alias("__doc"), F.col("tx").alias("__tx")).agg(F.collect_list("line_no").alias("__gone"))
     pieces = F.split("text", "\n", -1)
     with_word = F.size(F.filter(pieces, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     rest = F.filter(pieces, lambda x, i: ~F.array_contains(F.col("__gone"), i))
-    joined = docs.join(checked(gone, of_doc), F.col("doc_id").cast("long") == F.col("__doc"), "left")
+    same = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__tx"))
+    joined = docs.join(checked(gone, of_doc), same, "left")
     return joined.select(
         *[(F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n")) if c == "text" else F.col(f"`{c}`")).alias(c)
           for c in docs.columns],

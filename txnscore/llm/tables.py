@@ -40,6 +40,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``cut`` materialized and that nothing reads any more."""
+    spark = df.sparkSession
+    where = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if where.isDefined():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where.get())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def word_count(text: Column) -> Column:
     """Number of words ``[^\\x20\\x09-\\x0D]+`` (0 for null): blanks whose successor is a word
     character start a word, so one regular expression pass counts them."""
