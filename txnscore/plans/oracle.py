@@ -196,6 +196,38 @@ SQL["threshold_bands"] = with_views(""", d AS (SELECT CAST(CAST(ts AS DATE) AS T
 SQL["trailing_range"] = with_views("""SELECT event_id, ts, event_type, value FROM ev
   WHERE ts > (SELECT max(ts) FROM ev) - INTERVAL 1 DAY""", "ev")
 
+_BATCHES = """b AS (SELECT event_type AS query, CAST(floor(epoch_us(ts) / 3600000000.0) AS BIGINT) AS batch_id, count(*) AS n,
+    count(*) FILTER (WHERE predicted_fraud) AS n_fraud, min(ts) AS batch_start, max(ts) AS batch_end FROM scored GROUP BY 1, 2),
+  k AS (SELECT *, (n - n_fraud) / n::DOUBLE AS approval_rate, (epoch_us(batch_end) - epoch_us(batch_start)) / 60e6::DOUBLE AS duration_seconds FROM b)"""
+SQL["in_flight_records"] = with_views(f""", {_BATCHES},
+  d AS (SELECT batch_start AS instant, n AS delta FROM k UNION ALL SELECT batch_end, -n FROM k),
+  per AS (SELECT instant, sum(delta)::BIGINT AS delta FROM d GROUP BY 1)
+  SELECT instant, delta, sum(delta) OVER (ORDER BY instant)::BIGINT AS in_flight FROM per""", "scored")
+SQL["kpi_gauges"] = with_views(f""", {_BATCHES}
+  SELECT query, max(batch_id) AS last_batch_id, arg_max(n, batch_id) AS batch_size, round(arg_max(approval_rate, batch_id), 6) AS approval_rate,
+    round(max(duration_seconds), 6) AS max_duration_seconds FROM k GROUP BY 1""", "scored")
+SQL["batch_duration_histogram"] = with_views(f""", {_BATCHES},
+  e(le, edge) AS (VALUES ('0.1', 0.1), ('0.5', 0.5), ('1.0', 1.0), ('2.0', 2.0), ('5.0', 5.0), ('10.0', 10.0), ('20.0', 20.0),
+    ('30.0', 30.0), ('60.0', 60.0), ('+Inf', NULL))
+  SELECT le, (SELECT count(*) FROM k WHERE edge IS NULL OR duration_seconds <= edge::DOUBLE) AS cumulative_count,
+    (SELECT round(sum(duration_seconds), 6) FROM k) AS value_sum, (SELECT count(*) FROM k) AS value_count FROM e""", "scored")
+
+
+def _counter_rate(seconds: int, columns: str) -> str:
+    frame = f"(PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL {seconds * 1_000_000 - 1} MICROSECONDS PRECEDING AND CURRENT ROW)"
+    return f"""WITH m AS (SELECT event_type, date_trunc('minute', ts) AS ts, count(*) AS n FROM events GROUP BY 1, 2),
+  c AS (SELECT event_type, ts, CAST(sum(n) OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts) AS BIGINT) AS counter FROM m),
+  l AS (SELECT *, lag(counter) OVER (PARTITION BY event_type ORDER BY ts) AS prev FROM c),
+  s AS (SELECT *, sum(CASE WHEN prev IS NULL THEN 0 WHEN counter < prev THEN counter ELSE counter - prev END)
+      OVER (PARTITION BY event_type ORDER BY ts) AS total FROM l),
+  r AS (SELECT event_type, ts, counter, count(*) OVER {frame} AS n_samples, total - min(total) OVER {frame} AS inc FROM s)
+  SELECT {columns}, n_samples, CASE WHEN n_samples > 1 THEN inc::DOUBLE END AS increase,
+    CASE WHEN n_samples > 1 THEN round(inc / {seconds}.0::DOUBLE, 6) END AS rate FROM r"""
+
+
+SQL["counter_rate_5m"] = _counter_rate(300, "event_type, ts, counter")
+SQL["counter_rate_1m"] = _counter_rate(120, "event_type, ts")
+
 # --- encoders -------------------------------------------------------------------------------------
 SQL["tokenize"] = """SELECT p_partkey, CAST(pos - 1 AS INTEGER) AS pos, token FROM (
     SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token,
@@ -228,11 +260,15 @@ SQL["average_vectors"] = with_views(""", pairs AS (SELECT user_id, CAST(k AS BIG
 # --- streaming (after the bounded stream is materialized) ----------------------------------------
 SQL["stream_ingest"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 SQL["stream_score_sink"] = with_views("""SELECT event_id, prediction, round(fraud_probability, 6) AS fraud_probability,
-    predicted_fraud, is_high_risk FROM scored""", "scored")
+    predicted_fraud, is_high_risk FROM scored WHERE event_id % 11 <> 0 AND event_id % 17 <> 0""", "scored")
 SQL["stream_batch_kpis"] = with_views("""SELECT count(*) AS n, count(*) FILTER (WHERE predicted_fraud) AS n_fraud,
-    count(*) FILTER (WHERE is_high_risk) AS n_high_risk, CAST(0 AS BIGINT) AS n_quarantined,
+    count(*) FILTER (WHERE is_high_risk) AS n_high_risk,
+    (SELECT count(*) FROM events WHERE event_id % 11 = 0 OR event_id % 17 = 0) AS n_quarantined,
     round((count(*) - count(*) FILTER (WHERE predicted_fraud)) / CAST(nullif(count(*), 0) AS DOUBLE), 6) AS approval_rate
-    FROM scored""", "scored")
+    FROM scored WHERE event_id % 11 <> 0 AND event_id % 17 <> 0""", "scored")
+SQL["stream_model_score"] = """SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'malformed_json' WHEN event_id % 17 = 0 THEN 'missing_value'
+    WHEN event_id % 13 = 0 THEN 'unknown_user_bucket' ELSE 'scored' END AS outcome,
+    CASE WHEN event_id % 11 <> 0 AND event_id % 17 <> 0 AND event_id % 13 <> 0 THEN TRUE END AS as_in_batch FROM events"""
 SQL["stream_rate"] = """WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n FROM events GROUP BY 1)
   SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n, round(n / 3600.0, 6) AS rate FROM h"""
 SQL["publish_json"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"

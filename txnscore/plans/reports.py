@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import round6
 from ..operators import reporting as rp
+from ..operators import series
 from ..sources.tables import read_table
+from ..streaming.scoring import batch_duration_histogram, kpi_gauges
 from .registry import register
 from .views import ev, scored
 
@@ -102,3 +104,60 @@ def q_trailing_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RP10: the last day of events relative to the newest one."""
     e = ev(spark, sf_dir).select("event_id", "ts", "event_type", "value")
     return rp.trailing_range(e, "ts", "1 DAY")
+
+
+# --- sampled counters and batch rows -------------------------------------------------------------
+
+def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in for scraped counters: one series per event type, sampled at the minutes that have events, of a process
+    that restarts every hour."""
+    e = read_table(spark, sf_dir, "events", ["ts", "event_type"])
+    per = e.groupBy("event_type", F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("ts")).agg(F.count(F.lit(1)).alias("n"))
+    since = Window.partitionBy("event_type", F.date_trunc("hour", "ts")).orderBy("ts")
+    return per.select("event_type", "ts", F.sum("n").over(since).cast("long").alias("counter"))
+
+
+def batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in for the service's KPI table: one query per event type, one batch per hour, which lasts from
+    its first to its last event."""
+    s = scored(spark, sf_dir)
+    hour = F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")) / 3600)
+    rows = s.groupBy(F.col("event_type").alias("query"), hour.alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("predicted_fraud").alias("n_fraud"), F.min("ts").alias("batch_start"), F.max("ts").alias("batch_end"))
+    seconds = F.timestamp_diff("MICROSECOND", F.col("batch_start"), F.col("batch_end")) / 60e6
+    return rows.select("*", ((F.col("n") - F.col("n_fraud")) / F.col("n")).alias("approval_rate"), seconds.alias("duration_seconds"))
+
+
+@register("counter_rate_5m")
+def q_counter_rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RP1 + RP5: 5-minute rate of counters that reset, over irregular samples."""
+    r = series.counter_rate(counter_samples(spark, sf_dir), ["event_type"], "ts", "counter", 300)
+    return r.select("event_type", "ts", "counter", "n_samples", F.col("increase").cast("double").alias("increase"), round6("rate").alias("rate"))
+
+
+@register("counter_rate_1m")
+def q_counter_rate_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RP2: throughput per second over the trailing two scrapes of a minute each, from the counters."""
+    r = series.counter_rate(counter_samples(spark, sf_dir), ["event_type"], "ts", "counter", 120)
+    return r.select("event_type", "ts", "n_samples", F.col("increase").cast("double").alias("increase"), round6("rate").alias("rate"))
+
+
+@register("in_flight_records")
+def q_in_flight_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RP6: records in flight over overlapping batches of several queries."""
+    return series.in_flight(batch_rows(spark, sf_dir))
+
+
+@register("kpi_gauges")
+def q_kpi_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RP7 + RP4: size, approval rate and duration gauges of the latest batches, per query."""
+    g = kpi_gauges(batch_rows(spark, sf_dir), ["query"])
+    return g.select("query", "last_batch_id", "batch_size", round6("approval_rate").alias("approval_rate"),
+                    round6("max_duration_seconds").alias("max_duration_seconds"))
+
+
+@register("batch_duration_histogram")
+def q_batch_duration_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG6: cumulative histogram of the batches' durations."""
+    h = batch_duration_histogram(batch_rows(spark, sf_dir))
+    return h.withColumn("value_sum", round6("value_sum"))

@@ -3,40 +3,48 @@ the whole input, then returns the materialized sink as a DataFrame for checking.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import round6
 from ..schema import DRIVER_TABLES
 from ..session import scratch_path
-from ..sources.publish import JSON_OPTIONS, publish_json, to_json_messages
+from ..sources.publish import JSON_OPTIONS, publish_json
 from ..sources.tables import read_table
 from ..streaming import rates
-from ..streaming.scoring import ScoringOutputs, kpi_totals, read_kpis, run_to_completion, start_scoring
+from ..streaming.scoring import ScoringOutputs, categories_from_model, kpi_totals, read_kpis, run_to_completion, start_scoring
 from ..streaming.sources import message_stream, table_stream
+from ..operators.scoring import with_score_flags
+from .ml import _scoring_model
 from .registry import register
-from .views import ev_from, scored_from
+from .views import ev_from, ml_events, scored_from
 
 EVENT_SCHEMA = DRIVER_TABLES["events"]
-REQUIRED = ["event_id", "ts", "props"]
+REQUIRED = ["event_id", "ts", "props", "value"]
 RECORDS_PER_FILE = 10000
 FILES_PER_TRIGGER = 8
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def _publish_events(spark: SparkSession, sf_dir: str) -> str:
-    """IO8: every event row as one JSON message (distributed text write)."""
+def _publish(spark: SparkSession, rows: DataFrame, unseen: str | None = None) -> str:
+    """IO8: every row as one JSON message (distributed text write), some of them damaged on their way: ids
+    divisible by 11 lose their last brace, by 17 their value, and by 13 have a category that no fit has seen."""
     path = scratch_path(spark, "messages")
-    events = read_table(spark, sf_dir, "events")
-    messages = to_json_messages(events)
-    messages.write.option("maxRecordsPerFile", RECORDS_PER_FILE).mode("overwrite").text(path)
+    damaged = rows.withColumn("value", F.when(F.col("event_id") % 17 != 0, F.col("value")))
+    if unseen:
+        damaged = damaged.withColumn(unseen, F.when(F.col("event_id") % 13 == 0, F.lit("never seen")).otherwise(F.col(unseen)))
+    message = F.to_json(F.struct(*damaged.columns), JSON_OPTIONS)
+    cut = F.when(F.col("event_id") % 11 == 0, F.substring(message, F.lit(1), F.length(message) - 1)).otherwise(message)
+    damaged.select(cut.alias("value")).write.option("maxRecordsPerFile", RECORDS_PER_FILE).mode("overwrite").text(path)
     return path
 
 
 def _score_stream(spark: SparkSession, sf_dir: str) -> ScoringOutputs:
     """One run of the scoring service over the whole published input; its sinks (scored
     messages, quarantine, KPI rows) are read by the queries below, like any consumer would."""
-    src = _publish_events(spark, sf_dir)
+    src = _publish(spark, read_table(spark, sf_dir, "events"))
     outputs = ScoringOutputs(scored=scratch_path(spark, "scored"), quarantine=scratch_path(spark, "quarantine"),
                              kpis=scratch_path(spark, "kpis"))
     stream = message_stream(spark, "files", path=src, max_files_per_trigger=FILES_PER_TRIGGER)
@@ -78,6 +86,34 @@ def q_stream_batch_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("n", "n_fraud", "n_high_risk", "n_quarantined", round6("approval_rate").alias("approval_rate"))
 
 
+@register("stream_model_score")
+def q_stream_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FE7 + ST1 + PR16: messages -> quarantine -> saved encoders and model in every micro-batch, against the batch
+    scoring by the same artifact. Per event: scored or the reason it was set aside, and whether prediction and
+    probability are those of the batch."""
+    model = _scoring_model(spark, sf_dir)
+    rows = ml_events(spark, sf_dir)
+    src = _publish(spark, rows.drop("ts", "is_fraud"), unseen="user_bucket")
+    outputs = ScoringOutputs(scored=scratch_path(spark, "scored"), quarantine=scratch_path(spark, "quarantine"), kpis=scratch_path(spark, "kpis"))
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.drop("ts", "is_fraud").dtypes)
+    score = lambda df: with_score_flags(model.transform(df))
+    keep = ["event_id", "prediction", "fraud_probability", "predicted_fraud", "is_high_risk"]
+    q = start_scoring(message_stream(spark, "files", path=src, max_files_per_trigger=FILES_PER_TRIGGER), schema,
+                      ["event_id", "value", "k", "entity_id", "device_info"], lambda df: score(df).select(*keep), outputs,
+                      checkpoint=scratch_path(spark, "ckpt-model"), query_name="model_scoring", trigger=AVAILABLE_NOW,
+                      known_categories=categories_from_model(model))
+    run_to_completion(q)
+    fields = "event_id BIGINT, prediction DOUBLE, fraud_probability DOUBLE, predicted_fraud BOOLEAN, is_high_risk BOOLEAN"
+    streamed = spark.read.text(outputs.scored).select(F.from_json("value", fields).alias("m")).select("m.*")
+    batch = score(rows).select(F.col("event_id"), *[F.col(c).alias(f"batch_{c}") for c in keep[1:]])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"batch_{c}")) for c in keep[1:]])
+    good = streamed.join(batch, "event_id").select("event_id", F.lit("scored").alias("outcome"), same.alias("as_in_batch"))
+    bad = spark.read.parquet(outputs.quarantine).select(
+        F.regexp_extract("json", r'"event_id":(\d+)', 1).cast("long").alias("event_id"), F.col("reason").alias("outcome"),
+        F.lit(None).cast("boolean").alias("as_in_batch"))
+    return good.union(bad)
+
+
 STREAM_WINDOW = "1 hour"
 
 

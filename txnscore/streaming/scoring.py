@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,14 +52,24 @@ def categories_from_model(model) -> dict[str, list[str]]:
     return known
 
 
-def category_reason(reason: F.Column, known: dict[str, list[str]]) -> F.Column:
-    """Extend a quarantine reason: a null or unseen category would be skipped by the indexer, so
-    the row is set aside with ``unknown_<col>`` instead of vanishing."""
-    expr = reason
-    for c, labels in known.items():
-        bad = F.col(c).isNull() | ~F.col(c).isin(labels)
-        expr = F.when(expr.isNotNull(), expr).when(bad, F.lit(f"unknown_{c}"))
-    return expr
+def with_category_reason(df: DataFrame, reason: F.Column, known: dict[str, list[str]] | None) -> DataFrame:
+    """``df`` with ``reason``, extended by ``unknown_<col>`` where a category is null or was unseen in the
+    fit: the indexer would skip such a row, so it is set aside instead.
+
+    The lookup is the indexer itself, told to keep invalid values: it gives them the index after the last label. The
+    labels are a map inside its transformation, so the plan does not grow with their number.
+    """
+    if not known:
+        return df.withColumn("reason", reason)
+    from pyspark.ml.feature import StringIndexerModel
+    columns = sorted(known)
+    probes = [f"__{c}_index" for c in columns]
+    indexer = StringIndexerModel.from_arrays_of_labels([list(known[c]) for c in columns], inputCols=columns, outputCols=probes,
+                                                       handleInvalid="keep")
+    out = indexer.transform(df)
+    for c, probe in zip(columns, probes):
+        reason = F.when(reason.isNotNull(), reason).when(F.col(probe) >= len(known[c]), F.lit(f"unknown_{c}"))
+    return out.withColumn("reason", reason).drop(*probes)
 
 
 def make_batch_processor(schema: str, required: list[str], scorer: Callable[[DataFrame], DataFrame],
@@ -76,10 +87,7 @@ def make_batch_processor(schema: str, required: list[str], scorer: Callable[[Dat
         started = time.time()
         spark = batch.sparkSession
         parsed = parse_json(batch, "json", schema)
-        reason = quarantine_reason(parsed, "json", required)
-        if known_categories:
-            reason = category_reason(reason, known_categories)
-        parsed = parsed.withColumn("reason", reason)
+        parsed = with_category_reason(parsed, quarantine_reason(parsed, "json", required), known_categories)
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = parsed.where(F.col("reason").isNull()).drop("reason", CORRUPT, "json")
@@ -105,7 +113,8 @@ def make_batch_processor(schema: str, required: list[str], scorer: Callable[[Dat
             n, n_fraud = int(m["n"]), int(m["n_fraud"])
             kpi = spark.createDataFrame(
                 [(query_name, n, n_fraud, int(m["n_high_risk"]), int(n_bad),
-                  (n - n_fraud) / n if n else None, time.time() - started)],
+                  (n - n_fraud) / n if n else None, time.time() - started,
+                  datetime.fromtimestamp(started, UTC), datetime.now(UTC))],
                 KPI_SCHEMA)
             _write_batch(kpi.coalesce(1), outputs.kpis, batch_id, "parquet")
         finally:
@@ -115,7 +124,7 @@ def make_batch_processor(schema: str, required: list[str], scorer: Callable[[Dat
 
 
 KPI_SCHEMA = ("query STRING, n BIGINT, n_fraud BIGINT, n_high_risk BIGINT, n_quarantined BIGINT, "
-              "approval_rate DOUBLE, duration_seconds DOUBLE")
+              "approval_rate DOUBLE, duration_seconds DOUBLE, batch_start TIMESTAMP, batch_end TIMESTAMP")
 
 
 def start_scoring(messages: DataFrame, schema: str, required: list[str], scorer: Callable[[DataFrame], DataFrame],
@@ -160,10 +169,11 @@ def kpi_totals(kpis: DataFrame) -> DataFrame:
     return t.withColumn("approval_rate", approval_rate("n", "n_fraud"))
 
 
-def kpi_gauges(kpis: DataFrame) -> DataFrame:
+def kpi_gauges(kpis: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Gauges as the dashboard shows them (RP7, RP4 lastNotNull): the size of the latest batch,
-    the latest non-null approval rate and the slowest batch, from the KPI table by batch id."""
-    return kpis.agg(
+    the latest non-null approval rate and the slowest batch, from the KPI table by batch id,
+    overall or per ``keys`` (the query)."""
+    return kpis.groupBy(*(keys or [])).agg(
         F.max("batch_id").alias("last_batch_id"),
         F.max_by("n", "batch_id").alias("batch_size"),
         F.max_by("approval_rate", F.when(F.col("approval_rate").isNotNull(), F.col("batch_id")))
