@@ -83,6 +83,13 @@ def test_near_duplicates_null_ids_and_repeated_rows(spark):
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_differing_rows_of_one_id_keep_the_same_row_every_time(spark):
+    rows = [(7, f"text number {k} of the one id that has several rows", "i", "k", "n") for k in range(4)]
+    left = {near_dup.drop_near_duplicates(spark.createDataFrame(r, SCHEMA).repartition(n)).first().text
+            for r, n in ((rows, 1), (rows[::-1], 3))}
+    assert len(left) == 1
+
+
 def test_lines_equal_brute_force(spark):
     texts = corpus()
     docs = frame(spark, texts).drop("id", "key", "n")

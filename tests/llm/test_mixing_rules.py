@@ -87,6 +87,19 @@ def test_repeated_windows_by_brute_force(spark):
     assert {r.doc_id: r.n_repeat_words for r in quality_rules(df).collect()} == {i: repeated(t) for i, t in enumerate(texts)}
 
 
+def test_mix_of_null_and_text_ids_and_differing_rows(spark):
+    from txnscore.llm.mixing import mix, mixed
+    rows = [(None, "a b c d", "s"), (None, "a b c d e f g h", "s"), (None, "a", "s"), ("x", "one two", "t"), ("x", "one two three", "t"),
+            ("y", "one", None), ("y", "one", None), ("z", None, "t")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    got = sorted((str(r.doc_id), str(r.source), r["size"]) for r in mix(docs).collect())
+    assert got == sorted((str(i), str(s), len((t or "").split())) for i, t, s in rows)
+    out = mixed(docs).collect()
+    assert all(r["size"] == len(r.text.split()) and r.taken == r.copies * r["size"] for r in out)
+    assert sum(r.taken for r in out) <= sum(len((t or "").split()) for _, t, _ in rows)
+    assert len([r for r in out if r.doc_id == "y"]) in (0, 2)
+
+
 ITEM = ("A train leaves the station with 120 passengers and travels for 3 hours at a speed of 80 km per hour towards Berlin. "
         "How far does the train go before it reaches the city of Berlin in the end?")
 FILLER = "Some other words come first in this document and say nothing of interest at all. "
@@ -100,16 +113,26 @@ def decontaminate(spark, texts, items=(ITEM,)):
 
 def test_decontamination_cases(spark):
     other = ITEM.replace("120", "75").replace("80", "95").replace("Berlin", "Madrid")
-    mixed = ITEM.replace("of Berlin", "of Madrid").replace("120", "9")
+    # no 13 words in a row are the item's; with one name for Berlin the windows that remain are just enough
+    part = ITEM.replace("120", "many").replace(" 3 ", " some ").replace("80", "great").replace("before", "until")
+    mixed, renamed = part.replace("towards Berlin", "towards Madrid").replace("of Berlin", "of Paris"), part.replace("Berlin", "Madrid")
     texts = [FILLER + ITEM + " More text.", FILLER + other, ITEM.lower(), FILLER * 3, ITEM.replace(" ", "\n  "), "", None,
-             ITEM[:100] + FILLER, FILLER + ITEM[:52], ITEM + ITEM, mixed]
+             ITEM[:100] + FILLER, FILLER + ITEM[:52], ITEM + ITEM, mixed, renamed]
     got = decontaminate(spark, texts)
-    assert {0, 1, 2, 4, 7, 9} <= set(got) and not {3, 5, 6, 8} & set(got)
+    assert {0, 1, 2, 4, 7, 9, 11} <= set(got) and not {3, 5, 6, 8} & set(got)
     assert got[0].n_changed == 0 and got[1].n_changed == 3
-    # Berlin stands for both itself and Madrid along one distance: no re-parameterised copy
+    assert got[0].n_literal == got[0].n_windows and not got[0].weak and got[1].by_template and got[1].n_literal < got[0].n_literal
+    # Berlin stands for both Madrid and Paris along one distance: no re-parameterised copy
     assert 10 not in got
 
 
+def test_an_item_of_few_words_removes_nothing(spark):
+    docs = spark.createDataFrame([(k, f"{FILLER} music {k}") for k in range(4)] + [(9, FILLER + ITEM)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "music"), (2, ITEM)], "item_id long, text string")
+    assert {r.doc_id for r in contaminated(docs, bench).collect() if r.weak} == {0, 1, 2, 3}
+    assert sorted(r.doc_id for r in drop_contaminated(docs, bench).collect()) == [0, 1, 2, 3]
+
+
 def test_decontamination_edges(spark):
     docs = spark.createDataFrame([(1, ITEM, "a"), (1, ITEM, "b"), (None, ITEM, "c"), (2, FILLER, "d"), (3, None, "e")], "doc_id long, text string, item_id string")
     bench = spark.createDataFrame([(5, ITEM, "q"), (5, ITEM, "q"), (6, None, "q"), (None, ITEM, "q"), (7, "", "q"), (8, "Short one.", "q")],

@@ -246,14 +246,14 @@ def found_windows(docs: DataFrame, size: int, lengths: list[int], wanted: np.nda
 
 
 def _consistent(batches):
-    """(doc_id, item_id, place, template, changed) of the windows along one distance that count.
+    """(doc_id, item_id, reading, place, template, changed) of the windows along one distance that count.
 
     Every slot value keeps the partner that it meets in most windows, one to one; windows with
     another pair go, unless all their values are equal on both sides.
     """
     for batch in batches:
         out = []
-        for doc, item, met in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc, item, reading, met in zip(*(c.to_pylist() for c in batch.columns)):
             pairs = [[(p["theirs"], p["ours"]) for p in w["pairs"]] for w in met]
             theirs, ours = {}, {}
             often = Counter(p for of in pairs for p in set(of))
@@ -262,16 +262,19 @@ def _consistent(batches):
                     theirs[x], ours[y] = y, x
             good = [k for k, of in enumerate(pairs) if all(x == y for x, y in of) or all(theirs.get(x) == y for x, y in of)]
             changed = len({p for k in good for p in pairs[k] if p[0] != p[1]})
-            out += [(doc, item, met[k]["place"], met[k]["template"], changed) for k in good]
-        names = ["doc_id", "item_id", "place", "template", "changed"]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(5)], names=names)
+            out += [(doc, item, reading, met[k]["place"], met[k]["template"], changed) for k in good]
+        names = ["doc_id", "item_id", "reading", "place", "template", "changed"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(6)], names=names)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: int = 6, percent: int = 50) -> DataFrame:
-    """Pairs (doc_id, item_id, n_windows, n_matched, n_changed) of contaminated documents.
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: int = 6, percent: int = 50, least: int = 4) -> DataFrame:
+    """Pairs (doc_id, item_id, n_windows, n_matched, n_changed, n_literal, by_template, weak) of contaminated documents.
 
     ``n_windows`` counts the item's distinct windows (literal ones, or those with placeholders where only these are
-    enough), ``n_matched`` those found on consistent distances, ``n_changed`` the most slot values that differ along one distance. Null and empty
+    enough), ``n_matched`` those found on consistent distances, ``n_changed`` the most slot values that differ along one distance.
+    ``n_literal`` counts the windows that are found word for word, an addition to the templates; ``by_template`` says whether the
+    windows with placeholders are enough by themselves. ``weak`` marks items of fewer than ``least`` words, which
+    are reported but are no evidence: any text about their subject may hold them. Null and empty
     texts, and rows with a null doc_id or item_id, give no pair; repeated rows give one pair; an
     empty table on either side gives no rows; other columns are ignored.
     """
@@ -291,25 +294,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: in
         found = hits if found is None else found.union(hits)
     if found is None:
         found = found_windows(docs, window, lengths, np.zeros(0, np.uint64))
-    sizes = theirs.groupBy("id").agg(F.count_distinct("place").alias("n_places"), F.count_distinct("template").alias("n_templates")).withColumnRenamed("id", "item_id")
+    sizes = theirs.groupBy("id").agg(F.count_distinct("place").alias("n_places"), F.count_distinct("template").alias("n_templates"),
+                                     (F.max("length") < least).alias("weak")).withColumnRenamed("id", "item_id")
     met = (found.distinct().withColumnRenamed("id", "doc_id").withColumnRenamed("pos", "doc_pos").withColumnRenamed("slots", "doc_slots")
            .join(theirs.withColumnRenamed("id", "item_id"), "h")
            .withColumn("shift", F.col("doc_pos") - F.col("pos")))
     copies = met.groupBy("doc_id", "item_id", "reading", "shift").agg(F.collect_list(F.struct(
         "place", "template", F.arrays_zip(F.col("slots").alias("theirs"), F.col("doc_slots").alias("ours")).alias("pairs"))).alias("windows"))
-    whole = (copies.select("doc_id", "item_id", "windows")
-             .mapInArrow(_consistent, "doc_id long, item_id long, place long, template long, changed long")
+    whole = (copies.select("doc_id", "item_id", "reading", "windows")
+             .mapInArrow(_consistent, "doc_id long, item_id long, reading long, place long, template long, changed long")
              .groupBy("doc_id", "item_id").agg(F.count_distinct("place").alias("places"), F.count_distinct("template").alias("templates"),
-                                               F.max("changed").alias("n_changed")))
+                                               F.max("changed").alias("n_changed"),
+                                               F.count_distinct(F.when(F.col("reading") == 0, F.col("place"))).alias("n_literal")))
     out = whole.join(sizes, "item_id")
     enough = lambda found, of: (100 * F.col(found) >= percent * F.col(of)) & (F.col(of) > 0) | (F.col(found) >= run)
     by_place = enough("places", "n_places")
     return out.filter(by_place | enough("templates", "n_templates")).select(
         "doc_id", "item_id", F.when(by_place, F.col("n_places")).otherwise(F.col("n_templates")).alias("n_windows"),
-        F.when(by_place, F.col("places")).otherwise(F.col("templates")).alias("n_matched"), "n_changed")
+        F.when(by_place, F.col("places")).otherwise(F.col("templates")).alias("n_matched"), "n_changed",
+        "n_literal", enough("templates", "n_templates").alias("by_template"), "weak")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the contaminated documents; rows with a null doc_id stay."""
-    gone = cut(contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__gone")).distinct())
+    """``docs`` without the contaminated documents; rows with a null doc_id stay, and a
+    weak item (see ``contaminated``) removes nothing."""
+    gone = cut(contaminated(docs, benchmark, **options).filter("not weak").select(F.col("doc_id").alias("__gone")).distinct())
     return docs.join(checked(gone), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

@@ -29,7 +29,7 @@ _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page, whatever it holds.
-_RAW = set("script style noscript template svg math iframe object textarea select title canvas audio video".split())
+_RAW = set("script style noscript template svg iframe textarea select title canvas".split())
 _BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
              "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead "
              "tr ul".split())
@@ -72,7 +72,7 @@ def _skip_words(names: list[str]) -> set[str]:
 
 def _names_heading(name: str, page: str, at: int) -> bool:
     """Whether an id consists of words of the heading that the element begins with."""
-    m = _HEADING.match(page, at, at + 2000)
+    m = _HEADING.match(page, at)
     words = set(re.split(r"[\W_]+", html.unescape(re.sub(r"<[^>]*>", " ", m[1])).lower())) if m else set()
     of_id = {w for w in re.split(r"[\W_]+", name) if w}
     return len(of_id) > 1 and of_id <= words

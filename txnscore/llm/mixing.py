@@ -8,10 +8,10 @@ budget, so each source takes close to its target whatever its number of document
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ordering import global_row_index, ordered_prefix_sums
+from .order import row_numbers, running_sums
 from .tables import cut, word_count
 
 WEIGHTS = (1, 2, 3)
@@ -25,7 +25,7 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: int = 3)
     stops at ``epochs`` times its source's size, and the excess is shared again by weight until no
     target is above. Each round is one aggregate over the table of sources; the driver sees one row.
     """
-    ranked = global_row_index(sizes, [F.col("source").asc_nulls_last()], "rank")
+    ranked = row_numbers(sizes, [F.col("source").asc_nulls_last()], "rank").withColumn("rank", F.col("rank") - 1)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     ranked = cut(ranked.withColumn("weight", weight))
     cap = F.lit(float(epochs)) * F.col("source_size")
@@ -41,47 +41,65 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: int = 3)
     return ranked.withColumn("target", F.least(cap, F.col("weight") * F.lit(level))).drop("weight")
 
 
-def _order(doc: Column, copy: Column | None = None) -> list[Column]:
-    return [F.col("finish"), F.col("shuffle"), doc] + ([copy] if copy is not None else [])
+#: What tells documents apart; rows that agree in all of it are copies of one document.
+DOCUMENT = ["doc_id", "source", "tx"]
 
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = 3, seed: int = SEED) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, copies and taken.
-
-    size: words of the text (0 for null or empty); taken = copies * size. A null source is a source
-    of its own; a null doc_id is an id like any other (shuffled by its hash); repeated rows are
-    documents of their own and of equal rank, so they are cut off together. Documents without
-    words take nothing and have no copies. An empty table gives no rows. Reruns agree: the shuffle is a
-    hash of the id.
-    """
-    base = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"))
-    base = cut(base.withColumn("shuffle", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
-    sources = cut(source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs))
+def shares(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = 3, seed: int = SEED) -> DataFrame:
+    """One row per distinct (doc_id, source, text): doc_id, source, tx (hash of the text), n_rows, size,
+    source_size, target and copies (how many times each of its rows is read). See ``mix``."""
+    base = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64(F.col("text").cast("string")).alias("tx"),
+                       word_count(F.col("text").cast("string")).alias("size"))
+    # equal rows queue as one, so that they are taken or left together
+    base = base.groupBy(*DOCUMENT).agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n_rows"))
+    of_id = F.col("doc_id").cast("string")
+    shuffle = F.when(of_id.isNull(), F.xxhash64(F.lit(seed), F.lit(""), "tx")).otherwise(F.xxhash64(F.lit(seed), of_id))
+    base = cut(base.withColumn("words", F.col("size") * F.col("n_rows")).withColumn("shuffle", shuffle)
+               .withColumn("name", F.coalesce(of_id, F.lit(""))))
+    sources = cut(source_targets(base.groupBy("source").agg(F.sum("words").alias("source_size")), weights, epochs))
     # running words per source: along (source, shuffle) globally, minus the words of earlier sources
-    starts = ordered_prefix_sums(sources, [F.col("rank")], ["source_size"], "upto_")
+    starts = running_sums(sources, [F.col("rank")], ["source_size"], "upto_")
     known = base.join(starts.select(F.col("source").alias("s"), "rank", "source_size", "target",
                                     (F.col("upto_source_size") - F.col("source_size")).alias("skipped")),
                       F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    line = cut(ordered_prefix_sums(known.filter("size > 0"), [F.col("rank"), F.col("shuffle"), F.col("doc_id")], ["size"]))
-    finish = lambda copy: (F.col("cum_size") - F.col("skipped") + copy * F.col("source_size")) / F.col("target")
-    # a copy that starts after 1 + one document can't be within the budget when all sources keep pace
-    copies = (line.select("doc_id", "size", "shuffle", "cum_size", "skipped", "source_size", "target",
-                          F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("copy"))
-              .withColumn("finish", finish(F.col("copy"))))
-    order = _order(F.col("doc_id"), F.col("copy"))
-    budget = F.lit((base.agg(F.sum("size")).first()[0]) or 0)
-    queue = ordered_prefix_sums(copies.select("finish", "shuffle", "doc_id", "copy", "size"), order, ["size"])
-    last = queue.filter(F.col("cum_size") <= budget).agg(
-        F.max(F.struct("finish", "shuffle", F.coalesce("doc_id", F.lit(-1)).alias("doc"), "copy")).alias("last")).first()["last"]
+    ties = ["shuffle", "name", "tx"]
+    line = cut(running_sums(known.filter("size > 0"), [F.col("rank"), *map(F.col, ties)], ["words"], "cum_"))
+    finish = lambda copy: (F.col("cum_words") - F.col("skipped") + copy * F.col("source_size")) / F.col("target")
+    each = (line.select(*ties, "words", "cum_words", "skipped", "source_size", "target",
+                        F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("copy")).withColumn("finish", finish(F.col("copy"))))
+    budget = F.lit(base.agg(F.sum("words")).first()[0] or 0)
+    place = ["finish", *ties, "copy"]
+    queue = running_sums(each.select(*place, "words"), [F.col(c) for c in place], ["words"], "cum_")
+    last = queue.filter(F.col("cum_words") <= budget).agg(F.max(F.struct(*place)).alias("last")).first()["last"]
     if last is None:
         within = lambda copy: F.lit(False)
     else:
-        cutoff = F.struct(F.lit(last["finish"]).alias("finish"), F.lit(last["shuffle"]).alias("shuffle"),
-                          F.lit(last["doc"]).alias("doc"), F.lit(last["copy"]).alias("copy"))
-        within = lambda copy: F.struct(finish(F.lit(copy)).alias("finish"), F.col("shuffle"), F.coalesce("doc_id", F.lit(-1)).alias("doc"),
-                                       F.lit(copy).alias("copy")) <= cutoff
+        cutoff = F.struct(*[F.lit(last[c]).alias(c) for c in place])
+        within = lambda copy: F.struct(finish(F.lit(copy)).alias("finish"), *ties, F.lit(copy).alias("copy")) <= cutoff
     n = sum((within(k).cast("long") for k in range(epochs)), F.lit(0).cast("long"))
-    columns = ["doc_id", "source", "size", "source_size", "target"]
-    full = line.select(*columns, n.alias("copies"))
-    blank = known.filter("size = 0").select(*columns, F.lit(0).cast("long").alias("copies"))
-    return full.union(blank).withColumn("taken", F.col("copies") * F.col("size"))
+    columns = [*DOCUMENT, "n_rows", "size", "source_size", "target"]
+    return line.select(*columns, n.alias("copies")).union(known.filter("size = 0").select(*columns, F.lit(0).cast("long").alias("copies")))
+
+
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = 3, seed: int = SEED) -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target, copies and taken.
+
+    size: words of the text (0 for null or empty); taken = copies * size. A null source is a source
+    of its own. Rows of one doc_id and source with equal texts are copies of one document and are taken
+    or left together; rows with different texts, and rows with a null doc_id by their texts, are documents of their
+    own. Documents without words take nothing and have no copies. An empty table gives no rows. Reruns
+    agree: the shuffle is a hash of the id (of the text where the id is null). Ids may be of any type.
+    """
+    rows = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows")))
+    out = shares(docs, weights, epochs, seed).select("doc_id", "source", "size", "source_size", "target", "copies", rows.alias("__row"))
+    return out.drop("__row").withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with size, source_size, target, copies and taken."""
+    new = ["size", "source_size", "target", "copies", "taken"]
+    taken = cut(shares(docs, **options).filter("copies > 0").withColumn("taken", F.col("copies") * F.col("size"))
+                .select(*[F.col(c).alias(f"__{c}") for c in DOCUMENT], *new))
+    same = (F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").cast("string").eqNullSafe(F.col("__source"))
+            & (F.xxhash64(F.col("text").cast("string")) == F.col("__tx")))
+    return docs.drop(*new).join(taken, same).drop(*[f"__{c}" for c in DOCUMENT])

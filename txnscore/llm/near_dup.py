@@ -156,7 +156,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, half:
 
     Null, empty and blank texts have an empty set and link with nothing. Rows with a null doc_id
     take no part: component_id is null and kept true. Repeated rows each get their row; rows that
-    share a doc_id count as one document. An empty table gives no rows; other columns are ignored.
+    share a doc_id but differ in their texts each stand for that id, so the groups of both texts become one if they link. An empty table gives no rows; other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
     sigs = cut(signatures(docs, shingle, half * collections))
@@ -177,13 +177,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, half:
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents whose group has a smaller id; repeated rows of a kept id
-    become one row, rows with a null id stay as they are."""
+    become one row, the one whose columns hash smallest (if their texts differ, one of them stays); rows with a null
+    id stay as they are."""
     kept = cut(near_duplicates(docs, **options).filter("kept and doc_id is not null")
                .groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")))
     repeated = cut(kept.filter("__n > 1").select("__id"))
     on = F.col("doc_id") == F.col("__id")
     named = docs.join(checked(kept, kept.select("__id")), on, "left_semi")
     twice = checked(repeated)
-    # only rows of repeated ids are gathered by id
-    return (named.join(twice, on, "left_anti").union(named.join(twice, on, "left_semi").dropDuplicates(["doc_id"]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # only rows of repeated ids are aggregated by id
+    return (named.join(twice, on, "left_anti").union(named.join(twice, on, "left_semi").groupBy("doc_id")
+                                                  .agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")).select("row.*"))
             .union(docs.filter(F.col("doc_id").isNull())))

@@ -26,6 +26,17 @@ def row_numbers(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return rows.join(F.broadcast(parts), PART).withColumn(name, (F.col(PLACE) + F.col("shift")).cast("long")).drop(PART, PLACE, "shift")
 
 
+def running_sums(df: DataFrame, order: list[Column], columns: list[str], prefix: str) -> DataFrame:
+    """Sums of ``columns`` over all rows up to and with each one in the order ``order``."""
+    rows = sorted_parts(df, order)
+    parts = rows.groupBy(PART).agg(*[F.sum(c).alias(c) for c in columns])
+    earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(PART, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__up_to_{c}") for c in columns])
+    inside = Window.partitionBy(PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.join(F.broadcast(parts), PART).select(
+        *df.columns, *[(F.col(f"__up_to_{c}") + F.sum(c).over(inside)).alias(prefix + c) for c in columns])
+
+
 def group_positions(df: DataFrame, key: str, order: list[Column], name: str) -> DataFrame:
     """Position (0, 1, ...) of every row among those of its ``key``, in the order ``order``.
 
