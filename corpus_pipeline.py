@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnscore.llm.decontam import drop_contaminated
-from txnscore.llm.graph import checked
 from txnscore.llm.line_dedup import dedup_lines
-from txnscore.llm.mixing import mix
+from txnscore.llm.mixing import mixed
 from txnscore.llm.near_dup import drop_near_duplicates
 from txnscore.llm.quality_rules import keep_clean
-from txnscore.llm.tables import cut, table
+from txnscore.llm.tables import table
 from txnscore.session import scratch_path
 
 
@@ -51,11 +50,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with size, source_size, target, copies (how many times
-    each is read) and taken (words, repeats counted). Repeated rows of an id stay repeated."""
-    new = ["size", "source_size", "target", "copies", "taken"]
-    taken = cut(mix(docs).filter("copies > 0").select(F.col("doc_id").alias("__id"), *new)
-                .dropDuplicates(["__id"]))
-    return docs.drop(*new).join(checked(taken, columns=6), F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
+    each is read) and taken (words, repeats counted). Equal rows stay repeated."""
+    return mixed(docs)
 
 
 STAGES = [
