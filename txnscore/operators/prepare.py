@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions.columns import entity_key, event_timestamp
 from ..schema import (ENTITY_DAY_COLUMN, LABEL, NUMERIC_FILL, OFFSET_COLUMNS, SECONDS_PER_DAY,
                       SELECTED_FEATURES, STRING_FILL)
+from ..session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -36,13 +37,29 @@ class TxnColumns:
 REFERENCE_COLUMNS = TxnColumns()
 
 
-def join_identity(txns: DataFrame, identities: DataFrame, key: str = "TransactionID") -> DataFrame:
+#: Rows of one key from which a join treats the key apart, and rows of the other side that such keys may have at most
+#: to be broadcast.
+HEAVY_ROWS, HEAVY_MATCHES = 1_000_000, 100_000
+
+
+def join_identity(txns: DataFrame, identities: DataFrame, key: str = "TransactionID", heavy: int | None = None) -> DataFrame:
     """JN1: left outer equi join USING ``key``; the key appears once, misses give nulls.
 
     Both sides grow with the data, so this is a shuffle (sort-merge) join on the key; AQE turns
-    it into a broadcast at run time only if the identity side turns out small.
+    it into a broadcast at run time only if the identity side turns out small. With ``heavy`` the keys of more
+    rows than that are counted first (at most rows / ``heavy`` of them) and their rows meet their identities, if
+    these are counted to be few, where they are, without a shuffle: a hot key then loads no single task.
     """
-    return txns.join(identities, [key], "left")
+    if heavy is None:
+        return txns.join(identities, [key], "left")
+    ensure_checkpoint_dir(txns.sparkSession)
+    hot = txns.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter((F.col("__n") > heavy) & F.col(key).isNotNull()).select(key).checkpoint()
+    matches = identities.join(hot, [key], "left_semi").checkpoint()
+    if hot.isEmpty() or hot.count() + matches.count() > HEAVY_MATCHES:
+        return txns.join(identities, [key], "left")
+    few = F.broadcast(hot)
+    apart = txns.join(few, [key], "left_semi").join(F.broadcast(matches), [key], "left")
+    return apart.unionByName(txns.join(few, [key], "left_anti").join(identities, [key], "left"))
 
 
 def normalize_offsets(df: DataFrame, offsets: tuple[str, ...] | list[str] = tuple(OFFSET_COLUMNS),

@@ -271,6 +271,7 @@ SQL["stream_model_score"] = """SELECT event_id, CASE WHEN event_id % 11 = 0 THEN
     CASE WHEN event_id % 11 <> 0 AND event_id % 17 <> 0 AND event_id % 13 <> 0 THEN TRUE END AS as_in_batch FROM events"""
 SQL["stream_rate"] = """WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n FROM events GROUP BY 1)
   SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n, round(n / 3600.0, 6) AS rate FROM h"""
+SQL["stream_rate_compacted"] = SQL["stream_rate"]
 SQL["publish_json"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 # --- holdout split (first 8 hex digits of md5 of "id:seed", seed 1409, weights 0.7 / 0.3) -------------

@@ -127,6 +127,19 @@ def q_stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("window_start", "window_end", "n", round6(F.col("n") / 3600.0).alias("rate"))
 
 
+@register("stream_rate_compacted")
+def q_stream_rate_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6 over many batches, compacted between them, with a second run that goes on from the first one's checkpoint."""
+    out, ckpt, src = (scratch_path(spark, n) for n in ("rates", "ckpt-rates", "events"))
+    events = read_table(spark, sf_dir, "events")
+    for part in range(2):  # new files arrive after the first run has ended
+        events.filter(F.pmod(F.col("event_id"), F.lit(2)) == part).repartition(5).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+        run_to_completion(rates.start_window_counts(stream, "ts", STREAM_WINDOW, out, ckpt, AVAILABLE_NOW, compact_every=2))
+    r = rates.read_window_counts(spark, out)
+    return r.select("window_start", "window_end", "n", round6(F.col("n") / 3600.0).alias("rate"))
+
+
 @register("publish_json")
 def q_publish_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO8: the events table published as JSON messages (one distributed write), read back."""

@@ -7,6 +7,7 @@ column order difference between writer and reader cannot shift values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,6 +104,18 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot rename {path} to {to}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own making."""
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it does not exist."""
+    fs, hpath = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -116,8 +129,27 @@ def is_materialized(spark: SparkSession, path: str) -> bool:
 
 
 def materialize_if_missing(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> bool:
-    """IO4: run ``build`` and write it to ``path`` only when the output is absent. True if built."""
+    """IO4: run ``build`` and write it to ``path`` only when the output is absent. True if built.
+
+    The table is written beside ``path`` and renamed into place when it is whole, so nobody ever sees half
+    a table. Of two builders at once the first one publishes; the other one drops its own copy and returns False. What a
+    crashed builder left at ``path`` itself (a folder without its marker) is set aside, not read.
+    """
+    path = path.rstrip("/")
+    if is_materialized(spark, path):
+        return False
+    staging = f"{path}.staging-{uuid.uuid4().hex[:12]}"
+    build().write.parquet(staging)
     if is_materialized(spark, path):
+        delete(spark, staging)
+        return False
+    if path_exists(spark, path):
+        rename(spark, path, f"{path}.broken-{uuid.uuid4().hex[:12]}")
+    try:
+        rename(spark, staging, path)
+    except OSError:
+        if not is_materialized(spark, path):
+            raise
+        delete(spark, staging)
         return False
-    write_features(build(), path)
     return True
