@@ -41,6 +41,9 @@ SHARD, HELD, PASSED = 1 << 22, 3 << 20, 1 << 16
 #: Lines with more uses than this meet their occurrences apart from the others.
 MANY_USES = 10_000
 
+#: Bytes of lines that may be broadcast to the pairs that hold them.
+BROADCAST_BYTES = 1 << 24
+
 #: Lines of a bucket that are compared pair by pair, across components.
 FEW = 128
 
@@ -288,7 +291,7 @@ def verified_lines(pairs: DataFrame, texts: DataFrame, size: int, percent: int)
                 common = row(both[1:][both[1:] == both[:-1]])
                 yield part.select([0, 1]).filter(pa.array(100 * common >= percent * (row(left) + row(right) - common)))
 
-    side = lambda c: texts.select(F.col("id").alias(c), F.col("line").alias(f"line_{c}"))
+    side = lambda c: texts.withColumnsRenamed({"id": c, "line": f"line_{c}"})
     return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "line_a", "line_b")
             .mapInArrow(run, "a long, b long"))
 
@@ -355,8 +358,11 @@ def line_components(docs: DataFrame, nodes: DataFrame, members: DataFrame, famil
     later = []
     for k, (size, _, _) in enumerate(families):
         own = cut(placed.filter(F.col("key").bitwiseAND(F.lit(3)) == k))
-        rest = ordered(further_pairs(own, texts, size, percent)).distinct().join(ordered(stars[k]), ["a", "b"], "left_anti")
-        later.append(verified_lines(rest, texts, size, percent))
+        # many pairs of few lines: their texts go to the pairs if they are counted to be small
+        few = cut(texts.join(checked(cut(own.select("id").distinct())), "id", "left_semi"))
+        rest = ordered(further_pairs(own, few, size, percent)).distinct().join(ordered(stars[k]), ["a", "b"], "left_anti")
+        n_bytes = few.agg(F.sum(F.octet_length("line") + 16)).first()[0] or 0
+        later.append(verified_lines(rest, F.broadcast(few) if n_bytes <= BROADCAST_BYTES else few, size, percent))
     second = cut(reduce(DataFrame.union, later))
     # what the second links join are components of the first ones
     of = lambda c: found.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .graph import checked
 from .order import row_numbers, running_sums
 from .tables import cut, word_count
 
@@ -98,8 +99,9 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = 3, seed: int =
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the mix takes, with size, source_size, target, copies and taken."""
     new = ["size", "source_size", "target", "copies", "taken"]
-    taken = cut(shares(docs, **options).filter("copies > 0").withColumn("taken", F.col("copies") * F.col("size"))
-                .select(*[F.col(c).alias(f"__{c}") for c in DOCUMENT], *new))
-    same = (F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").cast("string").eqNullSafe(F.col("__source"))
-            & (F.xxhash64(F.col("text").cast("string")) == F.col("__tx")))
-    return docs.drop(*new).join(taken, same).drop(*[f"__{c}" for c in DOCUMENT])
+    # two hashes of what tells documents apart: a table of fixed width, broadcast if it is counted to be small
+    key = lambda tx: [F.xxhash64(F.lit(k), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(),
+                                 F.coalesce(F.col("source").cast("string"), F.lit("")), F.col("source").isNull(), tx).alias(f"__k{k}") for k in (1, 2)]
+    taken = cut(shares(docs, **options).filter("copies > 0").withColumn("taken", F.col("copies") * F.col("size")).select(*key(F.col("tx")), *new))
+    named = docs.drop(*new).select("*", *key(F.xxhash64(F.col("text").cast("string"))))
+    return named.join(checked(taken, columns=7), ["__k1", "__k2"]).drop("__k1", "__k2")
