@@ -65,8 +65,10 @@ def shares(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = 3, seed: int
                       F.col("source").eqNullSafe(F.col("s"))).drop("s")
     ties = ["shuffle", "name", "tx"]
     line = cut(running_sums(known.filter("size > 0"), [F.col("rank"), *map(F.col, ties)], ["words"], "cum_"))
-    finish = lambda copy: (F.col("cum_words") - F.col("skipped") + copy * F.col("source_size")) / F.col("target")
-    each = (line.select(*ties, "words", "cum_words", "skipped", "source_size", "target",
+    # equal rows stand where the first of them ends
+    begin = F.col("cum_words") - F.col("words") + F.col("size")
+    finish = lambda copy: (begin - F.col("skipped") + copy * F.col("source_size")) / F.col("target")
+    each = (line.select(*ties, "size", "words", "cum_words", "skipped", "source_size", "target",
                         F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("copy")).withColumn("finish", finish(F.col("copy"))))
     budget = F.lit(base.agg(F.sum("words")).first()[0] or 0)
     place = ["finish", *ties, "copy"]
