@@ -34,9 +34,12 @@ def test_scans_are_pruned(spark):
     assert read == ["o_orderkey:bigint,o_orderdate:timestamp_ntz"]
 
 
-def test_segment_filter_pushed_to_scan(spark):
-    plan = _plan(entry.queries()["left_join_identity"](spark, SF_SMALL))
+def test_filters_are_pushed_to_the_scan_and_the_identity_join_reads_every_customer(spark):
+    from txnscore.plans.views import ident
+    plan = _plan(ident(spark, SF_SMALL).where("c_mktsegment = 'BUILDING'"))
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)" in plan
+    plan = _plan(entry.queries()["left_join_identity"](spark, SF_SMALL))
+    assert "BUILDING" not in plan and "ReadSchema: struct<c_custkey:bigint,c_name:string,c_nationkey:" in plan
 
 
 def test_class_weight_join_broadcasts_bounded_table(spark):
