@@ -22,3 +22,14 @@ def test_train_publish_score(spark):
           "--available-now"])
     t = kpi_totals(read_kpis(spark, f"{out}/kpis")).first()
     assert t.n + t.n_quarantined == 40 and t.n > 0
+
+
+def test_prepare_builds_a_split_once_and_without_a_model(spark, capsys):
+    from txnscore.__main__ import main
+    root = tempfile.mkdtemp(prefix="txnscore-test-")
+    data, processed = os.path.join(root, "data"), os.path.join(root, "test")
+    write_reference_raw(spark, f"{data}/test_transaction.csv", f"{data}/test_identity.csv")
+    for said in ("built", "already there"):
+        main(["prepare", "--data", data, "--processed", processed, "--split", "test"])
+        assert said in capsys.readouterr().out
+    assert spark.read.parquet(processed).count() == 40 and sorted(os.listdir(root)) == ["data", "test"]

@@ -1,10 +1,11 @@
 """Command line: the three programs of a scoring deployment.
 
+  python -m txnscore prepare --data DIR --processed DIR [--split train|test]
   python -m txnscore train   --data DIR --processed DIR --model DIR [--grid-parallelism N]
   python -m txnscore score   --model DIR --out DIR --checkpoint DIR (--path DIR | --servers S --topic T)
   python -m txnscore publish --processed DIR (--path DIR | --servers S --topic T)
 
-``train`` reads ``{data}/train_transaction.csv`` and ``{data}/train_identity.csv`` (header, types
+``prepare`` materializes the processed table of one split, without a model. ``train`` reads ``{data}/train_transaction.csv`` and ``{data}/train_identity.csv`` (header, types
 by name), materializes the processed table once, grid-searches GBT on a holdout and saves the
 best pipeline. ``score`` runs the streaming service (10 s trigger) until stopped. ``publish``
 sends the processed rows as JSON messages, one distributed write.
@@ -26,6 +27,10 @@ from .streaming.sources import message_stream
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="txnscore")
     sub = p.add_subparsers(dest="cmd", required=True)
+    d = sub.add_parser("prepare")
+    d.add_argument("--data", required=True)
+    d.add_argument("--processed", required=True)
+    d.add_argument("--split", default="train")
     t = sub.add_parser("train")
     t.add_argument("--data", required=True)
     t.add_argument("--processed", required=True)
@@ -54,9 +59,12 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
 
     spark = get_session()
-    if a.cmd == "train":
+    if a.cmd in ("prepare", "train"):
         txns = scan_csv_by_name(spark, f"{a.data}/{a.split}_transaction.csv", RAW_TYPES)
         ids = scan_csv_by_name(spark, f"{a.data}/{a.split}_identity.csv", RAW_TYPES)
+    if a.cmd == "prepare":
+        print("built" if api.prepare_split(spark, txns, ids, a.processed) else "already there")
+    elif a.cmd == "train":
         grid = [dict(g, max_iter=a.max_iter) for g in param_grid(a.max_depth, a.max_bins, a.step_size)]
         cfg = api.TrainConfig(model_path=a.model, parallelism=a.grid_parallelism, grid=grid)
         _, metrics = api.train(spark, cfg, txns, ids, a.processed)
