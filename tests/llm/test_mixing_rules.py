@@ -1,5 +1,6 @@
 """Mixing, quality rules and decontamination."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,29 @@ def test_quality_rules_lines(spark):
     assert quality_rules(rows.limit(0)).count() == 0
 
 
+SCRIPTS = {  # sentences of ten words or more, each with the sentence mark of its script
+    "hindi": "यह एक साधारण वाक्य है जिसमें बहुत से शब्द हैं और जो पूरी तरह समाप्त होता है।",
+    "urdu": "یہ ایک سادہ جملہ ہے جس میں بہت سے الفاظ ہیں اور یہ مکمل ہے۔",
+    "arabic": "هل هذه جملة بسيطة فيها كلمات كثيرة تكفي لكي تبقى في النص؟",
+    "armenian": "Սա մի պարզ նախադասություն է որը ունի բավական շատ բառեր որպեսզի մնա այստեղ։",
+    "amharic": "ይህ ብዙ ቃላት ያሉት ቀላል ዓረፍተ ነገር ነው እና እዚህ መቆየት አለበት።",
+    "chinese": "一 二 三 四 五 六 七 八 九 十 这是一个句子。",
+    "thai": "นี่ คือ ประโยค ธรรมดา ที่ มี คำ มาก พอ จะ อยู่ ที่ นี่"}
+
+
+def test_quality_rules_of_other_scripts(spark):
+    """Sentences of any script stay, and a line of the script without its mark goes (Thai has no mark); equal to the SQL."""
+    rows = [(k, t, True) for k, t in SCRIPTS.items()]
+    rows += [(f"{k} open", t[:-1], False) for k, t in SCRIPTS.items() if k != "thai"]
+    rows += [(f"{k} notice", f"{t}\nprivacy policy {' '.join('abcdefghijkl')}", False) for k, t in SCRIPTS.items()]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id string, text string")
+    got = {r.doc_id: r.kept for r in quality_rules(df).collect()}
+    assert {k: got[k] for k, _, want in rows if got[k] != want and "notice" not in k} == {}
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert compare(quality_rules(df), ORACLE_SQL, con) == []
+
+
 def test_repeated_windows_by_brute_force(spark):
     texts = ["a b c d e f a b c d e", "x " * 40, "a b c d", "p q r s t u v p q r s t w p q r s t", " ".join(map(str, range(3000))) + " 5 6 7 8 9 10", "a  b\tc\nd e a b c d e"]
 

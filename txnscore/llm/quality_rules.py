@@ -2,8 +2,9 @@
 
 Every line with a word is judged by itself:
 
-* punctuation: it has no sentence end (a mark before a blank or the line's end), or pairs of ``!`` or
-  ``?`` are at least 3 for 10 words, or it shouts (upper-case letters only, 3 words at least);
+* punctuation: it has no sentence end (a mark of any script before a blank or the line's end; Thai and Lao, which
+  write none, need none), or pairs of ``!`` or ``?`` are at least 3 for 10 words, or it shouts (upper-case
+  letters only, 3 words at least);
 * navigation: symbols ``#*$%&|<>`` are at least 3 for 10 words, or it is a list of menu words only;
 * boilerplate: it holds one of the page notices listed below.
 
@@ -22,7 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SYMBOLS = "#*$%&|<>"
-SENTENCE_END = r"""[.!?…。！？]["')\]»”’]*([\x20\x09-\x0D]|$)"""
+_CLOSED = r"""["')\]»”’]*([\x20\x09-\x0D]|$)"""
+SENTENCE_END = "[.!?…。！？]" + _CLOSED
+#: Marks of Indic, Sinhala, Arabic, Armenian, Ethiopic, Burmese, Khmer, Tibetan and Mongolian script and further CJK forms, or a
+#: letter of Thai or Lao, which close sentences with a blank only. Looked for where the marks above are missing.
+OTHER_END = "[।॥෴۔؟։՜՞።፧፨၊။។៕៖།༎᠃᠉．｡]" + _CLOSED + "|[ก-๛ກ-ໟ]"
 MENU_LINE = (r"(?i)^[\x20\x09-\x0D/·-]*((home|menu|login|log in|sign in|sign up|register|search|contact|contact us|about|about us|next|"
              r"previous|back|top|share|print|archive|sitemap|faq|help)[\x20\x09-\x0D/·-]*)+$")
 #: Looked for as written and with a capital first letter.
@@ -58,7 +63,7 @@ def _fails(line: Column, words: Column, any_symbol: Column, any_notice: Column)
     # both flags of the text stand here twice, so that the optimizer keeps them as columns and
     # does not move their computation into the work on each line
     rare = (any_symbol | any_notice) & ((any_symbol & (10 * _symbols(line) >= 3 * words)) | (any_notice & _notice(line)))
-    return (words > 0) & (~line.rlike(SENTENCE_END) | (10 * pairs >= 3 * words) | shouts | line.rlike(MENU_LINE) | rare)
+    return (words > 0) & ((~line.rlike(SENTENCE_END) & ~line.rlike(OTHER_END)) | (10 * pairs >= 3 * words) | shouts | line.rlike(MENU_LINE) | rare)
 
 
 def _repeat_words(df: DataFrame) -> DataFrame:
@@ -148,7 +153,7 @@ rep AS (
 ),
 lines AS (
   SELECT rid, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
-         regexp_matches(line, '[.!?…。！？]["'')\]»”’]*([\x20\x09-\x0D]|$)') AS ended,
+         regexp_matches(line, '__END__') OR regexp_matches(line, '__OTHER__') AS ended,
          len(regexp_extract_all(line, '!!|\?\?')) AS pairs,
          NOT regexp_matches(line, '\p{Ll}') AND regexp_matches(line, '\p{Lu}') AS shouts,
          len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
@@ -171,5 +176,5 @@ b AS (
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (100 * lost_words > __LOST__ * n_words) AS kept
 FROM b
-""".replace("__MENU__", MENU_LINE).replace("__NOTICE__", " OR ".join(
+""".replace("__END__", SENTENCE_END.replace("'", "''")).replace("__OTHER__", OTHER_END.replace("'", "''")).replace("__MENU__", MENU_LINE).replace("__NOTICE__", " OR ".join(
     f"contains(line, '{v}')" for n in NOTICES for v in dict.fromkeys([n, n.capitalize()]))).replace("__LOST__", str(LOST_PERCENT))
