@@ -100,12 +100,59 @@ def test_filters_correct_for_false_positives():
     import pyarrow as pa
     from txnscore.llm import textbytes as tb
     keys = [np.arange(20_000, dtype=np.uint32) * 7919 + i for i in range(2)]
-    filters = lang_id.Filters(["a", "b"], keys)
+    filters = lang_id.Filters(["a", "b"], [lang_id.bloom(k) for k in keys])
     s = next(tb.slices(pa.array(["quite some words of no language at all " * 50])))
     assert filters.shares(s).max() < 0.02
     assert 0 < filters.false_rate.max() < 0.01
 
 
+def _invented(n_languages, rng):
+    """(lang, words): languages with alphabets of their own order, whose texts are words of few letters each."""
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    return {f"l{i:04d}": ["".join(rng.choice(letters, 6)) for _ in range(30)] for i in range(n_languages)}
+
+
+def test_more_languages_than_a_word_has_bits(spark, monkeypatch):
+    """150 languages take three words; the same languages in passes of one word each give the same rows."""
+    rng = np.random.default_rng(5)
+    words = _invented(150, rng)
+    rows = [(10 * i + k, " ".join(rng.choice(w, 40)), lang) for i, (lang, w) in enumerate(words.items()) for k in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("n_docs", F.lit(1)).withColumn("k", F.lit("x"))
+    got = lang_id.identify(df).toPandas().set_index("doc_id")
+    want = {i: lang for i, _, lang in rows}
+    held = got[got.held_out]
+    assert len(held) > 100 and (held.lang_pred == [want[i] for i in held.index]).mean() > 0.99
+    monkeypatch.setattr(lang_id, "WORDS_PER_PASS", 1)
+    again = lang_id.identify(df).toPandas().set_index("doc_id").loc[got.index]
+    assert (again.lang_pred == got.lang_pred).all() and np.allclose(again.score, got.score)
+
+
+def test_most_frequent_ngrams_by_levels(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "TOP_NGRAMS", 100)
+    rows = [("a", k, 50 if k < 40 else 7 if k < 90 else 1) for k in range(5000)] + [("b", k, 1) for k in range(5000)] + [("c", k, 2) for k in range(9)]
+    top = lang_id._top_ngrams(spark.createDataFrame(rows, "lang string, key long, n long")).toPandas()
+    a = set(top.key[top.lang == "a"])
+    assert set(range(90)) <= a and 90 <= len(a) <= 125
+    assert 70 <= (top.lang == "b").sum() <= 130  # a single level is drawn from
+    assert set(top.key[top.lang == "c"]) == set(range(9))
+
+
+def test_shares_by_brute_force(spark):
+    """Counts of the bit-sliced filters against sets of n-grams: no miss, and few beyond the false positives that are corrected."""
+    import pyarrow as pa
+    from txnscore.llm import textbytes as tb
+    docs = table(spark, SF_CHECK, "documents").limit(40).toPandas().text.fillna("").tolist()
+    grams = lambda t: lang_id._ngrams(next(tb.slices(pa.array([t]))))[0]
+    own = [np.unique(np.concatenate([grams(t) for t in docs[i::4]])) for i in range(4)]
+    filters = lang_id.Filters(list("abcd"), [lang_id.bloom(k) for k in own])
+    got = filters.shares(next(tb.slices(pa.array(docs))))
+    for row, t in zip(got, docs):
+        keys = grams(t)
+        if len(keys):
+            want = np.array([np.isin(keys, k).mean() for k in own])
+            assert np.allclose(row, want, atol=0.01)
+
+
 # ---- toxicity and quality
 
 def held_out_quality(spark, name, label):

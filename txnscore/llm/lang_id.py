@@ -1,9 +1,9 @@
 """Language identification with bit-sliced Bloom filters of byte n-grams.
 
-Every language has a Bloom filter of its frequent 4-byte n-grams; the filters of all languages lie
+Every language has a Bloom filter of its frequent 4-byte n-grams; the filters of up to 64 languages lie
 side by side, one bit of a 64-bit word per language, so that the AND of a few slots gives the
-bitmask of all languages that contain an n-gram. A text's n-grams add up to one count per language;
-each is corrected for the language's false-positive rate, and the largest share decides.
+bitmask of all of them that contain an n-gram. More languages take more words. A text's n-grams add up to
+one count per language; each is corrected for the language's false-positive rate, and the largest share decides.
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .tables import fold
+from .graph import checked
+from .tables import cut, discard, fold
 
-MAX_LANGUAGES = 63
-#: Training documents per language (a documented bound of the fit), n-grams per language, slots.
+#: Training documents per language (a documented bound of the fit), n-grams per language (the size of a filter), slots.
 SAMPLE_DOCS, TOP_NGRAMS, SLOTS, PROBES = 2_000, 30_000, 1 << 19, 3
+#: Languages of one word, and words (4 MB each) that one pass over the texts broadcasts.
+WORD, WORDS_PER_PASS = 64, 16
 
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a"):ord("z") + 1] = True
@@ -54,90 +56,142 @@ def _slots(keys: np.ndarray):
         yield ((h >> np.uint64(20 * k)) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
+def bloom(keys: np.ndarray) -> bytes:
+    """One language's Bloom filter: SLOTS bits, packed."""
+    bits = np.zeros(SLOTS, bool)
+    for slot in _slots(keys):
+        bits[slot] = True
+    return np.packbits(bits).tobytes()
+
+
 class Filters:
-    """Bit-sliced Bloom filters of up to 63 languages and their false-positive rates."""
+    """Bit-sliced Bloom filters, ``WORD`` languages to a word of 64 bits, and their false-positive rates."""
 
-    def __init__(self, languages: list[str], keys: list[np.ndarray]):
+    def __init__(self, languages: list[str], filters: list[bytes]):
         self.languages = languages
-        self.bits = np.zeros(SLOTS, np.uint64)
-        for i, own in enumerate(keys):
-            for slot in _slots(own):
-                self.bits[slot] |= np.uint64(1 << i)
-        filled = [np.mean((self.bits >> np.uint64(i)) & np.uint64(1)) for i in range(len(languages))]
-        self.false_rate = np.array(filled) ** PROBES
+        self.words = np.zeros((-(-len(languages) // WORD), SLOTS), np.uint64)
+        self.false_rate = np.zeros(len(languages))
+        for i, packed in enumerate(filters):
+            bits = np.unpackbits(np.frombuffer(packed, np.uint8))
+            self.words[i // WORD] |= bits.astype(np.uint64) << np.uint64(i % WORD)
+            self.false_rate[i] = bits.mean() ** PROBES
+
+    def passes(self) -> list[Filters]:
+        """The same filters in parts of bounded size."""
+        step, out = WORD * WORDS_PER_PASS, []
+        for first in range(0, len(self.languages), step):
+            part = Filters(self.languages[first:first + step], [])
+            part.words = self.words[first // WORD:first // WORD + WORDS_PER_PASS]
+            part.false_rate = self.false_rate[first:first + step]
+            out.append(part)
+        return out
 
     def shares(self, s: tb.Slice) -> np.ndarray:
         """Corrected share of each text's n-grams that each language contains (n x languages)."""
         keys, text = _ngrams(s)
-        mask = np.full(len(keys), (1 << 63) - 1, np.uint64)
-        for slot in _slots(keys):
-            mask &= self.bits[slot]
         n = np.bincount(text, minlength=s.n)
         at = tb.bounds(n)
         out = np.zeros((s.n, len(self.languages)))
-        for i, false in enumerate(self.false_rate):
-            hit = tb.group_reduce(np.add, ((mask >> np.uint64(i)) & np.uint64(1)).astype(np.int64), at, 0)
-            out[:, i] = np.maximum(hit - false * n, 0) / np.maximum((1 - false) * n, 1)
+        slots = list(_slots(keys))
+        for w, bits in enumerate(self.words):
+            mask = bits[slots[0]]
+            for slot in slots[1:]:
+                mask &= bits[slot]
+            for i in range(w * WORD, min((w + 1) * WORD, len(self.languages))):
+                hit = tb.group_reduce(np.add, ((mask >> np.uint64(i % WORD)) & np.uint64(1)).astype(np.int64), at, 0)
+                false = self.false_rate[i]
+                out[:, i] = np.maximum(hit - false * n, 0) / np.maximum((1 - false) * n, 1)
         return out
 
 
-def train(docs: DataFrame, languages: DataFrame | None = None) -> Filters:
-    """Filters from the (text, lang) of ``docs``: up to ``MAX_LANGUAGES`` most frequent languages and, of
-    each, the documents with the smallest hashes, about ``SAMPLE_DOCS``, count their n-grams."""
-    known = docs.filter("lang is not null and text is not null")
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    names = sorted(r["lang"] for r in sizes)
-    if not names:
-        return Filters([], [])
-    count = {r["lang"]: r["count"] for r in sizes}
-    index = F.create_map(*[x for i, name in enumerate(names) for x in (F.lit(name), F.lit(i))])
-    share = F.create_map(*[x for name in names for x in (F.lit(name), F.lit(min(1.0, SAMPLE_DOCS / count[name])))])
+def _top_ngrams(counted: DataFrame) -> DataFrame:
+    """Of each language (lang, key, n) about ``TOP_NGRAMS`` most frequent keys: whole levels of n from the highest down, and
+    of the first level that does not fit whole, the share that does, drawn by the keys' hashes.
+
+    The levels come from partially aggregated counts, so no task sorts the n-grams of a language.
+    """
+    levels = counted.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("keys"))
+    above = F.sum("keys").over(Window.partitionBy("lang").orderBy(F.desc("n"))) - F.col("keys")
+    edge = (levels.withColumn("share", (F.lit(TOP_NGRAMS) - above) / F.col("keys")).filter("share > 0")
+            .groupBy("lang").agg(F.min("n").alias("edge"), F.min_by("share", "n").alias("share")))
+    draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
+    return (counted.join(edge, "lang").filter((F.col("n") > F.col("edge")) | ((F.col("n") == F.col("edge")) & (draw < F.col("share"))))
+            .select("lang", "key"))
+
+
+def train(docs: DataFrame) -> Filters:
+    """Filters of every language of the (text, lang) of ``docs``: of each, the documents with the smallest
+    hashes, about ``SAMPLE_DOCS``, count their n-grams. 64 KB per language reach the driver."""
+    known = (docs.filter("lang is not null and text is not null")
+             .select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+             .withColumn("k", F.xxhash64("lang")))
+    sizes = cut(known.groupBy("k", "lang").agg(F.count(F.lit(1)).alias("n_docs")))
+    names = sorted(r["lang"] for r in sizes.toLocalIterator())
+    few = sizes.groupBy("k").agg(F.sum("n_docs").alias("n_docs"))
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    sample = (known.filter(F.col("lang").isin(names)).filter(F.coalesce(draw, F.lit(0.0)) < share[F.col("lang")])
-              .select(index[F.col("lang")].alias("lang"), F.col("text").cast("string").alias("text")))
+    sample = (known.join(checked(sizes, few, columns=2), "k").filter(F.coalesce(draw, F.lit(0.0)) * F.col("n_docs") < SAMPLE_DOCS)
+              .select("lang", "text"))
 
-    def run(batches):
+    def count(batches):
         for batch in batches:
-            langs = batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
+            names, langs = np.unique(batch.column(0).to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
             for s in tb.slices(batch.column(1)):
                 keys, text = _ngrams(s)
-                tagged, n = np.unique(langs[s.first + text] << np.uint64(32) | keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array((tagged >> np.uint64(32)).astype(np.int32)),
+                tagged, n = np.unique(langs[s.first + text].astype(np.uint64) << np.uint64(32) | keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(names[(tagged >> np.uint64(32)).astype(np.int64)], pa.string()),
                                                   pa.array((tagged & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n)],
                                                  names=["lang", "key", "n"])
 
-    counted = sample.mapInArrow(run, "lang int, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    best = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key"))
-    # n-grams of one occurrence are noise where there are many; a small table keeps all
-    top = counted.withColumn("r", best).filter(F.col("r") <= TOP_NGRAMS).select("lang", "key").toPandas()
-    return Filters(names, [top.key[top.lang == i].to_numpy(np.int64).astype(np.uint32) for i in range(len(names))])
+    def pack(rows: pa.Table) -> pa.Table:  # about TOP_NGRAMS numbers
+        keys = rows.column("key").to_numpy().astype(np.uint32)
+        return pa.table({"lang": rows.column("lang")[:1].cast(pa.string()), "bits": pa.array([bloom(keys)], pa.binary())})
 
+    counted = cut(sample.mapInArrow(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")))
+    packed = _top_ngrams(counted).groupBy("lang").applyInArrow(pack, "lang string, bits binary")
+    filters = {r["lang"]: bytes(r["bits"]) for r in packed.toLocalIterator()}
+    discard(counted)
+    discard(sizes)
+    return Filters(names, [filters.get(name, bloom(np.zeros(0, np.uint32))) for name in names])
 
-def predict(docs: DataFrame, filters: Filters) -> DataFrame:
-    """doc_id, lang_pred and score of every row; ``und`` (score 0) without a letter."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(filters)  # a fixed 4 MB, whatever the corpus
 
-    def run(batches):
-        model = shared.value
-        names = np.array([*model.languages, "und"], object)
-        for batch in batches:
-            lettered = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for s in tb.slices(batch.column(1)):
-                share = model.shares(s)
-                total = share.sum(axis=1)
-                score = np.max(share, axis=1, initial=0) / np.where(total > 0, total, 1)
-                # a text with letters always gets a learned language, if there is one
-                best = share.argmax(axis=1) if len(model.languages) else np.zeros(s.n, int)
-                some = lettered[s.first:s.first + s.n] & bool(len(model.languages))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(s.first, s.n), pa.array(names[np.where(some, best, len(names) - 1)], pa.string()),
-                     pa.array(np.where(some, score, 0.0))], names=["doc_id", "lang_pred", "score"])
+def predict(docs: DataFrame, filters: Filters) -> DataFrame:
+    """doc_id, lang_pred and score of every row; ``und`` (score 0) without a letter.
 
-    text = F.col("text").cast("string")
+    A pass over the texts broadcasts at most ``WORDS_PER_PASS`` words (64 MB for 1 024 languages); each further
+    1 024 languages take a pass of their own, which goes on from the best language so far and the sum of shares.
+    """
+    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return (docs.select("doc_id", text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-            .mapInArrow(run, f"doc_id {kind}, lang_pred string, score double"))
+    text = F.col("text").cast("string")
+    state = (docs.select("doc_id", text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+             .withColumns({"lang_pred": F.lit("und"), "best": F.lit(-1.0), "total": F.lit(0.0)}))
+
+    def judged_by(shared, columns):
+        def run(batches):
+            model = shared.value
+            names = np.array(model.languages, object)
+            for batch in batches:
+                lettered = batch.column("lettered").to_numpy(zero_copy_only=False).astype(bool)
+                for s in tb.slices(batch.column("text")):
+                    own = batch.slice(s.first, s.n)
+                    share = model.shares(s)
+                    best, total = own.column("best").to_numpy(), own.column("total").to_numpy()
+                    # a text with letters always gets a learned language, if there is one
+                    better = lettered[s.first:s.first + s.n] & (share.max(axis=1) > best)
+                    pred = np.where(better, names[share.argmax(axis=1)], own.column("lang_pred").to_numpy(zero_copy_only=False))
+                    out = {"doc_id": own.column("doc_id"), "text": own.column("text"), "lettered": own.column("lettered"),
+                           "lang_pred": pa.array(pred, pa.string()), "best": pa.array(np.where(better, share.max(axis=1), best)),
+                           "total": pa.array(total + share.sum(axis=1))}
+                    yield pa.RecordBatch.from_pydict({c: out[c] for c in columns})
+        return run
+
+    schema = {"doc_id": kind, "lettered": "boolean", "lang_pred": "string", "best": "double", "total": "double"}
+    parts = filters.passes()
+    for i, part in enumerate(parts):
+        kept = schema if i == len(parts) - 1 else {**schema, "text": "string"}  # the last pass leaves the text behind
+        state = state.mapInArrow(judged_by(spark.sparkContext.broadcast(part), list(kept)), ", ".join(f"{c} {t}" for c, t in kept.items()))
+    score = F.when(F.col("total") > 0, F.greatest("best", F.lit(0.0)) / F.col("total")).otherwise(0.0)
+    return state.select("doc_id", "lang_pred", F.when(F.col("lettered"), score).otherwise(0.0).alias("score"))
 
 
 def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
