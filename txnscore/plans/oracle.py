@@ -261,6 +261,7 @@ SQL["average_vectors"] = with_views(""", pairs AS (SELECT user_id, CAST(k AS BIG
 SQL["stream_ingest"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 SQL["stream_score_sink"] = with_views("""SELECT event_id, prediction, round(fraud_probability, 6) AS fraud_probability,
     predicted_fraud, is_high_risk FROM scored WHERE event_id % 11 <> 0 AND event_id % 17 <> 0""", "scored")
+SQL["stream_topic_once"] = SQL["stream_score_sink"]
 SQL["stream_batch_kpis"] = with_views("""SELECT count(*) AS n, count(*) FILTER (WHERE predicted_fraud) AS n_fraud,
     count(*) FILTER (WHERE is_high_risk) AS n_high_risk,
     (SELECT count(*) FROM events WHERE event_id % 11 = 0 OR event_id % 17 = 0) AS n_quarantined,

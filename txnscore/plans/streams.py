@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +15,10 @@ from ..session import scratch_path
 from ..sources.publish import JSON_OPTIONS, publish_json
 from ..sources.tables import read_table
 from ..streaming import rates
-from ..streaming.scoring import ScoringOutputs, categories_from_model, kpi_totals, read_kpis, run_to_completion, start_scoring
+from ..streaming.scoring import (ScoringOutputs, categories_from_model, kpi_totals, make_batch_processor, read_kpis, run_to_completion,
+                                 start_scoring)
 from ..streaming.sources import message_stream, table_stream
+from ..streaming.topic import distinct_stream, topic_stream
 from ..operators.scoring import with_score_flags
 from .ml import _scoring_model
 from .registry import register
@@ -69,8 +72,12 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1 + FE7 + IO6 + PR7: messages -> parse -> score -> flags -> JSON sink; read back."""
     outputs = _score_stream(spark, sf_dir)
+    return _scored_fields(spark.read.text(outputs.scored))
+
+
+def _scored_fields(messages: DataFrame) -> DataFrame:
     j = F.col("value")
-    return spark.read.text(outputs.scored).select(
+    return messages.select(
         F.get_json_object(j, "$.event_id").cast("long").alias("event_id"),
         F.get_json_object(j, "$.prediction").cast("double").alias("prediction"),
         round6(F.get_json_object(j, "$.fraud_probability").cast("double")).alias("fraud_probability"),
@@ -78,6 +85,41 @@ def q_stream_score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object(j, "$.is_high_risk").cast("boolean").alias("is_high_risk"))
 
 
+def _replayed_topic(spark: SparkSession, sf_dir: str) -> str:
+    """A topic that the scoring service wrote in two runs: the first one ends after it has written its first batch and
+    before the batch is committed, the second one replays that batch and goes on."""
+    src, ckpt, topic = _publish(spark, read_table(spark, sf_dir, "events")), scratch_path(spark, "ckpt-topic"), scratch_path(spark, "topic")
+    outputs = ScoringOutputs(scored=scratch_path(spark, "scored"), quarantine=scratch_path(spark, "quarantine"),
+                             kpis=scratch_path(spark, "kpis"), topic=topic)
+    process = make_batch_processor(EVENT_SCHEMA, REQUIRED, lambda df: scored_from(ev_from(df)), outputs, "scoring",
+                                   drop_cols=("rawPrediction", "probability"))
+    stop = "stopped before the batch was committed"
+
+    def process_and_stop(batch: DataFrame, batch_id: int) -> None:
+        process(batch, batch_id)
+        raise RuntimeError(stop)
+
+    for body in (process_and_stop, process):
+        stream = message_stream(spark, "files", path=src, max_files_per_trigger=FILES_PER_TRIGGER)
+        q = (stream.writeStream.queryName("topic").option("checkpointLocation", ckpt).trigger(**AVAILABLE_NOW).foreachBatch(body).start())
+        try:
+            run_to_completion(q)
+        except StreamingQueryException as e:
+            if body is process or stop not in str(e):
+                raise
+    return topic
+
+
+@register("stream_topic_once")
+def q_stream_topic_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO6: the scored messages of a topic that holds a replayed batch twice, read as a stream that keeps one per key."""
+    topic, out = _replayed_topic(spark, sf_dir), scratch_path(spark, "once")
+    q = (distinct_stream(topic_stream(spark, topic, FILES_PER_TRIGGER)).writeStream.queryName("once").format("parquet")
+         .option("checkpointLocation", scratch_path(spark, "ckpt-once")).trigger(**AVAILABLE_NOW).start(out))
+    run_to_completion(q)
+    return _scored_fields(spark.read.parquet(out))
+
+
 @register("stream_batch_kpis")
 def q_stream_batch_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST3 + IO7: per-batch KPI rows (idempotent by batch id), summed over batches."""

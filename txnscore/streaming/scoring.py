@@ -4,7 +4,7 @@ Each micro-batch is parsed once, split into valid and quarantined rows, scored o
 persisted; the batch then fans out to the scored-message sink, the quarantine table and one KPI
 row. Every output is written under ``batch_id=<id>`` with overwrite, so a batch replayed after a
 failure replaces its own output instead of adding to it (exactly-once effect over at-least-once
-delivery). Input rows = scored rows + quarantined rows for every batch.
+delivery). A topic gets a replayed batch twice, under the same message keys (``topic.py``). Input rows = scored rows + quarantined rows for every batch.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from ..functions.columns import approval_rate
 from ..operators.prepare import CORRUPT, parse_json, quarantine_reason
 from ..schema import SINK_TRIGGER
 from ..sources.publish import to_json_messages
+from .topic import append_messages, keyed_messages
 
 
 @dataclass
@@ -31,6 +32,7 @@ class ScoringOutputs:
     quarantine: str              # rows set aside with a reason, parquet, by batch_id
     kpis: str                    # one KPI row per batch, parquet, by batch_id
     kafka: dict | None = None    # optional Kafka sink options for the scored messages
+    topic: str | None = None     # optional append-only message table, standing in for a topic
 
 
 def _write_batch(df: DataFrame, root: str, batch_id: int, fmt: str) -> None:
@@ -93,7 +95,8 @@ def make_batch_processor(schema: str, required: list[str], scorer: Callable[[Dat
             good = parsed.where(F.col("reason").isNull()).drop("reason", CORRUPT, "json")
             bad = parsed.where(F.col("reason").isNotNull()).select("json", "reason")
             scored = scorer(good).drop(*drop_cols)
-            if outputs.kafka:
+            to_topic = bool(outputs.kafka or outputs.topic)
+            if to_topic:
                 scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
             kpi_obs = Observation(f"{query_name}_kpi_{batch_id}_{int(started * 1e6)}")
             observed = scored.observe(kpi_obs, F.count(F.lit(1)).alias("n"),
@@ -101,10 +104,13 @@ def make_batch_processor(schema: str, required: list[str], scorer: Callable[[Dat
                                       F.count_if(F.col(high_risk_col)).alias("n_high_risk"))
             try:
                 _write_batch(to_json_messages(observed), outputs.scored, batch_id, "text")
+                messages = keyed_messages(to_json_messages(scored), query_name, batch_id)
                 if outputs.kafka:
-                    to_json_messages(scored).write.format("kafka").options(**outputs.kafka).save()
+                    messages.write.format("kafka").options(**outputs.kafka).save()
+                if outputs.topic:
+                    append_messages(messages, outputs.topic)
             finally:
-                if outputs.kafka:
+                if to_topic:
                     scored.unpersist()
             bad_obs = Observation(f"{query_name}_bad_{batch_id}_{int(started * 1e6)}")
             _write_batch(bad.observe(bad_obs, F.count(F.lit(1)).alias("n")), outputs.quarantine, batch_id,
