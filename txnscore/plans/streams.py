@@ -114,7 +114,7 @@ def _replayed_topic(spark: SparkSession, sf_dir: str) -> str:
 def q_stream_topic_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO6: the scored messages of a topic that holds a replayed batch twice, read as a stream that keeps one per key."""
     topic, out = _replayed_topic(spark, sf_dir), scratch_path(spark, "once")
-    q = (distinct_stream(topic_stream(spark, topic, FILES_PER_TRIGGER)).writeStream.queryName("once").format("parquet")
+    q = (distinct_stream(topic_stream(spark, topic)).writeStream.queryName("once").format("parquet")
          .option("checkpointLocation", scratch_path(spark, "ckpt-once")).trigger(**AVAILABLE_NOW).start(out))
     run_to_completion(q)
     return _scored_fields(spark.read.parquet(out))

@@ -30,12 +30,9 @@ def append_messages(messages: DataFrame, path: str) -> None:
     messages.withColumn("timestamp", F.current_timestamp()).write.mode("append").parquet(path)
 
 
-def topic_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The appended table as a stream, file by file."""
-    r = spark.readStream.schema(MESSAGE_SCHEMA)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(path)
+def topic_stream(spark: SparkSession, path: str, max_bytes_per_trigger: int = 256 << 20) -> DataFrame:
+    """The appended table as a stream. A micro-batch is bounded by bytes, since a writer may leave many small files."""
+    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxBytesPerTrigger", str(max_bytes_per_trigger)).parquet(path)
 
 
 def _identity(key: str) -> Column:
