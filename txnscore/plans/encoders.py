@@ -24,13 +24,14 @@ def q_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("hash_tokens")
 def q_hash_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FE4: entity keys split on '_' and hashed into 1000 buckets (term counts)."""
+    """FE4: entity keys split on '_' and hashed into 1000 buckets; ``buckets`` lists bucket:count by bucket."""
     prepared = prep.prepare(txn(spark, sf_dir), ident(spark, sf_dir), TXN_COLUMNS)
     stages = [fe.tokenizer_stage("entity_id", "entity_tokens", "_"),
               fe.hashing_stage("entity_tokens", "entity_hashed")]
     h = Pipeline(stages=stages).fit(prepared).transform(prepared)
     return h.select("txn_id", "entity_id", F.size("entity_tokens").alias("n_tokens"),
-                    fe.vector_entry_sum("entity_hashed").alias("count_sum"))
+                    fe.vector_entry_sum("entity_hashed").alias("count_sum"),
+                    fe.vector_entry_text("entity_hashed").alias("buckets"))
 
 
 @register("index_categories")
@@ -52,12 +53,15 @@ def q_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("assemble_features")
 def q_assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FE6: numeric + hashed entity + indexed category -> one vector; width and entry sum."""
+    """FE6: numeric + hashed entity + indexed category -> one vector: width, sum of the entries, positions of
+    the entries other than zero, and the sum of the entries times their place (1, 2, ...)."""
     m = ml_events(spark, sf_dir)
     pipe = fe.feature_pipeline(["value", "k"], ["user_bucket"], "entity_id", None)
     out = pipe.fit(m).transform(m)
     return out.select("event_id", fe.vector_width("features").alias("width"),
-                      round6(fe.vector_entry_sum("features")).alias("entries_sum"))
+                      round6(fe.vector_entry_sum("features")).alias("entries_sum"),
+                      F.array_join(fe.vector_nonzero_indices("features").cast("array<string>"), ",").alias("positions"),
+                      round6(fe.vector_place_sum("features")).alias("place_sum"))
 
 
 @register("average_vectors")

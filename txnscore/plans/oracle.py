@@ -232,8 +232,32 @@ SQL["counter_rate_1m"] = _counter_rate(120, "event_type, ts")
 SQL["tokenize"] = """SELECT p_partkey, CAST(pos - 1 AS INTEGER) AS pos, token FROM (
     SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token,
       unnest(generate_series(1, len(string_split(p_name, ' ')))) AS pos FROM part WHERE p_name IS NOT NULL)"""
-SQL["hash_tokens"] = with_views("""SELECT txn_id, entity_id, CAST(len(string_split(entity_id, '_')) AS INTEGER) AS n_tokens,
-    CAST(len(string_split(entity_id, '_')) AS DOUBLE) AS count_sum FROM prepared""", "prepared")
+def _token_buckets(source: str, n: int) -> str:
+    """CTEs up to ``bucketed`` (token, bucket): the 32-bit Murmur3 of a token's (ASCII) bytes, seed 42, as a signed number
+    modulo ``n``. Blocks of four bytes are little-endian; the last 0 to 3 bytes are a block of their own."""
+    mask, low = 4294967295, "::UBIGINT"
+    byte = lambda at: f"ascii(substr(token, CAST({at} AS BIGINT), 1))::UBIGINT"
+    word = lambda at: " + ".join(f"{byte(f'{at} + {j}')} * {256 ** j}{low}" for j in range(4))
+    rotl = lambda x, r: f"((({x}) << {r}) & {mask}{low}) | (({x}) >> {32 - r})"
+    times = lambda x, c: f"((({x}) * {c}{low}) & {mask}{low})"
+    scrambled = lambda x: times(rotl(times(x, 3432918353), 15), 461845907)
+    return f"""toks AS (SELECT DISTINCT unnest(string_split(entity_id, '_')) AS token FROM {source}),
+  blocks AS (SELECT token, list_prepend(42{low}, list_transform(range(0, length(token) // 4), lambda i: {scrambled(word('4 * i + 1'))})) AS ks,
+      {scrambled(word('4 * (length(token) // 4) + 1'))} AS tail FROM toks),
+  body AS (SELECT token, tail, list_reduce(ks, lambda h, k: ({times(rotl('xor(h, k)', 13), 5)} + 3864292196{low}) & {mask}{low}) AS h FROM blocks),
+  f0 AS (SELECT token, xor(xor(h, tail), length(token){low}) AS h FROM body),
+  f1 AS (SELECT token, {times('xor(h, h >> 16)', 2246822507)} AS h FROM f0),
+  f2 AS (SELECT token, {times('xor(h, h >> 13)', 3266489909)} AS h FROM f1),
+  f3 AS (SELECT token, xor(h, h >> 16)::BIGINT AS h FROM f2),
+  bucketed AS (SELECT token, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END % {n}) + {n}) % {n} AS bucket FROM f3)"""
+
+
+SQL["hash_tokens"] = with_views(f""", {_token_buckets("prepared", 1000)},
+  pos AS (SELECT txn_id, unnest(string_split(entity_id, '_')) AS token FROM prepared),
+  counts AS (SELECT txn_id, bucket, count(*) AS c FROM pos JOIN bucketed USING (token) GROUP BY 1, 2),
+  texts AS (SELECT txn_id, string_agg(bucket || ':' || c, ',' ORDER BY bucket) AS buckets FROM counts GROUP BY 1)
+  SELECT txn_id, entity_id, CAST(len(string_split(entity_id, '_')) AS INTEGER) AS n_tokens,
+    CAST(len(string_split(entity_id, '_')) AS DOUBLE) AS count_sum, buckets FROM prepared JOIN texts USING (txn_id)""", "prepared")
 SQL["index_categories"] = with_views("""SELECT event_type, n,
     CAST(row_number() OVER (ORDER BY n DESC, event_type ASC) - 1 AS DOUBLE) AS event_type_index
   FROM (SELECT event_type, count(*) AS n FROM ev WHERE event_type IS NOT NULL GROUP BY 1)""", "ev")
@@ -244,10 +268,17 @@ SQL["one_hot"] = with_views(""", idx AS (SELECT event_type,
   SELECT e.event_id, idx.event_type_index,
     CASE WHEN idx.event_type_index = n_labels - 1 THEN NULL ELSE idx.event_type_index END AS hot_index
   FROM ev e JOIN idx USING (event_type)""", "ev")
-SQL["assemble_features"] = with_views(""", ub AS (SELECT CAST(user_id % 5 AS VARCHAR) AS ub, count(*) AS n FROM ev GROUP BY 1),
-  ubi AS (SELECT ub, CAST(row_number() OVER (ORDER BY n DESC, ub ASC) - 1 AS DOUBLE) AS idx FROM ub)
-  SELECT event_id, 1003 AS width, round(value + k + idx + 3, 6) AS entries_sum
-  FROM ev JOIN ubi ON CAST(user_id % 5 AS VARCHAR) = ubi.ub""", "ev")
+SQL["assemble_features"] = with_views(f""", ub AS (SELECT CAST(user_id % 5 AS VARCHAR) AS ub, count(*) AS n FROM ev GROUP BY 1),
+  ubi AS (SELECT ub, CAST(row_number() OVER (ORDER BY n DESC, ub ASC) - 1 AS DOUBLE) AS idx FROM ub),
+  x AS (SELECT event_id, value, k, idx, concat_ws('_', user_id, k, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE))) AS entity_id
+    FROM ev JOIN ubi ON CAST(user_id % 5 AS VARCHAR) = ubi.ub),
+  {_token_buckets("x", 1000)},
+  pos AS (SELECT event_id, unnest(string_split(entity_id, '_')) AS token FROM x),
+  entries AS (SELECT event_id, 0 AS i, value AS v FROM x UNION ALL SELECT event_id, 1, k FROM x UNION ALL SELECT event_id, 1002, idx FROM x
+    UNION ALL SELECT event_id, 2 + bucket, count(*) FROM pos JOIN bucketed USING (token) GROUP BY 1, 2)
+  SELECT event_id, 1003 AS width, round(sum(v::DOUBLE), 6) AS entries_sum,
+    coalesce(string_agg(i::VARCHAR, ',' ORDER BY i) FILTER (WHERE v <> 0), '') AS positions,
+    round(sum((i + 1) * v::DOUBLE), 6) AS place_sum FROM entries GROUP BY 1""", "ev")
 SQL["average_vectors"] = with_views(""", pairs AS (SELECT user_id, CAST(k AS BIGINT) AS vec_id, count(*) AS c FROM ev GROUP BY 1, 2),
   tok AS (SELECT user_id, sum(c) AS n FROM pairs GROUP BY 1),
   dims AS (SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS dim, unnest(embedding) AS x FROM embeddings),
