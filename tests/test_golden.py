@@ -30,6 +30,29 @@ def test_tokens_and_hash_buckets(spark):
     assert r.s == 3.0
 
 
+def test_vector_entries_as_text_and_by_place(spark):
+    """Counts by bucket, zeros left out, the same for sparse and dense vectors; an empty vector is an empty text."""
+    from pyspark.ml.linalg import Vectors
+    rows = [(0, Vectors.sparse(6, [1, 4], [2.0, 1.0])), (1, Vectors.dense([0.0, 2.0, 0.0, 0.0, 1.0, 0.0])),
+            (2, Vectors.sparse(6, [], [])), (3, Vectors.sparse(6, [1, 4], [0.0, 3.0]))]
+    df = spark.createDataFrame(rows, ["id", "v"])
+    got = {r.id: (r.t, r.s) for r in df.select("id", fe.vector_entry_text("v").alias("t"), fe.vector_place_sum("v").alias("s")).collect()}
+    assert got == {0: ("1:2,4:1", 9.0), 1: ("1:2,4:1", 9.0), 2: ("", 0.0), 3: ("4:3", 15.0)}
+
+
+def test_event_time_of_the_numeric_timestamp(spark):
+    import datetime as dt
+    from txnscore.functions.columns import event_time
+    df = spark.createDataFrame([(1627902149.0,), (0.0,), (-0.5,), (None,)], "t double")
+    for zone in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = [r.e for r in df.select(event_time("t").alias("e")).collect()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == [dt.datetime(2021, 8, 2, 11, 2, 29), dt.datetime(1970, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59), None]
+
+
 def test_probability_from_margin(spark):
     p1 = spark.range(1).select(probability_from_margin(F.lit(-1.4997453800075105)).alias("p")).first().p
     assert math.isclose(1 - p1, 0.9525511157580744, rel_tol=1e-12)

@@ -45,3 +45,24 @@ def test_sql_over_the_node_table_scores_like_the_model(spark, tmp_path, kind):
         assert (margin > 0 if kind == "boosted" else share > 0.5) == bool(r.p)
         if kind == "forest":
             assert abs(share - r.p1) < 1e-12
+
+
+def test_forest_by_joins_scores_like_the_model(spark, monkeypatch):
+    """Leaves reached through one join per level, broadcast or not; NaN goes right; one tree of one leaf."""
+    rows = ml_events(spark, SF_SMALL).withColumn("value", F.when(F.col("event_id") % 9 == 0, float("nan")).otherwise(F.col("value")))
+    rows = StringIndexer(inputCol="user_bucket", outputCol="u").fit(rows).transform(rows)
+    rows = VectorAssembler(inputCols=["value", "k", "u"], outputCol="features", handleInvalid="keep").transform(rows)
+    clean = rows.filter("not isnan(value)")
+    model = models.random_forest("is_fraud", num_trees=5, max_depth=5, weight_col=None).fit(clean)
+    nodes = trees.node_table(spark, model)
+    want = {r.event_id: r.p for r in model.transform(rows).select("event_id", vector_to_array("probability")[1].alias("p")).collect()}
+    for limit in (trees.BROADCAST_NODES, 0):
+        monkeypatch.setattr(trees, "BROADCAST_NODES", limit)
+        leaves = trees.leaves_by_joins(rows, nodes, model, "event_id")
+        assert leaves.count() == 5 * len(want)
+        got = {r.event_id: r.fraud_probability for r in trees.forest_probability(leaves, "event_id").collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    stump = models.random_forest("is_fraud", num_trees=1, max_depth=0, weight_col=None).fit(clean)
+    leaves = trees.leaves_by_joins(rows, trees.node_table(spark, stump), stump, "event_id")
+    assert leaves.count() == len(want)
+    assert trees.leaves_by_joins(rows.limit(0), nodes, model, "event_id").count() == 0

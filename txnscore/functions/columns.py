@@ -28,6 +28,12 @@ def event_timestamp(offset_seconds: str | Column, base: int = BASE_EPOCH_SECONDS
     return F.lit(base).cast("long") + _c(offset_seconds).cast("long")
 
 
+def event_time(event_timestamp: str | Column) -> Column:
+    """The numeric event timestamp (epoch seconds) as a TIMESTAMP_NTZ for windows and ranges; fractions of a
+    second are cut, a null stays null."""
+    return ntz_from_epoch_seconds(F.floor(_c(event_timestamp)).cast("long"))
+
+
 def entity_key(card: str | Column, addr: str | Column, offset_seconds: str | Column,
                day_offset: str | Column) -> Column:
     """``card _ addr _ floor(offset/86400 - day_offset)``, e.g. ``10409_170.0_-206``."""

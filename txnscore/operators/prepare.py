@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import entity_key, event_timestamp
+from ..functions.columns import entity_key, event_time, event_timestamp
 from ..schema import (ENTITY_DAY_COLUMN, LABEL, NUMERIC_FILL, OFFSET_COLUMNS, SECONDS_PER_DAY,
                       SELECTED_FEATURES, STRING_FILL)
 from ..session import ensure_checkpoint_dir
@@ -79,6 +79,11 @@ def with_event_timestamp(df: DataFrame, cols: TxnColumns = REFERENCE_COLUMNS) ->
     return df.withColumn(cols.event_timestamp, event_timestamp(cols.offset_seconds))
 
 
+def with_event_time(df: DataFrame, cols: TxnColumns = REFERENCE_COLUMNS, name: str = "event_time") -> DataFrame:
+    """``df`` with the numeric event timestamp (a model feature) repeated as a time column ``name``, for windows."""
+    return df.withColumn(name, event_time(cols.event_timestamp))
+
+
 def with_entity_key(df: DataFrame, cols: TxnColumns = REFERENCE_COLUMNS) -> DataFrame:
     """PR5: ``card _ addr _ floor(day - D1)``; run after ``fill_missing`` like the reference."""
     return df.withColumn(cols.entity_id,

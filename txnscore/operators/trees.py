@@ -3,6 +3,7 @@
 A saved ensemble keeps its nodes as rows. ``node_table`` gives them in a plain form that any SQL engine can
 walk; ``score_with_trees`` walks every tree of the ensemble for every row inside one projection, without a
 model object: the ensemble is a scalar subquery of one value, as large as the model and independent of the data.
+``leaves_by_joins`` walks by one join per level, for ensembles too large to be one value.
 """
 
 from __future__ import annotations
@@ -74,3 +75,41 @@ def score_with_trees(df: DataFrame, nodes: DataFrame, model, features: str = "fe
     out = out.withColumn("prediction", prediction.cast("double")).withColumn("fraud_probability", probability)
     return (out.withColumn("predicted_fraud", fraud_flag("prediction")).withColumn("is_high_risk", high_risk_flag("fraud_probability"))
             .drop("__trees", "__values", "__sum"))
+
+
+#: Nodes of an ensemble that may be broadcast to the rows (a node takes about 100 bytes).
+BROADCAST_NODES = 1_000_000
+
+
+def leaves_by_joins(df: DataFrame, nodes: DataFrame, model, key: str, features: str = "features") -> DataFrame:
+    """(key, tree, weight, prediction, class_counts) of the leaf that each row reaches in each tree.
+
+    The walk is one equi join with the node table per level, so a large ensemble (a forest of 100 deep trees) is
+    shared by the rows of a task and no row carries it. The node table is as large as the model; up to
+    ``BROADCAST_NODES`` nodes, counted by the model, are broadcast, beyond that the join is left to Spark. A value of
+    NaN goes right at a threshold, as in ``score_with_trees``.
+    """
+    depth = max((t.depth for t in model.trees), default=0)
+    table = nodes.select("tree", F.col("node").alias("at"), "left", "right", "feature", "threshold", "categories", "prediction",
+                         "class_counts", "weight")
+    inner, ends = table.filter("left >= 0"), table.filter("left < 0")
+    small = model.totalNumNodes <= BROADCAST_NODES
+    side = F.broadcast if small else (lambda t: t)
+    walk = df.select(key, vector_to_array(features).alias("values"),
+                     F.explode(F.sequence(F.lit(0), F.lit(len(model.trees) - 1))).alias("tree"), F.lit(0).alias("at"))
+    step = side(inner.select("tree", "at", "left", "right", "feature", "threshold", "categories"))
+    for _ in range(depth):
+        value = F.get(F.col("values"), F.col("feature"))
+        goes_left = F.when(F.col("categories").isNull(), value <= F.col("threshold")).otherwise(F.array_contains("categories", value))
+        # a row that has reached a leaf finds no inner node and stays
+        walk = walk.join(step, ["tree", "at"], "left").select(
+            key, "values", "tree", F.when(F.col("left").isNull(), F.col("at")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("at"))
+    return (walk.drop("values").join(side(ends.select("tree", "at", "weight", "prediction", "class_counts")), ["tree", "at"])
+            .select(key, "tree", "weight", "prediction", "class_counts"))
+
+
+def forest_probability(leaves: DataFrame, key: str) -> DataFrame:
+    """(key, fraud_probability) of a forest: the trees' weighted mean of the share of class 1 in the reached leaf.
+    All leaves of a row are in one task, so they are added up before the exchange."""
+    share = F.get("class_counts", F.lit(1)) / F.aggregate("class_counts", F.lit(0.0), lambda s, c: s + c)
+    return leaves.groupBy(key).agg((F.sum(F.col("weight") * share) / F.sum("weight")).alias("fraud_probability"))

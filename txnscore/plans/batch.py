@@ -78,8 +78,17 @@ def q_fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("event_timestamp")
 def q_event_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PR4."""
-    return prep.with_event_timestamp(txn(spark, sf_dir), C).select("txn_id", "txn_dt", "event_timestamp")
+    """PR4: the numeric timestamp, and the same as a time."""
+    return prep.with_event_time(prep.with_event_timestamp(txn(spark, sf_dir), C), C).select("txn_id", "txn_dt", "event_timestamp", "event_time")
+
+
+@register("event_time_windows")
+def q_event_time_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PR4 + AG4: prepared transactions per day of their event time: rows, fraud and amount."""
+    timed = prep.with_event_time(_prepared(spark, sf_dir), C)
+    days = timed.groupBy(F.window("event_time", "1 day").alias("w")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("is_fraud").alias("n_fraud"), F.round(F.sum("amount"), 2).alias("amount"))
+    return days.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "n_fraud", "amount")
 
 
 @register("entity_key")

@@ -83,3 +83,18 @@ def q_word2vec_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                             fe.word2vec_stage("tokens", "doc_vector")])
     out = pipe.fit(p).transform(p)
     return out.select("p_partkey", vector_to_array("doc_vector").alias("doc_vector"))
+
+
+@register("word2vec_averages")
+def q_word2vec_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FE2 + FE3: document vectors as averages over the fitted vocabulary table, and whether each agrees with
+    the model's own document vector (within 1e-6 per entry; MLlib adds in single precision)."""
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"]).filter("p_name is not null")
+    model = Pipeline(stages=[fe.tokenizer_stage("p_name", "tokens", " "), fe.word2vec_stage("tokens", "v")]).fit(p)
+    docs = model.transform(p).select("p_partkey", vector_to_array("v").alias("v"))
+    counts = (p.select("p_partkey", F.explode(fe.tokenize("p_name", " ")).alias("word"))
+              .groupBy("p_partkey", "word").agg(F.count(F.lit(1)).alias("c")))
+    vectors = model.stages[-1].getVectors().select("word", vector_to_array("vector").alias("vector"))
+    avg = fe.average_vectors(counts, vectors, "p_partkey", "word", "c", "vector")
+    near = F.forall(F.zip_with("v", "avg_vector", lambda a, b: F.abs(a - b)), lambda d: d < 1e-6)
+    return docs.join(avg, "p_partkey").select("p_partkey", "n_tokens", F.size("avg_vector").alias("width"), near.alias("same_as_model"))

