@@ -18,6 +18,19 @@ def test_a_template_with_a_small_share_of_the_page_is_not_used(spark):
     assert [r.text for r in got.filter("page_id = 9").collect()] == [LONG.strip()]
 
 
+def test_a_page_of_another_layout_keeps_both_parts_and_no_side_part(spark):
+    usual = page(f"<div class='content'><p>{LONG}</p></div><div class='voices'><p>Well said, I think.</p></div>")
+    teaser, story = LONG[:250].strip(), " ".join([LONG.strip()] * 2)
+    rare = page(f"<div class='content'><p>{teaser}</p></div><div class='feature'><p>{story}</p></div>"
+                "<div class='voices'><p>So do I.</p></div>")
+    # the voices of readers are longer than the article here, but stand beside the winner elsewhere
+    loud = page(f"<div class='content'><p>{LONG}</p></div><div class='voices'>{f'<p>{LONG}</p>' * 4}</div>")
+    rows = [(k, "http://a.example/p", usual) for k in range(18)] + [(18, "http://a.example/q", rare), (19, "http://a.example/r", loud)]
+    got = {r.page_id: r.text for r in html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == got[19] == LONG.strip()
+    assert got[18] == f"{teaser}\n\n{story}"
+
+
 def test_headline_and_lead_beside_the_content_are_kept():
     post = page(f"<div class='wrap'><div class='post'><h1>Title</h1><p>The lead.</p><div class='content'><p>{LONG}</p></div></div></div>")
     assert html_extract.extract(post, []) == f"Title\n\nThe lead.\n\n{LONG.strip()}"

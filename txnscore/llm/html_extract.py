@@ -4,17 +4,20 @@ Every page's containers are scored by the text of their blocks, less links; the
 Spark, for its path of generalised tags and classes (digits dropped) on its host. A host's paths
 that win a good share of its pages are its templates, and every page is extracted again from the
 first template that holds a tenth or more of its own best container's score; a page without one keeps
-its own best container. The container is widened to its parent while that adds text outside links.
+its own best container. The container is widened to its parent while that adds text outside links. Where a
+template holds less than half of the page's best score, the page may be of another layout: its own best container
+is kept too, but for the paths that stand beside the winners of the host's pages without winning (its usual side parts).
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import cut
@@ -56,6 +59,10 @@ _SPACE = re.compile(r"\s+")
 TEMPLATE_SHARE = 0.1
 #: Share of the page's own best score that a template must reach on a page to be used there.
 TEMPLATE_SCORE = 0.1
+#: Share of the page's own best score from which a template is taken for the whole article.
+WHOLE_SCORE = 0.5
+#: Share of a host's pages on which a path must stand beside the winner to be one of its side parts.
+SIDE_SHARE = 0.1
 #: Summed bytes of the templates up to which they are broadcast; beyond it, a shuffle join by host.
 MAX_BROADCAST_BYTES = 8_000_000
 
@@ -217,40 +224,65 @@ def _best(found: list, scores: dict[str, float]) -> str:
     return _widened(max(scores, key=lambda k: (scores[k], k)), found)
 
 
-def best_path(page: str) -> str | None:
+def votes(page: str) -> tuple[str | None, list[str]]:
+    """The path of the page's best container, and the paths of the containers beside it (neither in it nor around it)."""
     found = list(blocks(page))
     scores = _containers(found)
-    return _best(found, scores) if scores else None
+    if not scores:
+        return None, []
+    best = _best(found, scores)
+    return best, [p for p, s in scores.items() if s > 0 and not f"{p}/".startswith(f"{best}/") and not f"{best}/".startswith(f"{p}/")]
+
 
+def best_path(page: str) -> str | None:
+    return votes(page)[0]
 
-def extract(page: str, templates: list[str]) -> str:
+
+def extract(page: str, templates: list[str], sides: list[str] = ()) -> str:
     """Blocks under the first template that holds a tenth or more of the page's own best score, else
-    under its own best container, else all."""
+    under its own best container, else all. A template of less than half of that score is joined by what the own best
+    container holds outside ``sides``."""
     found = list(blocks(page))
-    under = lambda wanted: [t for path, t, _ in found if any("/".join(n for n, _ in path[:k]) == wanted for k in range(1, len(path) + 1))]
     scores = _containers(found)
-    least = TEMPLATE_SCORE * max(scores.values(), default=0)
-    for wanted in [*(_widened(t, found) for t in templates if scores.get(t, 0) > 0 and scores[t] >= least), *([_best(found, scores)] if scores else [])]:
-        if texts := under(wanted):
-            return "\n\n".join(texts)
-    return "\n\n".join(t for _, t, _ in found)
+    if not scores:
+        return "\n\n".join(t for _, t, _ in found)
+    keys = [["/".join(n for n, _ in path[:k]) for k in range(1, len(path) + 1)] for path, _, _ in found]
+    own, top, beside = _best(found, scores), max(scores.values()), set(sides)
+    for t in templates:
+        if scores.get(t, 0) > 0 and scores[t] >= TEMPLATE_SCORE * top:
+            wanted = _widened(t, found)
+            both = scores[t] < WHOLE_SCORE * top
+            return "\n\n".join(text for (_, text, _), at in zip(found, keys)
+                               if wanted in at or both and own in at and beside.isdisjoint(at))
+    return "\n\n".join(text for (_, text, _), at in zip(found, keys) if own in at)
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, paths): per host the paths that win a share of its pages, most frequent first."""
+    """(host, paths, sides): per host the paths that win a share of its pages, most frequent first, and the other paths
+    that stand beside the winners on a share of them."""
 
     def vote(batches):
         for batch in batches:
-            paths = [best_path(p) if p else None for p in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], names=["host", "path"])
-
-    votes = pages.select("host", "html").mapInArrow(vote, "host string, path string").filter("path is not null")
-    tally = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy("host"))
-    # at most 1 / TEMPLATE_SHARE paths remain per host
-    good = tally.withColumn("total", total).filter(F.col("n") >= TEMPLATE_SHARE * F.col("total"))
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("votes"), "path")))
-    return good.groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("paths"))
+            won, beside = Counter(), Counter()
+            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                best, others = votes(page) if page else (None, [])
+                if best is not None:
+                    won[host, best] += 1
+                    beside.update((host, p) for p in others)
+            keys = list(won.keys() | beside.keys())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.string()),
+                 pa.array([won[k] for k in keys], pa.int64()), pa.array([beside[k] for k in keys], pa.int64())], names=["host", "path", "won", "beside"])
+
+    counts = pages.select("host", "html").mapInArrow(vote, "host string, path string, won long, beside long")
+    tally = cut(counts.groupBy("host", "path").agg(F.sum("won").alias("n"), F.sum("beside").alias("b")))
+    totals = tally.groupBy("host").agg(F.sum("n").alias("total"))
+    # at most 1 / TEMPLATE_SHARE winners remain per host, and of the side parts those of a page, 1 / SIDE_SHARE times
+    good = tally.join(totals, "host").withColumn("wins", F.col("n") >= TEMPLATE_SHARE * F.col("total")).filter(
+        F.col("wins") | (F.col("b") >= SIDE_SHARE * F.col("total")))
+    ranked = F.sort_array(F.collect_list(F.when(F.col("wins"), F.struct((-F.col("n")).alias("votes"), "path"))))
+    return good.groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("paths"),
+                                    F.sort_array(F.collect_list(F.when(~F.col("wins"), F.col("path")))).alias("sides"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -264,13 +296,13 @@ def main_text(pages: DataFrame) -> DataFrame:
     host: Column = host_and_path(F.col("url").cast("string"))[0]
     rows = pages.select("page_id", "url", host.alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     templates = cut(host_templates(rows).withColumnRenamed("host", "h"))
-    size = templates.agg(F.sum(F.octet_length("h") + F.octet_length(F.array_join("paths", " ")))).first()[0] or 0
+    size = templates.agg(F.sum(F.octet_length("h") + F.octet_length(F.array_join(F.concat("paths", "sides"), " ")))).first()[0] or 0
     side = F.broadcast(templates) if size <= MAX_BROADCAST_BYTES else templates
-    joined = rows.join(side, F.col("host") == F.col("h"), "left").select("page_id", "url", "html", "paths")
+    joined = rows.join(side, F.col("host") == F.col("h"), "left").select("page_id", "url", "html", "paths", "sides")
 
     def run(batches):
         for batch in batches:
-            texts = [extract(p, t or []) for p, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            texts = [extract(p, t or [], x or []) for p, t, x in zip(*[batch.column(k).to_pylist() for k in (2, 3, 4)])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kinds = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
