@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round6
 from ..schema import DRIVER_TABLES
 from ..session import scratch_path
+from ..sources.files import folder_bytes
 from ..sources.publish import JSON_OPTIONS, publish_json
 from ..sources.tables import read_table
 from ..streaming import rates
@@ -27,7 +28,7 @@ from .views import ev_from, ml_events, scored_from
 EVENT_SCHEMA = DRIVER_TABLES["events"]
 REQUIRED = ["event_id", "ts", "props", "value"]
 RECORDS_PER_FILE = 10000
-FILES_PER_TRIGGER = 8
+BYTES_PER_TRIGGER = 128 << 20
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -44,13 +45,20 @@ def _publish(spark: SparkSession, rows: DataFrame, unseen: str | None = None) ->
     return path
 
 
+def _messages(spark: SparkSession, path: str) -> DataFrame:
+    """The published messages as a stream, in two micro-batches or as many as their bytes need: a batch has fixed costs, so their
+    number must not grow with the files that the writer left."""
+    half = -(-folder_bytes(spark, path) // 2)
+    return message_stream(spark, "files", path=path, max_bytes_per_trigger=max(1, min(BYTES_PER_TRIGGER, half)))
+
+
 def _score_stream(spark: SparkSession, sf_dir: str) -> ScoringOutputs:
     """One run of the scoring service over the whole published input; its sinks (scored
     messages, quarantine, KPI rows) are read by the queries below, like any consumer would."""
     src = _publish(spark, read_table(spark, sf_dir, "events"))
     outputs = ScoringOutputs(scored=scratch_path(spark, "scored"), quarantine=scratch_path(spark, "quarantine"),
                              kpis=scratch_path(spark, "kpis"))
-    stream = message_stream(spark, "files", path=src, max_files_per_trigger=FILES_PER_TRIGGER)
+    stream = _messages(spark, src)
     q = start_scoring(stream, EVENT_SCHEMA, REQUIRED, lambda df: scored_from(ev_from(df)), outputs,
                       checkpoint=scratch_path(spark, "ckpt-scoring"), query_name="scoring",
                       trigger=AVAILABLE_NOW, drop_cols=("rawPrediction", "probability"))
@@ -100,7 +108,7 @@ def _replayed_topic(spark: SparkSession, sf_dir: str) -> str:
         raise RuntimeError(stop)
 
     for body in (process_and_stop, process):
-        stream = message_stream(spark, "files", path=src, max_files_per_trigger=FILES_PER_TRIGGER)
+        stream = _messages(spark, src)
         q = (stream.writeStream.queryName("topic").option("checkpointLocation", ckpt).trigger(**AVAILABLE_NOW).foreachBatch(body).start())
         try:
             run_to_completion(q)
@@ -140,7 +148,7 @@ def q_stream_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.drop("ts", "is_fraud").dtypes)
     score = lambda df: with_score_flags(model.transform(df))
     keep = ["event_id", "prediction", "fraud_probability", "predicted_fraud", "is_high_risk"]
-    q = start_scoring(message_stream(spark, "files", path=src, max_files_per_trigger=FILES_PER_TRIGGER), schema,
+    q = start_scoring(_messages(spark, src), schema,
                       ["event_id", "value", "k", "entity_id", "device_info"], lambda df: score(df).select(*keep), outputs,
                       checkpoint=scratch_path(spark, "ckpt-model"), query_name="model_scoring", trigger=AVAILABLE_NOW,
                       known_categories=categories_from_model(model))

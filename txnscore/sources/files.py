@@ -76,6 +76,12 @@ def file_statuses(spark: SparkSession, paths: list[str]) -> list[list]:
     return out
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a folder."""
+    fs, hpath = _file_system(spark, path)
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file written by the driver (manifests)."""
     fs, hpath = _file_system(spark, path)

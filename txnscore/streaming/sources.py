@@ -24,7 +24,7 @@ def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_tri
 
 def message_stream(spark: SparkSession, source: str, path: str | None = None, servers: str | None = None,
                    topic: str | None = None, max_files_per_trigger: int | None = None,
-                   max_offsets_per_trigger: int | None = None) -> DataFrame:
+                   max_offsets_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """JSON messages as a ``json`` string column, from Kafka (``source='kafka'``) or text files;
     the per-trigger limits keep every micro-batch bounded whatever the backlog."""
     if source == "kafka":
@@ -32,4 +32,6 @@ def message_stream(spark: SparkSession, source: str, path: str | None = None, se
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return r.load(path).withColumnRenamed("value", "json")
