@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import fraud_flag, high_risk_flag
 from ..session import scratch_path
+from .features import vector_nonzeros
 
 
 def node_table(spark: SparkSession, model) -> DataFrame:
@@ -43,14 +44,13 @@ def _ensemble(nodes: DataFrame) -> Column:
 
 
 def _leaf(tree: Column, values: Column, depth: int) -> Column:
-    def step(at: Column, _: Column) -> Column:
-        node = F.get(tree["nodes"], at)
+    def step(node: Column, _: Column) -> Column:  # the node itself is carried: a lambda evaluates its arguments once
         value = F.get(values, node["feature"])
         # NaN is above every threshold
         goes_left = F.when(node["categories"].isNull(), value <= node["threshold"]).otherwise(F.array_contains(node["categories"], value))
-        return F.when(node["left"] < 0, at).when(goes_left, node["left"]).otherwise(node["right"])
+        return F.when(node["left"] < 0, node).otherwise(F.get(tree["nodes"], F.when(goes_left, node["left"]).otherwise(node["right"])))
 
-    return F.get(tree["nodes"], F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.lit(0), step))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.get(tree["nodes"], F.lit(0)), step)
 
 
 def score_with_trees(df: DataFrame, nodes: DataFrame, model, features: str = "features") -> DataFrame:
@@ -87,7 +87,9 @@ def leaves_by_joins(df: DataFrame, nodes: DataFrame, model, key: str, features:
     The walk is one equi join with the node table per level, so a large ensemble (a forest of 100 deep trees) is
     shared by the rows of a task and no row carries it. The node table is as large as the model; up to
     ``BROADCAST_NODES`` nodes, counted by the model, are broadcast, beyond that the join is left to Spark. A value of
-    NaN goes right at a threshold, as in ``score_with_trees``.
+    NaN goes right at a threshold, as in ``score_with_trees``. A row goes through the joins once per tree, so it
+    carries the non-zeros of its vector only, and looks a value up by a higher-order function: that ends the generated
+    code of a level, which for all levels in one would be more than the JVM compiles.
     """
     depth = max((t.depth for t in model.trees), default=0)
     table = nodes.select("tree", F.col("node").alias("at"), "left", "right", "feature", "threshold", "categories", "prediction",
@@ -95,16 +97,16 @@ def leaves_by_joins(df: DataFrame, nodes: DataFrame, model, key: str, features:
     inner, ends = table.filter("left >= 0"), table.filter("left < 0")
     small = model.totalNumNodes <= BROADCAST_NODES
     side = F.broadcast if small else (lambda t: t)
-    walk = df.select(key, vector_to_array(features).alias("values"),
+    walk = df.select(key, vector_nonzeros(features).alias("entries"),
                      F.explode(F.sequence(F.lit(0), F.lit(len(model.trees) - 1))).alias("tree"), F.lit(0).alias("at"))
     step = side(inner.select("tree", "at", "left", "right", "feature", "threshold", "categories"))
     for _ in range(depth):
-        value = F.get(F.col("values"), F.col("feature"))
+        value = F.aggregate("entries", F.lit(0.0), lambda x, e: F.when(e["i"] == F.col("feature"), e["x"]).otherwise(x))
         goes_left = F.when(F.col("categories").isNull(), value <= F.col("threshold")).otherwise(F.array_contains("categories", value))
         # a row that has reached a leaf finds no inner node and stays
         walk = walk.join(step, ["tree", "at"], "left").select(
-            key, "values", "tree", F.when(F.col("left").isNull(), F.col("at")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("at"))
-    return (walk.drop("values").join(side(ends.select("tree", "at", "weight", "prediction", "class_counts")), ["tree", "at"])
+            key, "entries", "tree", F.when(F.col("left").isNull(), F.col("at")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("at"))
+    return (walk.drop("entries").join(side(ends.select("tree", "at", "weight", "prediction", "class_counts")), ["tree", "at"])
             .select(key, "tree", "weight", "prediction", "class_counts"))
 
 
