@@ -5,6 +5,7 @@ import io
 import re
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -77,3 +78,11 @@ def test_micro_batches_do_not_grow_with_the_files(spark, monkeypatch):
     kpis = read_kpis(spark, outputs.kpis)
     assert 2 <= kpis.count() <= 3
     assert kpis.agg(F.sum("n") + F.sum("n_quarantined")).first()[0] == 1000
+
+
+def test_a_new_forest_scores_in_a_session_that_observed(spark):
+    seen = Observation()
+    rows = VectorAssembler(inputCols=["value", "k"], outputCol="features").transform(ml_events(spark, SF_SMALL))
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    model = models.random_forest("is_fraud", num_trees=2, max_depth=2, weight_col=None).fit(rows)
+    assert model.transform(rows).filter("prediction is not null").count() == seen.get["n"]
