@@ -220,6 +220,11 @@ def _widened(wanted: str, found: list) -> str:
     return wanted
 
 
+def _once(found: list) -> list:
+    """The blocks less those whose text stands on the page before."""
+    return list({text: (path, text, linked) for path, text, linked in reversed(found)}.values())
+
+
 def _best(found: list, scores: dict[str, float]) -> str:
     return _widened(max(scores, key=lambda k: (scores[k], k)), found)
 
@@ -241,7 +246,7 @@ def best_path(page: str) -> str | None:
 def extract(page: str, templates: list[str], sides: list[str] = ()) -> str:
     """Blocks under the first template that holds a tenth or more of the page's own best score, else
     under its own best container, else all. A template of less than half of that score is joined by what the own best
-    container holds outside ``sides``."""
+    container holds outside ``sides``, unless that score comes from blocks that the page repeats (teasers)."""
     found = list(blocks(page))
     scores = _containers(found)
     if not scores:
@@ -251,7 +256,7 @@ def extract(page: str, templates: list[str], sides: list[str] = ()) -> str:
     for t in templates:
         if scores.get(t, 0) > 0 and scores[t] >= TEMPLATE_SCORE * top:
             wanted = _widened(t, found)
-            both = scores[t] < WHOLE_SCORE * top
+            both = scores[t] < WHOLE_SCORE * top and scores[t] < WHOLE_SCORE * max(_containers(_once(found)).values())
             return "\n\n".join(text for (_, text, _), at in zip(found, keys)
                                if wanted in at or both and own in at and beside.isdisjoint(at))
     return "\n\n".join(text for (_, text, _), at in zip(found, keys) if own in at)
