@@ -183,3 +183,44 @@ def test_word_spans_match_the_regular_expression(spark):
         for x, y, d in zip(start, end, doc):
             got.setdefault(int(d) + s.first, []).append(raw[x:y].decode())
     assert got == {i: brute.words(t) for i, t in enumerate(texts) if brute.words(t)}
+
+
+def _near_copies(n):
+    """One line in ``n`` copies of one to four new words each, and unlike lines."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60)]
+    texts = {}
+    for k in range(n):
+        copy = list(words)
+        for _ in range(1 + k % 4):
+            copy[rng.randrange(60)] = "".join(rng.choice("klmnopqrst") for _ in range(6))
+        texts[k] = " ".join(copy) + "\n" + " ".join("".join(rng.choice("uvwxyz") for _ in range(6)) for _ in range(20))
+    return texts
+
+
+def test_pairs_of_a_group_of_near_copies_grow_with_its_lines(spark, monkeypatch):
+    from txnscore.llm import line_dedup
+    formed, verified = [], line_dedup.verified_lines
+
+    def counted(pairs, *rest):
+        formed.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(line_dedup, "verified_lines", counted)
+    texts = _near_copies(400)
+    docs = frame(spark, texts).select("doc_id", "text")
+    got = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
+    assert got == brute.dedup_lines(texts, FAMILIES, 80)
+    # 12 bands: every line meets the heads of its buckets, and few others
+    assert sum(formed) <= 16 * 400, formed
+
+
+def test_maps_never_reject_linked_lines(spark):
+    from txnscore.llm.line_dedup import _possible, line_maps
+    lines = [(8, k, t.split("\n")[0]) for k, t in _near_copies(60).items()]
+    maps = line_maps(spark.createDataFrame([(1, k, x) for _, k, x in lines], "family long, id long, line string"), FAMILIES)
+    side = lambda c: maps.select(*[F.col(x).alias(f"{c}_{x}") for x in ("id", "n", "bits")])
+    met = {(r.a_id, r.b_id) for r in side("a").crossJoin(side("b")).filter(_possible("a", "b", 80)).select("a_id", "b_id").collect()}
+    sets = {k: {x[i:i + 8] for i in range(len(x) - 7)} for _, k, x in lines}
+    linked = {(a, b) for a in sets for b in sets if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert linked <= met and len(linked) < len(met) < len(sets) ** 2

@@ -9,23 +9,21 @@ more still links after one changed character. The nodes' one-permutation MinHash
 similarity 0.8 shares a band of 12 x 4 with probability 0.998, one of 0.85 with 0.9999. The bands' buckets are
 formed in numpy on compressed blocks, one per shard of the keys (see ``bucket_members``).
 Candidates are checked by their exact Jaccard similarity, first against the head of each bucket,
-then, in buckets that still hold several components, between the remaining components under an
-exact bound. Components come from distributed union-find; of a component's occurrences the one with the
+then, in buckets that still hold several components, against the most central line of the largest one, last
+between the remaining components under an exact bound (``line_maps``). Components come from distributed union-find; of a component's occurrences the one with the
 smallest (doc_id, line number) stays.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .blocks import bits_for, cuts, pack, shard_of, unpack
-from .graph import checked, components, cross_pairs
+from .graph import MAX_BROADCAST_VALUES, checked, components
 from .tables import cut, discard
 
 #: Bytes of text per numpy pass: small enough for the arrays of a pass to stay in a core's cache.
@@ -44,31 +42,34 @@ MANY_USES = 10_000
 #: Bytes of lines that may be broadcast to the pairs that hold them.
 BROADCAST_BYTES = 1 << 24
 
-#: Lines of a bucket that are compared pair by pair, across components.
-FEW = 128
+#: In buckets of more lines than this the lines first meet the most central one of the largest component.
+FEW = 8
+
+#: Bits of the map of a line's shingles (16 longs): the differing bits of two maps bound the shingles of only one line.
+MAP_BITS = 1 << 10
 
-_BLANK = np.uint8(0x20)
+#: Bytes with A-Z lower-cased and white space as a blank.
+_NORMAL = np.where(tb.IS_SPACE, np.uint8(0x20), tb.LOWER)
 
 
 def _lines(s: tb.Slice):
     """Normalized bytes of a slice, the spans of its lines in them, their text and line number."""
-    newline = s.buf == 0x0A
-    inner = newline.copy()
-    starts = np.union1d(s.offsets[:-1][np.diff(s.offsets) > 0], np.flatnonzero(newline) + 1)
-    starts = starts[starts < len(s.buf)]
-    word_start, _, word_doc = tb.words(s)
-    line_of_word = np.searchsorted(starts, word_start, side="right") - 1
-    first = np.ones(len(word_start), bool)
-    first[1:] = line_of_word[1:] != line_of_word[:-1]
-    keep = ~tb.IS_SPACE[s.buf]
+    space = tb.IS_SPACE[s.buf]
+    newline = np.flatnonzero(s.buf == 0x0A)
+    word_start, word_end = tb.spans(~space, s.offsets)
+    # the first word at or after the start of a line or text
+    first = np.zeros(len(word_start) + 1, bool)
+    first[np.searchsorted(word_start, s.offsets[:-1])] = True
+    first[np.searchsorted(word_start, newline + 1)] = True
+    first = first[:-1]
+    keep = ~space
     keep[word_start[~first] - 1] = True
-    buf = np.where(tb.IS_SPACE[s.buf], _BLANK, tb.LOWER[s.buf])[keep]
-    at = tb.bounds(keep)
-    begin = at[word_start[first]]
+    buf = _NORMAL[s.buf[keep]]
+    opening = np.flatnonzero(first)
+    begin = tb.bounds(word_end - word_start + ~first)[opening]
     end = np.append(begin[1:], len(buf)) if len(begin) else begin
-    doc = word_doc[first]
-    breaks = tb.bounds(inner)
-    number = breaks[word_start[first]] - breaks[s.offsets[doc]]
+    doc = tb.owner(s.offsets, word_start[opening])
+    number = np.searchsorted(newline, word_start[opening]) - np.searchsorted(newline, s.offsets[doc])
     return buf, begin, end, doc, number
 
 
@@ -90,12 +91,16 @@ def _char_values(buf: np.ndarray, chars: np.ndarray) -> np.ndarray:
 def _shingles(buf: np.ndarray, begin: np.ndarray, end: np.ndarray, size: int):
     """Hashes of the ``size``-character shingles of each span (a shorter span is one shingle),
     offsets and owners of the hashes; the spans fill the buffer one after another."""
-    chars = np.flatnonzero((buf & 0xC0) != 0x80)
-    first = np.searchsorted(chars, begin)
+    if len(buf) and buf.max() < 0x80:
+        chars, first, values = buf, begin, _CHAR_VALUES[0][buf]
+    else:
+        chars = np.flatnonzero((buf & 0xC0) != 0x80)
+        first, values = np.searchsorted(chars, begin), _char_values(buf, chars)
     n_chars = np.diff(np.append(first, len(chars)))
     up, down = tb.power_tables(len(chars))
+    values *= up[:-1]
     sums = np.zeros(len(chars) + 1, np.uint64)
-    np.cumsum(_char_values(buf, chars) * up[:-1], out=sums[1:])
+    np.cumsum(values, out=sums[1:])
     line_of_char = np.repeat(np.arange(len(begin)), n_chars)
     if len(chars) >= size:
         # windows over the whole buffer, those across two lines left out
@@ -255,89 +260,160 @@ def _members(key: np.ndarray, node: np.ndarray, head: np.ndarray) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in (key, node, head)], names=["key", "id", "head"])
 
 
-def _pair_sets(column: pa.Array, size: int) -> np.ndarray:
-    """Sorted distinct shingles of a column of single lines: 12 bits for the row, 52 of the hash."""
-    parts = [np.zeros(0, np.uint64)]
-    for s in tb.slices(column, PIECE_BYTES):
-        buf, begin, end, doc, _ = _lines(s)
-        hashes, _, line = _shingles(buf, begin, end, size)
-        row = (s.first + doc[line]).astype(np.uint64)
-        parts.append((row << np.uint64(52)) | (hashes >> np.uint64(12)))
-    out = np.sort(np.concatenate(parts))
-    return out[np.append(True, out[1:] != out[:-1])] if len(out) else out
+def _line_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles (52 bits of the hash) of each value of a column of single lines, and their offsets."""
+    parts, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for lo in range(0, len(column), 1 << 12):
+        for s in tb.slices(column.slice(lo, 1 << 12), PIECE_BYTES):
+            buf, begin, end, doc, _ = _lines(s)
+            hashes, _, line = _shingles(buf, begin, end, size)
+            tagged = np.sort((doc[line].astype(np.uint64) << np.uint64(52)) | (hashes >> np.uint64(12)))
+            tagged = tagged[np.append(True, tagged[1:] != tagged[:-1])] if len(tagged) else tagged
+            parts.append(tagged & np.uint64((1 << 52) - 1))
+            sizes.append(tb.counts((tagged >> np.uint64(52)).astype(np.int64), s.n))
+    return np.concatenate(parts), tb.bounds(np.concatenate(sizes))
 
 
-def _one_line_sets(column: pa.Array, size: int):
-    """Sorted distinct shingles of each value of a column of single lines, and their offsets."""
-    parts = []
-    for s in tb.slices(column):
-        buf, begin, end, doc, _ = _lines(s)
-        hashes, at, _ = _shingles(buf, begin, end, size)
-        got = {int(d): np.unique(hashes[at[i]:at[i + 1]]) for i, d in enumerate(doc)}
-        parts += [got.get(i, hashes[:0]) for i in range(s.n)]
-    return parts
+def _common(items: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Size of the intersection of the sets ``left`` and ``right`` of each of at most 4096 pairs."""
+    def of(index):
+        sizes = at[index + 1] - at[index]
+        into = tb.bounds(sizes)
+        pair = np.repeat(np.arange(len(index)), sizes)
+        return items[np.arange(into[-1]) + (at[index] - into[:-1])[pair]] | (pair.astype(np.uint64) << np.uint64(52))
 
+    both = np.sort(np.concatenate([of(left), of(right)]))
+    return tb.counts((both[1:][both[1:] == both[:-1]] >> np.uint64(52)).astype(np.int64), len(left))
 
-def verified_lines(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose lines' exact shingle sets reach the threshold."""
 
-    def run(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 1 << 12):
-                part = batch.slice(lo, 1 << 12)
-                left, right = _pair_sets(part.column(2), size), _pair_sets(part.column(3), size)
-                both = np.sort(np.concatenate([left, right]))
-                row = lambda x: np.bincount((x >> np.uint64(52)).astype(np.int64), minlength=part.num_rows)
-                common = row(both[1:][both[1:] == both[:-1]])
-                yield part.select([0, 1]).filter(pa.array(100 * common >= percent * (row(left) + row(right) - common)))
+def _each_family(batches, families: tuple):
+    """(family, size of its shingles, rows) of batches whose first column is the number of a family."""
+    for batch in batches:
+        number = batch.column(0).to_numpy()
+        for k, (size, _, _) in enumerate(families):
+            if (rows := np.flatnonzero(number == k)).size:
+                yield k, size, batch.take(pa.array(rows))
 
-    side = lambda c: texts.withColumnsRenamed({"id": c, "line": f"line_{c}"})
-    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "line_a", "line_b")
-            .mapInArrow(run, "a long, b long"))
 
+def verified_lines(pairs: DataFrame, texts: DataFrame, families: tuple, percent: int) -> DataFrame:
+    """Pairs (a, b) of (family, a, b) whose lines' exact shingle sets reach the threshold."""
 
-def line_sets(texts: DataFrame, size: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
-            parts = _one_line_sets(batch.column(1), size)
-            sizes = np.array([len(p) for p in parts], np.int64)
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), tb.lists(flat, tb.bounds(sizes))], names=["id", "n", "items"])
+        for _, size, batch in _each_family(batches, families):
+            # a line that several pairs of the batch hold is read once
+            ids = np.concatenate([batch.column(k).to_numpy() for k in (1, 2)])
+            _, row, line = np.unique(ids, return_index=True, return_inverse=True)
+            items, at = _line_sets(pa.concat_arrays([batch.column(3), batch.column(4)]).take(pa.array(row)), size)
+            n = np.diff(at)
+            left, right = line[:batch.num_rows], line[batch.num_rows:]
+            least, most = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+            possible = np.flatnonzero(100 * least >= percent * most)
+            linked = [np.zeros(0, np.int64)]
+            for lo in range(0, len(possible), 1 << 12):
+                pair = possible[lo:lo + (1 << 12)]
+                common = _common(items, at, left[pair], right[pair])
+                linked.append(pair[100 * common >= percent * (least[pair] + most[pair] - common)])
+            yield batch.select([1, 2]).take(pa.array(np.concatenate(linked)))
 
-    return texts.select("id", "line").mapInArrow(run, "id long, n long, items array<bigint>")
+    side = lambda c: texts.withColumnsRenamed({"id": c, "line": f"line_{c}"})
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("family", "a", "b", "line_a", "line_b")
+            .mapInArrow(run, "a long, b long"))
 
 
-def further_pairs(placed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket that could still join two components, given (key, id, comp).
+def line_maps(texts: DataFrame, families: tuple) -> DataFrame:
+    """(family, id, n, bits) of (family, id, line): the number of a line's distinct shingles, and per bit whether an
+    odd number of them falls on it."""
 
-    In buckets of at most ``FEW`` lines these are the pairs of different components whose sizes allow a
-    link; larger ones form only the pairs that an exact bound on their common items allows.
+    def run(batches):
+        for k, size, batch in _each_family(batches, families):
+            for lo in range(0, batch.num_rows, 1 << 10):
+                part = batch.slice(lo, 1 << 10)
+                items, at = _line_sets(part.column(2), size)
+                line = np.repeat(np.arange(part.num_rows), np.diff(at))
+                odd = np.bincount(line * MAP_BITS + (items % np.uint64(MAP_BITS)).astype(np.int64), minlength=part.num_rows * MAP_BITS) & 1
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(np.diff(at)),
+                     tb.lists(np.packbits(odd.astype(bool)).view(np.uint64), np.arange(part.num_rows + 1) * (MAP_BITS // 64))],
+                    names=["family", "id", "n", "bits"])
+
+    return texts.select("family", "id", "line").mapInArrow(run, "family long, id long, n long, bits array<bigint>")
+
+
+def _apart(a: str, b: str) -> Column:
+    """Bits in which two maps differ: at most the number of shingles that only one of the lines has."""
+    return F.expr(" + ".join(f"bit_count({a}[{k}] ^ {b}[{k}])" for k in range(MAP_BITS // 64)))
+
+
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Whether lines ``{a}_n, {a}_bits`` and ``{b}_n, {b}_bits`` may reach the threshold (exact bounds)."""
+    n_a, n_b = F.col(f"{a}_n"), F.col(f"{b}_n")
+    return ((100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
+            & ((100 + percent) * _apart(f"{a}_bits", f"{b}_bits") <= (100 - percent) * (n_a + n_b)))
+
+
+def central_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (family, a, b) of the lines outside a large bucket's largest component with the most central
+    line of that component: of its lines the one nearest to three of them, so that the least edited of
+    a large group of near copies meets all others. ``placed`` has (key, id, comp, n, bits)."""
+    line = lambda i: F.struct(i.alias("id"), "bits")
+    parts = placed.groupBy("key", "comp").agg(
+        F.count(F.lit(1)).alias("members"), F.min(line(F.col("id"))).alias("p"), F.max(line(F.col("id"))).alias("q"),
+        F.min(line(F.col("id").bitwiseXOR(F.lit(0x2545F4914F6CDD1D)))).alias("r"))
+    main = (parts.groupBy("key").agg(F.max(F.struct("members", F.col("comp").alias("main"), "p", "q", "r")).alias("m"),
+                                     F.count(F.lit(1)).alias("comps"), F.sum("members").alias("size"))
+            .filter((F.col("comps") > 1) & (F.col("size") > FEW)).select("key", "m.main", "m.p", "m.q", "m.r"))
+    away = _apart("bits", "p.bits") + _apart("bits", "q.bits") + _apart("bits", "r.bits")
+    central = (placed.join(main, "key").filter("comp = main").groupBy("key", "main")
+               .agg(F.min(F.struct(away.alias("away"), "id", "n", "bits")).alias("c"))
+               .select("key", "main", F.col("c.id").alias("b"), F.col("c.n").alias("b_n"), F.col("c.bits").alias("b_bits")))
+    return (placed.withColumnsRenamed({"n": "a_n", "bits": "a_bits"}).join(central, "key")
+            .filter((F.col("comp") != F.col("main")) & _possible("a", "b", percent))
+            .select(F.col("key").bitwiseAND(F.lit(3)).alias("family"), F.col("id").alias("a"), "b").distinct())
+
+
+def further_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (family, a, b) of one bucket that could still join two components, given (key, id, comp, n, bits).
+
+    Lines outside their bucket's largest component meet those of other components, if sizes and maps allow
+    a link; pairs inside a component are never formed.
     """
-    of = lambda rows: texts.join(checked(cut(rows.select("id").distinct())), "id", "left_semi")
-    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    few = placed.join(sizes.filter(F.col("members") <= FEW).select("key"), "key")
-    few = cut(few.join(line_sets(of(few), size).select("id", "n"), "id"))
-    side = lambda c: few.select("key", *[F.col(x).alias(f"{x}_{c}") for x in ("id", "n", "comp")])
-    pairs = side("a").join(side("b"), "key").filter(
-        (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b"))
-        & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    many = cut(placed.join(sizes.filter(F.col("members") > FEW).select("key"), "key"))
-    if many.isEmpty():
-        return pairs
-    return pairs.union(cross_pairs(many, cut(line_sets(of(many), size)), percent))
-
-
-def line_components(docs: DataFrame, nodes: DataFrame, members: DataFrame, families: tuple, percent: int) -> DataFrame:
+    main = (placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("members"))
+            .groupBy("key").agg(F.max(F.struct("members", "comp")).alias("m"), F.count(F.lit(1)).alias("comps"))
+            .filter("comps > 1").select("key", F.col("m.comp").alias("main")))
+    split = cut(placed.join(main, "key"))
+    side = lambda c, *more: ["key", *[F.col(x).alias(f"{c}_{x}") for x in ("id", "n", "bits", "comp")], *more]
+    met = split.filter("comp <> main").select(*side("a")).join(split.select(*side("b", "main")), "key").filter(
+        (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("main")) | (F.col("a_id") < F.col("b_id")))
+        & _possible("a", "b", percent))
+    return met.select(F.col("key").bitwiseAND(F.lit(3)).alias("family"), F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) of ``found`` after ``links`` (a, b) have joined components (both materialized)."""
+    if links.isEmpty():
+        return found
+    of = lambda c: checked(found, found.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")), columns=2)
+    joined = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+              .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    final = cut(components(joined).select("node", F.col("component").alias("final")))
+    fresh = final.select(F.col("node").alias("id"), F.col("node").alias("component")).join(checked(found, found.select("id"), columns=2), "id", "left_anti")
+    # a union has the tasks of both sides
+    tasks = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(found.select("id", "component").union(fresh).join(checked(final, columns=2), F.col("component") == F.col("node"), "left")
+               .select("id", F.coalesce("final", "component").alias("component")).coalesce(tasks))
+
+
+def line_components(docs: DataFrame, table: DataFrame, members: DataFrame, families: tuple, percent: int) -> DataFrame:
     """(id, component) of the lines that have a near copy with another normalized text (materialized).
 
-    ``nodes`` has (id, uses, doc_id, tx, line_no) of the distinct lines, ``members`` is materialized.
+    ``table`` has (doc_id, tx, line_no, id) of all lines; it and ``members`` are materialized.
     """
-    stars = [cut(members.filter(F.col("key").bitwiseAND(F.lit(3)) == k).select(F.col("id").alias("a"), F.col("head").alias("b")).distinct())
-             for k in range(len(families))]
-    pairs = reduce(DataFrame.union, stars)
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    places = cut(nodes.join(ids, "id", "left_semi").select("id", F.col("doc_id").alias("d"), F.col("tx").alias("t"), "line_no"))
+    family = F.col("key").bitwiseAND(F.lit(3)).alias("family")
+    stars = cut(members.select(family, F.col("id").alias("a"), F.col("head").alias("b")).distinct())
+    ids = cut(stars.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    # a line is read at one of its places: equal lines have equal words
+    places = cut(table.join(checked(ids, columns=1), "id", "left_semi").dropDuplicates(["id"])
+                 .select("id", F.col("doc_id").alias("d"), F.col("tx").alias("t"), "line_no"))
     wanted = places.groupBy("d", "t").agg(F.collect_list(F.struct("line_no", "id")).alias("want"))
     texts = cut(docs.join(checked(places, wanted, columns=4), (F.col("doc_id") == F.col("d")) & (F.col("tx") == F.col("t")))
                 .select("want", F.split("text", "\n", -1).alias("pieces"))
@@ -345,55 +421,61 @@ def line_components(docs: DataFrame, nodes: DataFrame, members: DataFrame, famil
                     w["id"].alias("id"), F.get(F.col("pieces"), w["line_no"]).alias("line")))).alias("x")).select("x.*")
                 # a repeated row has the line again
                 .dropDuplicates(["id"]))
-    first = cut(reduce(DataFrame.union, [verified_lines(s, texts, size, percent) for s, (size, _, _) in zip(stars, families)]))
-    found = cut(components(first).withColumnRenamed("node", "id"))
+
+    def linked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+        return cut(verified_lines(pairs, lines, families, percent))
+
+    found = cut(components(linked(stars, texts)).withColumnRenamed("node", "id"))
 
     # a bucket of two lines is settled; in larger ones members of different components may still be linked
-    inside = members.select("key", "id").union(members.select("key", F.col("head").alias("id"))).distinct()
-    placed = inside.join(checked(found, columns=2), "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-    open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-                 .filter("n > 2 and lo < hi").select("key"))
-    placed = cut(placed.join(open_keys, "key", "left_semi"))
-    ordered = lambda p: p.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    later = []
-    for k, (size, _, _) in enumerate(families):
-        own = cut(placed.filter(F.col("key").bitwiseAND(F.lit(3)) == k))
-        # many pairs of few lines: their texts go to the pairs if they are counted to be small
-        few = cut(texts.join(checked(cut(own.select("id").distinct())), "id", "left_semi"))
-        rest = ordered(further_pairs(own, few, size, percent)).distinct().join(ordered(stars[k]), ["a", "b"], "left_anti")
-        n_bytes = few.agg(F.sum(F.octet_length("line") + 16)).first()[0] or 0
-        later.append(verified_lines(rest, F.broadcast(few) if n_bytes <= BROADCAST_BYTES else few, size, percent))
-    second = cut(reduce(DataFrame.union, later))
-    # what the second links join are components of the first ones
-    of = lambda c: found.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
-    joined = (second.join(of("a"), "a", "left").join(of("b"), "b", "left")
-              .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
-    final = cut(components(joined).select("node", F.col("component").alias("final")))
-    fresh = final.select(F.col("node").alias("id"), F.col("node").alias("component")).join(found.select("id"), "id", "left_anti")
-    return cut(found.select("id", "component").union(fresh).join(checked(final, columns=2), F.col("component") == F.col("node"), "left")
-               .select("id", F.coalesce("final", "component").alias("component")))
+    def component(rows: DataFrame, c: str, name: str) -> DataFrame:
+        of = checked(found, found.select(F.col("id").alias("__node"), F.col("component").alias("__of")), columns=2)
+        return rows.join(of, F.col(c) == F.col("__node"), "left").withColumn(name, F.coalesce("__of", c)).drop("__node", "__of")
+
+    open_keys = cut(component(component(members, "id", "comp"), "head", "other").groupBy("key")
+                    .agg(F.count(F.lit(1)).alias("n"), F.max(F.col("comp") != F.col("other")).alias("open")).filter("n > 1 and open").select("key"))
+    inside = (members.join(checked(open_keys, columns=1), "key", "left_semi")
+              .select("key", F.explode(F.array("id", "head")).alias("id")).distinct())
+    inside = cut(inside.select("key", "id", family))
+    wanted = cut(inside.select("id", "family").distinct())
+    few = cut(texts.join(checked(wanted, columns=2), "id", "left_semi"))
+    maps = cut(line_maps(few.join(checked(wanted, columns=2), "id"), families))
+    placed = cut(inside.join(checked(maps, columns=3 + MAP_BITS // 64), ["id", "family"]).drop("family"))
+    # many pairs of few lines: their texts go to the pairs if they are counted to be small
+    n_bytes = few.agg(F.sum(F.octet_length("line") + 16)).first()[0] or 0
+    lines = F.broadcast(few) if n_bytes <= BROADCAST_BYTES else few
+    for pairs in (central_pairs, further_pairs):
+        found = merged(found, linked(cut(pairs(component(placed, "id", "comp"), percent)), lines))
+    return found
+
+
+def _of_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their group (``comp``); ``groups`` is materialized and has ``uses``."""
+    if groups.count() * len(groups.columns) <= MAX_BROADCAST_VALUES:
+        return rows.join(F.broadcast(groups), "comp")
+    # lines of many uses meet them as a counted broadcast, so that no key of the other join is large
+    often = cut(groups.filter(F.col("uses") > MANY_USES))
+    return (rows.join(checked(often, columns=len(groups.columns)), "comp")
+            .unionByName(rows.join(groups.filter(F.col("uses") <= MANY_USES), "comp")))
 
 
 def duplicate_lines(docs: DataFrame, families: tuple, percent: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, tx, line_no) of the lines that go (materialized), of (doc_id, tx, text)."""
     table = cut(occurrences(docs))
-    nodes = cut(table.groupBy("id").agg(F.count(F.lit(1)).alias("uses"), F.min(F.struct("doc_id", "line_no", "tx")).alias("at"))
-                .select("id", "uses", "at.*"))
-    bits = bits_for(nodes.count() * bands, SHARD)
+    bits = bits_for(table.count() * bands, SHARD)
     members = cut(bucket_members(docs, families, bands, rows, bits))
-    found = line_components(docs, nodes, members, families, percent)
+    found = line_components(docs, table, members, families, percent)
     discard(members)
-    # equal lines, and lines in one component, stay at the smallest place; no row per use takes part here
-    grouped = nodes.join(found, "id", "left").select("id", "uses", F.coalesce("component", "id").alias("comp"),
-                                                     F.struct("doc_id", "line_no", "tx").alias("at"))
-    kept = grouped.groupBy("comp").agg(F.min("at").alias("kept"), F.sum("uses").alias("n")).filter("n > 1")
-    losing = cut(grouped.join(kept.select("comp", "kept"), "comp").select("id", "uses", F.col("kept.doc_id").alias("k_doc"),
-                                                                            F.col("kept.line_no").alias("k_line"), F.col("kept.tx").alias("k_tx")))
-    # lines of many uses meet them as a counted broadcast, so that no key of the other join is large
-    often = cut(losing.filter(F.col("uses") > MANY_USES))
+    # equal lines, and lines in one component, stay at the smallest place: in the smallest document, then by line and text
+    placed = (table.join(checked(found, columns=2), "id", "left")
+              .select("doc_id", "tx", "line_no", F.coalesce("component", "id").alias("comp")))
+    groups = cut(placed.groupBy("comp").agg(F.count(F.lit(1)).alias("uses"), F.min("doc_id").alias("k_doc")).filter("uses > 1"))
+    repeated = cut(_of_groups(placed, groups))
+    kept = cut(repeated.filter("doc_id = k_doc").groupBy("comp", "uses", "k_doc").agg(F.min(F.struct("line_no", "tx")).alias("at"))
+               .select("comp", "uses", "k_doc", F.col("at.line_no").alias("k_line"), F.col("at.tx").alias("k_tx")))
     away = ~((F.col("doc_id") == F.col("k_doc")) & (F.col("line_no") == F.col("k_line")) & (F.col("tx") == F.col("k_tx")))
-    uses_of = lambda t: table.join(t.drop("uses"), "id").filter(away).select("doc_id", "tx", "line_no")
-    return cut(uses_of(checked(often, columns=5)).union(uses_of(losing.filter(F.col("uses") <= MANY_USES))).distinct())
+    gone = _of_groups(repeated.drop("uses", "k_doc"), kept).filter(away).select("doc_id", "tx", "line_no").distinct()
+    return cut(gone)
 
 
 def dedup_lines(docs: DataFrame, families: tuple = FAMILIES, percent: int = 80, bands: int = 12, rows: int = 4) -> DataFrame:
@@ -411,7 +493,8 @@ def dedup_lines(docs: DataFrame, families: tuple = FAMILIES, percent: int = 80,
     gone = duplicate_lines(_documents(docs), families, percent, bands, rows)
     of_doc = gone.groupBy(F.col("doc_id").alias("__doc"), F.col("tx").alias("__tx")).agg(F.collect_list("line_no").alias("__gone"))
     pieces = F.split("text", "\n", -1)
-    with_word = F.size(F.filter(pieces, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    # from a line's first word to its end: one match per line with a word
+    with_word = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D][^\n]*"))
     rest = F.filter(pieces, lambda x, i: ~F.array_contains(F.col("__gone"), i))
     same = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__tx"))
     joined = docs.join(checked(gone, of_doc), same, "left")
