@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,10 @@ from .tables import cut
 #: Benchmark window hashes sent to the tasks at once (8 MB); more of them take more scans.
 HASHES_PER_SCAN = 1 << 20
 
+#: First bits by which a window's hash is looked up before the whole one is, and bytes of text per numpy pass:
+#: small enough for a core's cache.
+HEAD_BITS, PIECE_BYTES = 18, 1 << 18
+
 #: Units of measure and currency that become one placeholder.
 UNITS = ("mm cm m km g kg mg lb lbs oz ml l ft feet foot inch inches mile miles meter meters metre metres kilometer kilometers "
          "kilometre kilometres gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres second seconds "
@@ -54,6 +59,7 @@ _SKIPPED = tb.IS_SPACE.copy()
 _SKIPPED[[ord(c) for c in "\"'()[]{}<>*_`"]] = True
 
 
+@cache
 def _unit_hashes() -> np.ndarray:
     data = np.frombuffer("".join(UNITS).encode(), np.uint8)
     at = tb.bounds(np.array([len(u) for u in UNITS]))
@@ -116,7 +122,8 @@ def readings(s: tb.Slice) -> list[Tokens]:
     before = np.append(-1, np.maximum.accumulate(np.where(_between_sentences(s.buf), -1, np.arange(len(s.buf)))))[start]
     opens = (before < s.offsets[doc]) | _END[s.buf[np.maximum(before, 0)]]
     opens[1:] |= newlines[start[1:]] > newlines[end[:-1]]
-    fixed = np.where(np.isin(value, _unit_hashes()), _UNIT, 0)
+    units = _unit_hashes()
+    fixed = np.where(units[np.minimum(np.searchsorted(units, value), len(units) - 1)] == value, _UNIT, 0)
     fixed[digits[end] > digits[start]] = _NUMBER
     numbers = tb.bounds(solid)
     number = numbers[:-1] - numbers[np.searchsorted(doc, doc)]
@@ -148,7 +155,9 @@ def windows(t: Tokens, reading: int, length: int):
     head = np.where(t.as_first[:m] > 0, t.as_first[:m].astype(np.uint64), t.value[:m])
     h = tb.mix(head + np.uint64((reading * 64 + length) * 0x9E3779B97F4A7C15 % (1 << 64)))
     for k in range(1, length):
-        h = tb.mix(h * np.uint64(0x9E3779B97F4A7C15) + t.word[k:k + m])
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += t.word[k:k + m]
+        h = tb.mix(h)
     slots = tb.bounds(t.kind > 0)
     plain = length - (t.as_first[:m] > 0) - (slots[length:] - slots[1:m + 1])
     first = np.flatnonzero(inside)
@@ -232,10 +241,15 @@ def found_windows(docs: DataFrame, size: int, lengths: list[int], wanted: np.nda
     """
 
     def run(batches):
+        # most windows already differ from all wanted ones in their first bits
+        head = np.uint64(64 - HEAD_BITS)
+        heads = np.zeros(1 << HEAD_BITS, bool)
+        heads[wanted >> head] = True
         for batch in batches:
-            for s in tb.slices(batch.column(1)):
+            for s in tb.slices(batch.column(1), PIECE_BYTES):
                 for t, first, h, length in text_windows(s, size, lengths):
-                    near = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h if len(wanted) else np.zeros(len(h), bool)
+                    near = np.flatnonzero(heads[h >> head])
+                    near = near[wanted[np.minimum(np.searchsorted(wanted, h[near]), len(wanted) - 1)] == h[near]] if len(wanted) else near
                     first, h, length = first[near], h[near], length[near]
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(s.first, s.n).take(pa.array(t.doc[first])), pa.array(h.view(np.int64)),
