@@ -34,7 +34,7 @@ PIECE_BYTES = 1 << 17
 FAMILIES = ((5, 0, 100), (8, 80, 1 << 60))
 
 #: Band keys per shard, band keys that a task holds, and rows that it passes on in one block.
-SHARD, HELD, PASSED = 1 << 22, 3 << 20, 1 << 16
+SHARD, HELD, PASSED = 1 << 21, 1 << 20, 1 << 16
 
 #: Lines with more uses than this meet their occurrences apart from the others.
 MANY_USES = 10_000
@@ -232,8 +232,9 @@ def bucket_members(docs: DataFrame, families: tuple, bands: int, rows: int, bits
 
         def done():
             if heads:
-                yield _members(*_bucket_heads(*[np.concatenate(c) for c in zip(*heads)])[2])
-            heads.clear()
+                columns = [np.concatenate(c) for c in zip(*heads)]
+                heads.clear()
+                yield _members(*_bucket_heads(*columns)[2])
 
         for batch in batches:
             for k in range(batch.num_rows):
